@@ -24,7 +24,10 @@ def parse_lines(lines: DataFrame, fmt: LogFormat) -> DataFrame:
         F.when(matched, F.get("groups", F.lit(i))).otherwise(F.col("value") if name == "Content" else F.lit("")).alias(name)
         for i, name in enumerate(fmt.fields, 1)
     ]
-    events = grouped.select(*passed, matched.alias("is_parsed"), *fields)
+    # As generator output the fields stay columns: a filter on one of them is not rewritten into
+    # a predicate that repeats the whole parse below it.
+    row = F.struct(matched.alias("is_parsed"), *fields)
+    events = grouped.select(*passed, F.inline(F.array(row)))
     return events.withColumn(fmt.entity_col, first_entity(F.col("Content"), fmt))
 
 

@@ -183,46 +183,43 @@ def low_variance(variances: DataFrame, threshold: float = 0.01) -> DataFrame:
     return variances.filter(F.col("variance") < threshold)
 
 
-# Cells of the dense block a task works on at a time.
-_BLOCK_CELLS = 4_000_000
-
-
-def _block_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of products of event counts over the entities of each batch, for a < b."""
-    for batch in batches:
-        offsets = batch.column("events").offsets.to_numpy()
-        ends = offsets - offsets[0]
-        events = batch.column("events").flatten().to_numpy()
-        n = batch.column("ns").flatten().to_numpy()
-        start = 0
-        while start < len(ends) - 1:
-            # Entities are taken while rows * distinct events stay within the block.
-            width = max(len(np.unique(events[ends[start] :])), 1)
-            stop = min(start + max(_BLOCK_CELLS // width, 1), len(ends) - 1)
-            cut = slice(ends[start], ends[stop])
-            names, column = np.unique(events[cut], return_inverse=True)
-            row = np.repeat(np.arange(stop - start), np.diff(ends[start : stop + 1]))
-            block = np.zeros((stop - start, len(names)))
-            block[row, column] = n[cut]
-            products = np.triu(block.T @ block, 1)
-            a, b = np.nonzero(products)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[a]), pa.array(names[b]), pa.array(products[a, b])], ["no_a", "no_b", "xy"]
-            )
-            start = stop
-
-
-def event_products(counts: DataFrame) -> DataFrame:
+def event_products(counts: DataFrame, block_cells: int = 4_000_000) -> DataFrame:
     """(no_a, no_b, xy): sum over entities of the product of two event counts, a < b.
 
     A self-join on the entity would send every pair of every entity through the shuffle. Each
-    task multiplies a block of entities instead and sends one sum per pair of events.
+    task multiplies a dense block of entities (at most ``block_cells`` cells) instead and sends
+    one sum per pair of events. The lists of an entity are as long as its distinct events.
     """
+
+    # Defined here so that it travels to the executors by value; they need not have this package.
+    def block_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets = batch.column("events").offsets.to_numpy()
+            ends = offsets - offsets[0]
+            events = batch.column("events").flatten().to_numpy()
+            n = batch.column("ns").flatten().to_numpy()
+            start = 0
+            while start < len(ends) - 1:
+                # Entities are taken while rows * distinct events stay within the block.
+                width = max(len(np.unique(events[ends[start] :])), 1)
+                stop = min(start + max(block_cells // width, 1), len(ends) - 1)
+                cut = slice(ends[start], ends[stop])
+                names, column = np.unique(events[cut], return_inverse=True)
+                row = np.repeat(np.arange(stop - start), np.diff(ends[start : stop + 1]))
+                block = np.zeros((stop - start, len(names)))
+                block[row, column] = n[cut]
+                products = np.triu(block.T @ block, 1)
+                a, b = np.nonzero(products)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[a]), pa.array(names[b]), pa.array(products[a, b])], ["no_a", "no_b", "xy"]
+                )
+                start = stop
+
     per_entity = counts.groupBy("entity_id").agg(
         F.collect_list(event_number(F.col("event_id"))).alias("events"),
         F.collect_list(F.col("n").cast("double")).alias("ns"),
     )
-    sums = per_entity.select("events", "ns").mapInArrow(_block_products, "no_a bigint, no_b bigint, xy double")
+    sums = per_entity.select("events", "ns").mapInArrow(block_products, "no_a bigint, no_b bigint, xy double")
     return sums.groupBy("no_a", "no_b").agg(F.sum(F.col("xy").cast(BIG)).cast(BIG).alias("xy"))
 
 

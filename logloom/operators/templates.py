@@ -9,7 +9,9 @@ Dictionary columns: event_no, EventId, EventTemplate, n_tokens, heads, leader, s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -27,6 +29,8 @@ from logloom.session import broadcast_if_small, stage
 
 LEAF = ("n_tokens", "heads")
 LEADERS_PER_ROW = 256
+# Rounds whose leaders are read side by side before they are merged into one table.
+MAX_UNION = 16
 
 
 def signature_counts(lines: DataFrame) -> DataFrame:
@@ -101,17 +105,16 @@ def _settle(candidates: Column, config: MiningConfig) -> Column:
 
 
 def find_leaders(leaves: DataFrame, config: MiningConfig) -> DataFrame:
-    """Leaders per leaf: signatures similar to no earlier leader of their leaf.
+    """Leaders per leaf of staged signatures: those similar to no earlier leader of their leaf.
 
     Each round settles the earliest ``batch`` open signatures of every leaf at once and drops
     what their leaders cover. All earlier leaders have already dropped theirs, so the outcome
     is that of going through the signatures one by one. A leader covers itself by identity:
     a text of mostly wildcards is not similar to itself.
     """
-    spark = leaves.sparkSession
-    open_rows = stage(leaves.select(*LEAF, "signature", "tokens", "seen_at"), "open")
+    open_rows = leaves.select(*LEAF, "signature", "tokens", "seen_at")
     schema = open_rows.schema
-    paths: list[DataFrame] = []
+    rounds: list[DataFrame] = []
     while not open_rows.isEmpty():
         # Limited per task before the shuffle, so a hot leaf never meets in one task.
         rank = F.row_number().over(W.partitionBy(*LEAF).orderBy("seen_at"))
@@ -121,7 +124,7 @@ def find_leaders(leaves: DataFrame, config: MiningConfig) -> DataFrame:
             F.array_sort(F.collect_list(row)).alias("head"), F.max("seen_at").alias("upto")
         )
         settled = stage(settled.select(*LEAF, "upto", _settle(F.col("head"), config).alias("found")), "settled")
-        paths.append(settled.select(*LEAF, F.inline("found")).select(*schema.names))
+        rounds.append(settled.select(*LEAF, F.inline("found")).select(*schema.names))
         covered = F.exists("found", lambda leader: similar(leader["tokens"], F.col("tokens"), config.sim_th))
         open_rows = stage(
             open_rows.join(broadcast_if_small(settled, 20_000), list(LEAF))
@@ -129,10 +132,15 @@ def find_leaders(leaves: DataFrame, config: MiningConfig) -> DataFrame:
             .select(*schema.names),
             "open",
         )
-    leaders = spark.createDataFrame([], schema)
-    for part in paths:
-        leaders = leaders.unionByName(part)
-    return stage(leaders, "leaders")
+        if len(rounds) == MAX_UNION:
+            rounds = [stage(_union(rounds, schema), "leaders")]
+    return _union(rounds, schema)
+
+
+def _union(parts: list[DataFrame], schema) -> DataFrame:
+    if not parts:
+        return SparkSession.active().createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def nearest_leader(leaves: DataFrame, leaders: DataFrame, config: MiningConfig) -> DataFrame:
@@ -237,5 +245,5 @@ def assign_events(lines: DataFrame, assignment: DataFrame, dictionary: DataFrame
     The lookup is broadcast up to a row bound; a longer one is joined by shuffle, where
     adaptive execution splits the partition of a hot signature.
     """
-    lookup = stage(assignment.join(dictionary.select("event_no", "EventTemplate"), "event_no"), "lookup")
-    return lines.join(broadcast_if_small(lookup.drop("event_no")), "signature", "left")
+    lookup = assignment.join(dictionary.select("event_no", "EventTemplate"), "event_no").drop("event_no")
+    return lines.join(broadcast_if_small(lookup, sized_by=assignment), "signature", "left")

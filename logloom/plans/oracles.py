@@ -284,7 +284,7 @@ headed AS (
   SELECT *, len(string_split(signature, ' ')) AS n_tokens, string_split(signature, ' ')[1] AS first_token FROM signatures),
 wild AS (SELECT *, CASE WHEN regexp_matches(first_token, '\\d') THEN '<*>' ELSE first_token END AS head FROM headed),
 kept AS (
-  SELECT n_tokens, head FROM wild WHERE head != '<*>' GROUP BY ALL
+  SELECT n_tokens, head FROM wild WHERE head != '<*>' GROUP BY n_tokens, head
   QUALIFY row_number() OVER (PARTITION BY n_tokens ORDER BY min(seen_at)) <= 4)""",
     "SELECT signature, w.n_tokens, coalesce(k.head, '<*>') AS head FROM wild w LEFT JOIN kept k USING (n_tokens, head)",
 )

@@ -64,11 +64,12 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, sized_by: DataFrame | None = None) -> DataFrame:
     """Hint ``df`` as broadcast when it has at most ``rows`` rows.
 
     Above the bound the plain table is returned and the join shuffles, with adaptive skew
-    splitting for hot keys. ``df`` should be staged, as it is counted here.
+    splitting for hot keys. The rows counted are those of ``sized_by``, a table at least as
+    long; whichever is counted should be staged.
     """
-    fits = df.limit(rows + 1).count() <= rows
+    fits = (df if sized_by is None else sized_by).limit(rows + 1).count() <= rows
     return F.broadcast(df) if fits else df

@@ -26,6 +26,11 @@ def _num(col: F.Column) -> F.Column:
     return col.cast("string")
 
 
+def _once(col: F.Column) -> F.Column:
+    """The column as generator output, so that readers of a line do not render it again."""
+    return F.explode(F.array(col))
+
+
 def block_lines(events: DataFrame) -> DataFrame:
     """Block-log lines: value, source, source_order, LineId. Some lines lack the header."""
     event_id, user = F.col("event_id"), F.col("user_id")
@@ -44,7 +49,7 @@ def block_lines(events: DataFrame) -> DataFrame:
         F.date_format("ts", "yyMMdd HHmmss"), " ", _num(event_id % 100), " ", level, " dfs.", kind, ": "
     )
     return events.select(
-        F.when(event_id % 97 == 0, content).otherwise(F.concat(header, content)).alias("value"),
+        _once(F.when(event_id % 97 == 0, content).otherwise(F.concat(header, content))).alias("value"),
         F.lit("block.log").alias("source"),
         F.lit(1).cast("bigint").alias("source_order"),
         (event_id + 1).alias("LineId"),
@@ -71,7 +76,7 @@ def vm_lines(events: DataFrame) -> DataFrame:
         F.when(kind == "error", "ERROR").otherwise("INFO"), " nova.", kind, " ", request,
     )
     return events.select(
-        F.when(event_id % 97 == 0, content).otherwise(F.concat(header, content)).alias("value"),
+        _once(F.when(event_id % 97 == 0, content).otherwise(F.concat(header, content))).alias("value"),
         source.alias("source"),
         order.cast("bigint").alias("source_order"),
         (event_id + 1).alias("LineId"),
