@@ -23,6 +23,7 @@ from logloom.operators.labels import anomaly_instances, label_by_precedence, lab
 from logloom.plans.ingest import ingest, templates
 from logloom.plans.train import features_of, train
 from logloom.plans.vectorize import block_matrix
+from logloom.session import drop_staged
 from logloom.sources.labels import read_label_csv, read_label_ids
 from logloom.sources.tables import export_matrix_csv, read_events, read_or_none, write_table
 
@@ -106,6 +107,7 @@ def main() -> None:
         events = events_of(spark.read.parquet(f"{out}/templates")).select("event_id")
         features, columns = features_of(counts, spark.read.parquet(f"{out}/labels"), args.positive, events=events)
         train(spark, features, columns, f"{out}/model").show(truncate=False)
+    drop_staged(spark)
 
 
 if __name__ == "__main__":

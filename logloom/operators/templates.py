@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -28,7 +28,8 @@ from logloom.operators.ranking import number_rows
 from logloom.session import broadcast_if_small, stage
 
 LEAF = ("n_tokens", "heads")
-LEADERS_PER_ROW = 256
+# Event numbers per pack of known leaders.
+KNOWN_PACK = 1024
 # Rounds whose leaders are read side by side before they are merged into one table.
 MAX_UNION = 16
 
@@ -105,16 +106,17 @@ def _settle(candidates: Column, config: MiningConfig) -> Column:
 
 
 def find_leaders(leaves: DataFrame, config: MiningConfig) -> DataFrame:
-    """Leaders per leaf of staged signatures: those similar to no earlier leader of their leaf.
+    """Leaders of staged signatures: those similar to no earlier leader of their leaf.
 
-    Each round settles the earliest ``batch`` open signatures of every leaf at once and drops
-    what their leaders cover. All earlier leaders have already dropped theirs, so the outcome
-    is that of going through the signatures one by one. A leader covers itself by identity:
-    a text of mostly wildcards is not similar to itself.
+    The result packs them: one row per leaf and round with up to ``batch`` leaders. Each round
+    settles the earliest open signatures of every leaf at once and drops what their leaders
+    cover. All earlier leaders have already dropped theirs, so the outcome is that of going
+    through the signatures one by one. A leader covers itself by identity: a text of mostly
+    wildcards is not similar to itself.
     """
-    open_rows = leaves.select(*LEAF, "signature", "tokens", "seen_at")
-    schema = open_rows.schema
-    rounds: list[DataFrame] = []
+    open_rows = leaves.select(*LEAF, "tokens", "seen_at", "signature")
+    columns = open_rows.columns
+    packs: list[DataFrame] = []
     while not open_rows.isEmpty():
         # Limited per task before the shuffle, so a hot leaf never meets in one task.
         rank = F.row_number().over(W.partitionBy(*LEAF).orderBy("seen_at"))
@@ -123,39 +125,35 @@ def find_leaders(leaves: DataFrame, config: MiningConfig) -> DataFrame:
         settled = head.groupBy(*LEAF).agg(
             F.array_sort(F.collect_list(row)).alias("head"), F.max("seen_at").alias("upto")
         )
-        settled = stage(settled.select(*LEAF, "upto", _settle(F.col("head"), config).alias("found")), "settled")
-        rounds.append(settled.select(*LEAF, F.inline("found")).select(*schema.names))
-        covered = F.exists("found", lambda leader: similar(leader["tokens"], F.col("tokens"), config.sim_th))
+        settled = stage(settled.select(*LEAF, "upto", _settle(F.col("head"), config).alias("leaders")), "settled")
+        packs.append(settled.drop("upto"))
+        covered = F.exists("leaders", lambda leader: similar(leader["tokens"], F.col("tokens"), config.sim_th))
         open_rows = stage(
-            open_rows.join(broadcast_if_small(settled, 20_000), list(LEAF))
+            open_rows.join(broadcast_if_small(settled), list(LEAF))
             .filter((F.col("seen_at") > F.col("upto")) & ~covered)
-            .select(*schema.names),
+            .select(*columns),
             "open",
         )
-        if len(rounds) == MAX_UNION:
-            rounds = [stage(_union(rounds, schema), "leaders")]
-    return _union(rounds, schema)
+        if len(packs) == MAX_UNION:
+            packs = [stage(reduce(DataFrame.unionByName, packs), "leaders")]
+    if not packs:
+        packs = [leaves.select(*LEAF, F.array(F.struct("seen_at", "signature", "tokens")).alias("leaders"))]
+    return reduce(DataFrame.unionByName, packs)
 
 
-def _union(parts: list[DataFrame], schema) -> DataFrame:
-    if not parts:
-        return SparkSession.active().createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, parts)
+def pack_known(known: DataFrame) -> DataFrame:
+    """Leaders of a dictionary, packed per leaf and run of event numbers; seen_at is event_no."""
+    row = F.struct(F.col("event_no").alias("seen_at"), F.array_join("leader", " ").alias("signature"), F.col("leader").alias("tokens"))
+    packs = known.groupBy(*LEAF, F.floor(F.col("event_no") / KNOWN_PACK).alias("pack")).agg(F.collect_list(row).alias("leaders"))
+    return packs.drop("pack")
 
 
-def nearest_leader(leaves: DataFrame, leaders: DataFrame, config: MiningConfig) -> DataFrame:
+def nearest_leader(leaves: DataFrame, packs: DataFrame, config: MiningConfig) -> DataFrame:
     """Most similar leader of the same leaf per signature (ties: the earliest): leader_seen.
 
-    NULL where no leader reaches ``sim_th``. Leaders travel as short arrays, one row per leaf
-    and ``LEADERS_PER_ROW`` of them, and the best per array is found in the same row.
+    NULL where no leader reaches ``sim_th``. The best of a pack is found in the joined row; only
+    a leaf of several packs needs the aggregate that picks among them.
     """
-    rank = F.row_number().over(W.partitionBy(*LEAF).orderBy("seen_at"))
-    packed = (
-        leaders.withColumn("pack", F.floor((rank - 1) / LEADERS_PER_ROW))
-        .groupBy(*LEAF, "pack")
-        .agg(F.collect_list(F.struct("signature", "seen_at", "tokens")).alias("leaders"))
-    )
-    packed = stage(packed, "packed")
 
     def score(leader: Column) -> Column:
         same = leader["signature"] == F.col("signature")
@@ -163,14 +161,13 @@ def nearest_leader(leaves: DataFrame, leaders: DataFrame, config: MiningConfig)
         return F.struct(hits.alias("hits"), (-leader["seen_at"]).alias("order"))
 
     best = F.array_max(F.transform("leaders", score))
-    joined = leaves.join(broadcast_if_small(packed, 20_000), list(LEAF), "left")
+    joined = leaves.join(broadcast_if_small(packs), list(LEAF), "left")
     scored = joined.select(*leaves.columns, best.alias("best"))
-    if not packed.filter(F.col("pack") > 0).isEmpty():
+    if not packs.groupBy(*LEAF).count().filter("count > 1").isEmpty():
         rows = [c for c in leaves.columns if c != "signature"]
         scored = scored.groupBy("signature").agg(*[F.first(c).alias(c) for c in rows], F.max("best").alias("best"))
-    enough = (F.col("best.hits") / F.greatest(F.size("tokens"), F.lit(1)) >= config.sim_th) | (
-        F.col("best.hits") > F.size("tokens")
-    )
+    words = F.greatest(F.size("tokens"), F.lit(1))
+    enough = (F.col("best.hits") / words >= config.sim_th) | (F.col("best.hits") > F.size("tokens"))
     return scored.withColumn("leader_seen", F.when(enough, -F.col("best.order"))).drop("best")
 
 
@@ -199,17 +196,16 @@ def mine(
     base = 0
     matched = None
     if known is not None:
-        old = known.select(*LEAF, F.array_join("leader", " ").alias("signature"), F.col("leader").alias("tokens"), F.col("event_no").alias("seen_at"))
-        hits = stage(nearest_leader(leaves, old, config), "matched")
+        hits = stage(nearest_leader(leaves, stage(pack_known(known), "known"), config), "matched")
         matched = hits.filter("leader_seen is not null").select("signature", F.col("leader_seen").alias("event_no"))
         leaves = hits.filter("leader_seen is null").drop("leader_seen")
         base = known.agg(F.coalesce(F.max("event_no"), F.lit(0))).first()[0]
-    leaders = find_leaders(leaves, config)
-    grouped = stage(nearest_leader(leaves, leaders, config), "grouped")
+    packs = find_leaders(leaves, config)
+    grouped = stage(nearest_leader(leaves, packs, config), "grouped")
     texts = number_rows(stage(template_texts(grouped, "leader_seen"), "texts"), "seen_at", "event_no")
     texts = texts.withColumn("event_no", F.col("event_no") + base)
     texts = texts.select("leader_seen", "event_no", "EventTemplate", "seen_at")
-    leader = leaders.select(F.col("seen_at").alias("leader_seen"), *LEAF, F.col("tokens").alias("leader"))
+    leader = packs.select(*LEAF, F.inline("leaders").alias("leader_seen", "leader_signature", "leader"))
     event = event_name(F.col("event_no")).alias("EventId")
     dictionary = texts.join(leader, "leader_seen").select(
         "event_no", event, "EventTemplate", *LEAF, "leader", "seen_at"
@@ -246,4 +242,4 @@ def assign_events(lines: DataFrame, assignment: DataFrame, dictionary: DataFrame
     adaptive execution splits the partition of a hot signature.
     """
     lookup = assignment.join(dictionary.select("event_no", "EventTemplate"), "event_no").drop("event_no")
-    return lines.join(broadcast_if_small(lookup, sized_by=assignment), "signature", "left")
+    return lines.join(broadcast_if_small(lookup), "signature", "left")

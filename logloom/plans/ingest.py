@@ -12,7 +12,7 @@ from logloom.operators.parse import structured
 from logloom.plans.structure import structure
 from logloom.session import broadcast_if_small, stage
 from logloom.sources.ledger import latest, plan_ingest, read_ledger, record
-from logloom.sources.lines import fingerprints, read_lines
+from logloom.sources.lines import TextSource
 from logloom.sources.tables import read_events, read_or_none, write_events
 
 
@@ -30,8 +30,8 @@ def ingest(
     Returns the decision per source. Safe to run again after a failure at any point: events
     are replaced per source, known templates keep their ids, and the ledger is written last.
     """
-    lines = read_lines(spark, raw, sources=sources)
-    present = stage(fingerprints(lines), "present")
+    files = TextSource(spark, raw, sources=sources)
+    present = stage(files.fingerprints(), "present")
     wanted = present.select("source")
     if sources is not None:
         wanted = spark.createDataFrame([(s,) for s in sources], "source string")
@@ -40,9 +40,13 @@ def ingest(
     todo = plan.filter(F.col("decision").isin("parse", "reparse")).select("source", "fingerprint")
     if todo.isEmpty():
         return plan
+    # File names only, as any listing brings them to the driver.
+    names = {row["source"] for row in todo.select("source").collect()}
+    if len(names) < present.count():
+        order = sources or [row["source"] for row in present.select("source").orderBy("source").collect()]
+        files = TextSource(spark, raw, sources=[name for name in order if name in names])
     dictionary = read_or_none(spark, f"{out}/dictionary")
-    fresh = lines.join(broadcast_if_small(todo.select("source")), "source", "left_semi")
-    result = structure(fresh, fmt, mining, dictionary)
+    result = structure(files.lines(), fmt, mining, dictionary)
     new = result.dictionary
     if dictionary is not None:
         new = new.join(dictionary, "event_no", "left_anti")
@@ -54,7 +58,7 @@ def ingest(
     )
     record(sizes, f"{out}/ledger")
     if archive is not None:
-        archive_files(spark, raw, archive, [row["source"] for row in todo.select("source").toLocalIterator()])
+        archive_files(spark, raw, archive, sorted(names))
     return plan
 
 

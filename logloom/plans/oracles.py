@@ -216,9 +216,9 @@ _add(
 )
 _add(
     "source_fingerprint",
-    VM,
-    "SELECT source, count(*) AS num_lines, sum(cast('0x' || substr(md5(LineId || ':' || value), 1, 15) AS BIGINT))::VARCHAR "
-    "AS fingerprint FROM rendered GROUP BY source",
+    f"{VM}, hashed AS (SELECT *, cast('0x' || substr(md5(value), 1, 10) AS BIGINT)::HUGEINT AS h FROM rendered)",
+    "SELECT source, count(*) AS num_lines, sum(h)::VARCHAR || '-' || sum(h * LineId)::VARCHAR AS fingerprint "
+    "FROM hashed GROUP BY source",
 )
 _add("ledger_latest", LEDGER, "SELECT * FROM latest")
 _add(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logloom.operators.counts import event_columns, occurrence_matrix, unpivot_matrix
+from logloom.operators.counts import matrix_columns, occurrence_matrix, unpivot_matrix
 from logloom.operators.folds import stratified_folds
 from logloom.operators.labels import binary_target, join_labels, require_both_classes
 from logloom.operators.metrics import best_model, cv_results, cv_summary
@@ -26,7 +27,7 @@ def features_of(
         kept = events
     else:
         kept = select_features(counts, variance, correlation, events)
-    columns = event_columns([row["event_id"] for row in kept.select("event_id").collect()])
+    columns = matrix_columns(kept.select(F.col("event_id").alias("EventId")))
     matrix = join_labels(occurrence_matrix(counts, columns), labels)
     return feature_table(binary_target(matrix, positive)), columns
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Row bound under which a lookup table is hinted as broadcast. Rows of the tables checked with
-# it are short (ids, template texts, offsets), so this is some tens of megabytes at most.
+# Bounds under which a lookup table is hinted as broadcast: rows, and bytes of its values.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Folder per local application whose session names none.
 _LOCAL_DIRS: dict[str, str] = {}
@@ -50,8 +51,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/logloom/{label}-{uuid.uuid4().hex}"
+    """A fresh path below this application's part of the shared folder."""
+    return f"{shared_dir(spark)}/logloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged. Only for the end of a job: its results are gone then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/logloom/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -64,12 +71,22 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, sized_by: DataFrame | None = None) -> DataFrame:
-    """Hint ``df`` as broadcast when it has at most ``rows`` rows.
+def _value_bytes(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+        column = F.to_json(F.struct(column))
+    elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.lit(16)
+    return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint ``df`` as broadcast when it has at most ``rows`` rows and ``size`` bytes of values.
 
-    Above the bound the plain table is returned and the join shuffles, with adaptive skew
-    splitting for hot keys. The rows counted are those of ``sized_by``, a table at least as
-    long; whichever is counted should be staged.
+    Beyond that the plain table is returned and the join shuffles, with adaptive skew
+    splitting for hot keys. ``df`` should be cheap to compute, as up to ``rows`` of it are
+    measured here.
     """
-    fits = (df if sized_by is None else sized_by).limit(rows + 1).count() <= rows
-    return F.broadcast(df) if fits else df
+    total = sum((_value_bytes(f) for f in df.schema.fields), F.lit(0)).cast("bigint")
+    found, used = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(total), F.lit(0))).first()
+    return F.broadcast(df) if found <= rows and used <= size else df

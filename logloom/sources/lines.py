@@ -1,8 +1,8 @@
-"""Text log scan with exact physical line numbers.
+"""Text log scan with exact physical line numbers and content fingerprints.
 
 ``spark.read.text`` splits big files, so the number of a line is the number of lines in the
-earlier splits of its file plus its place in its own split. The first is a prefix sum over one
-row per split; the second comes from ``monotonically_increasing_id``. The lines themselves are
+earlier splits of its file plus its place in its own split. A first pass measures the splits
+(one row each); the place comes from ``monotonically_increasing_id``. The lines themselves are
 never shuffled.
 """
 
@@ -17,76 +17,121 @@ from logloom.session import broadcast_if_small, stage
 
 # ``seen_at`` orders all lines of all sources: source order in the high bits, line id below.
 LINE_BITS = 40
+# ``monotonically_increasing_id`` counts the rows of a task in its low bits.
+ROW_MASK = 2**33 - 1
 
 _SPLIT = ("path", "split_start", "split_length")
+_BIG = "decimal(38,0)"
 
 
 def seen_at(source_order: Column, line_id: Column) -> Column:
     return F.shiftleft(source_order.cast("bigint"), LINE_BITS) + line_id
 
 
-def read_lines(spark: SparkSession, root: str, pattern: str = "*", sources: list[str] | None = None) -> DataFrame:
-    """Physical lines below ``root``: value, source, source_order, LineId (from 1, blanks count).
+def line_hash(value: Column) -> Column:
+    """40 bits of a line's digest as a number."""
+    return F.conv(F.substring(F.md5(value), 1, 10), 16, 10).cast("decimal(20,0)")
+
+
+def _mark(plain: Column, placed: Column) -> Column:
+    return F.concat_ws("-", plain.cast("string"), placed.cast("string")).alias("fingerprint")
+
 
-    ``source`` is the path below ``root``. ``sources`` picks files by that name and sets their
-    order, absent ones are skipped; otherwise all files count, in name order.
+def fingerprints(lines: DataFrame) -> DataFrame:
+    """(source, num_lines, fingerprint) of physical lines.
+
+    The fingerprint joins two sums over the lines: of their hashes, and of hash times line
+    number, so it sees content and order. Sums combine per task, so a source of any size is
+    hashed by many tasks.
     """
-    folder = root.rstrip("/") + "/"
-    scan = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .text(root)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-            F.col("_metadata.file_block_length").alias("split_length"),
-            F.monotonically_increasing_id().alias("row_id"),
-        )
+    digest = line_hash(F.col("value"))
+    placed = (digest * F.col("LineId")).cast(_BIG)
+    sums = lines.groupBy("source").agg(
+        F.count("*").alias("num_lines"), F.sum(digest).alias("plain"), F.sum(placed).alias("placed")
     )
-    source = F.substring_index("path", folder, -1)
-    splits = scan.groupBy(*_SPLIT).agg(F.count("*").alias("n"), F.min("row_id").alias("first_row"))
-    before = W.partitionBy("path").orderBy("split_start").rowsBetween(W.unboundedPreceding, -1)
-    splits = stage(splits.withColumn("source", source), "splits").withColumn(
-        "lines_before", F.coalesce(F.sum("n").over(before), F.lit(0))
-    )
-    files = splits.select("source").distinct()
-    if sources is None:
-        # One row per file; only names pass through this window.
-        order = files.withColumn("source_order", F.row_number().over(W.orderBy("source")).cast("bigint"))
-    else:
-        wanted = spark.createDataFrame(
-            [(name, i) for i, name in enumerate(sources, 1)], "source string, source_order bigint"
+    return sums.select("source", "num_lines", _mark(F.col("plain"), F.col("placed")))
+
+
+class TextSource:
+    """Text files below a folder, measured once.
+
+    ``sources`` picks files by their path below ``root`` and sets their order; absent ones are
+    skipped and other files are not read. By default all files count, in name order.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, pattern: str = "*", sources: list[str] | None = None):
+        folder = root.rstrip("/") + "/"
+        files = (
+            spark.read.option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", pattern)
+            .text(root)
+            .select(
+                "value",
+                F.col("_metadata.file_path").alias("path"),
+                F.col("_metadata.file_block_start").alias("split_start"),
+                F.col("_metadata.file_block_length").alias("split_length"),
+            )
+        )
+        if sources is not None:
+            # A filter on the path alone is settled while files are listed.
+            files = files.filter(F.substring_index("path", folder, -1).isin(sources))
+        self._scan = files.withColumn("row_id", F.monotonically_increasing_id())
+        place = F.col("row_id").bitwiseAND(F.lit(ROW_MASK))
+        digest = line_hash(F.col("value"))
+        measured = self._scan.groupBy(*_SPLIT).agg(
+            F.count("*").alias("n"),
+            F.min("row_id").alias("first_row"),
+            F.sum(digest).cast(_BIG).alias("plain"),
+            F.sum((digest * place).cast(_BIG)).cast(_BIG).alias("placed"),
+        )
+        measured = measured.withColumn("source", F.substring_index("path", folder, -1))
+        before = W.partitionBy("path").orderBy("split_start").rowsBetween(W.unboundedPreceding, -1)
+        self._splits = stage(measured, "splits").withColumn(
+            "lines_before", F.coalesce(F.sum("n").over(before), F.lit(0))
+        )
+        if sources is None:
+            # One row per file; only names pass through this window.
+            names = self._splits.select("source").distinct()
+            self._order = names.withColumn("source_order", F.row_number().over(W.orderBy("source")).cast("bigint"))
+        else:
+            rows = [(name, i) for i, name in enumerate(sources, 1)]
+            self._order = spark.createDataFrame(rows, "source string, source_order bigint")
+
+    def fingerprints(self) -> DataFrame:
+        """``fingerprints`` of the files, from the measured splits; the text is not read again."""
+        place = F.col("first_row").bitwiseAND(F.lit(ROW_MASK))
+        # A line's number is its row in the task plus a shift that its whole split shares.
+        shift = (F.col("lines_before") + 1 - place).cast("decimal(18,0)")
+        placed = (F.col("placed") + (F.col("plain") * shift).cast(_BIG)).cast(_BIG)
+        sums = self._splits.groupBy("source").agg(
+            F.sum("n").alias("num_lines"), F.sum("plain").cast(_BIG).alias("plain"), F.sum(placed).cast(_BIG).alias("placed")
+        )
+        return sums.select("source", "num_lines", _mark(F.col("plain"), F.col("placed")))
+
+    def lines(self) -> DataFrame:
+        """Physical lines: value, source, source_order, LineId (from 1, blank lines count)."""
+        offsets = stage(
+            self._splits.join(self._order, "source").select(*_SPLIT, "source", "source_order", "first_row", "lines_before"),
+            "offsets",
+        )
+        known = F.col("first_row").isNotNull()
+        return self._scan.join(broadcast_if_small(offsets), list(_SPLIT), "left").select(
+            "value",
+            "source",
+            "source_order",
+            # A scan planned with other split sizes than the first pass must fail, not miscount.
+            F.when(known, F.col("lines_before") + F.col("row_id") - F.col("first_row") + 1)
+            .otherwise(F.raise_error(F.lit("file splits changed between the two passes")).cast("bigint"))
+            .alias("LineId"),
         )
-        order = files.join(F.broadcast(wanted), "source")
-    offsets = stage(splits.join(order, "source", "left").drop("n"), "offsets")
-    known = F.col("first_row").isNotNull()
-    numbered = scan.join(broadcast_if_small(offsets), list(_SPLIT), "left").select(
-        "value",
-        "source",
-        "source_order",
-        # A scan planned with other split sizes than the first pass must fail, not miscount.
-        F.when(known, F.col("lines_before") + F.col("row_id") - F.col("first_row") + 1)
-        .otherwise(F.raise_error(F.lit("file splits changed between the two passes")).cast("bigint"))
-        .alias("LineId"),
-    )
-    return numbered if sources is None else numbered.filter(F.col("source_order").isNotNull())
+
+
+def read_lines(spark: SparkSession, root: str, pattern: str = "*", sources: list[str] | None = None) -> DataFrame:
+    """The numbered lines of a ``TextSource``."""
+    return TextSource(spark, root, pattern, sources).lines()
 
 
 def clean_lines(lines: DataFrame) -> DataFrame:
     """Strip the lines and leave blank ones out; their numbers stay taken."""
     # Filtering the raw line keeps the cleaning out of the pushed-down predicate.
     return lines.filter(~is_blank(F.col("value"))).withColumn("value", clean_line(F.col("value")))
-
-
-def fingerprints(lines: DataFrame) -> DataFrame:
-    """One row per source: number of physical lines and an order-aware content fingerprint.
-
-    The sum of 60-bit line hashes is a plain aggregate, so a source of any size is hashed by
-    many tasks; the line number inside the hash makes it depend on the order.
-    """
-    digest = F.md5(F.concat(F.col("LineId").cast("string"), F.lit(":"), F.col("value")))
-    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
-    return lines.groupBy("source").agg(
-        F.count("*").alias("num_lines"), F.sum(number).cast("string").alias("fingerprint")
-    )

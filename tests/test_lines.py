@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 from logloom.sources.labels import read_label_csv, read_label_ids
-from logloom.sources.lines import clean_lines, fingerprints, read_lines
+from logloom.sources.lines import TextSource, clean_lines, fingerprints, read_lines
 
 
 def _write(folder, name, data: bytes):
@@ -39,10 +39,13 @@ def test_numbers_over_many_splits(spark, tmp_path):
         lines = read_lines(spark, str(raw))
         assert lines.rdd.getNumPartitions() > 10
         got = {(r.source, r.LineId): r.value for r in lines.collect()}
+        marks = sorted(map(tuple, TextSource(spark, str(raw)).fingerprints().collect()))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert got == expected
+    # One pass over splits gives the marks of the numbered lines, however the file was split.
+    assert marks == sorted(map(tuple, fingerprints(read_lines(spark, str(raw))).collect()))
 
 
 def test_listed_sources_keep_their_order_and_absent_ones_are_skipped(spark, tmp_path):
@@ -51,6 +54,7 @@ def test_listed_sources_keep_their_order_and_absent_ones_are_skipped(spark, tmp_
         _write(raw, name, name.encode())
     lines = read_lines(spark, str(raw), sources=["c.log", "gone.log", "a.log"])
     assert sorted((r.source_order, r.source) for r in lines.collect()) == [(1, "c.log"), (3, "a.log")]
+    assert "b.log" not in str(lines._jdf.queryExecution().executedPlan().toString()) or lines.rdd.getNumPartitions() <= 2
 
 
 def test_fingerprint_sees_content_and_order(spark, tmp_path):

@@ -98,7 +98,6 @@ def test_mining_equals_the_line_by_line_model(spark, config):
 
 
 def test_leaders_in_several_packs(spark, monkeypatch):
-    monkeypatch.setattr("logloom.operators.templates.LEADERS_PER_ROW", 2)
     monkeypatch.setattr("logloom.operators.templates.MAX_UNION", 2)
     signatures = _random_signatures(5, count=120)
     config = MiningConfig(sim_th=0.8, batch=2)
@@ -135,7 +134,9 @@ def test_template_fits_its_lines(spark):
         assert all(t in (WILD, s) for t, s in pairs)
 
 
-def test_increment_keeps_ids_and_appends(spark):
+@pytest.mark.parametrize("pack", [1024, 2])
+def test_increment_keeps_ids_and_appends(spark, pack, monkeypatch):
+    monkeypatch.setattr("logloom.operators.templates.KNOWN_PACK", pack)
     signatures = _random_signatures(31)
     first, second = signatures[:100], signatures[60:]
     config = MiningConfig()
