@@ -20,6 +20,7 @@ from logloom.operators.counts import (
     total_summary,
 )
 from logloom.operators.labels import anomaly_instances, label_by_precedence, label_sources
+from logloom.operators.models import ModelConfig
 from logloom.plans.ingest import ingest, templates
 from logloom.plans.train import features_of, train
 from logloom.plans.vectorize import block_matrix
@@ -46,7 +47,7 @@ def _labels(spark: SparkSession, args: argparse.Namespace, events: DataFrame, en
     return label_by_precedence(label_sources(events, sources), entity_col, listed)
 
 
-def main() -> None:
+def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="logloom")
     parser.add_argument("step", choices=["ingest", "vectorize", "profile", "train"])
     parser.add_argument("--format", choices=sorted(FORMATS), required=True)
@@ -58,8 +59,10 @@ def main() -> None:
     parser.add_argument("--label-ids", help="text file that lists anomalous ids")
     parser.add_argument("--source-label", nargs="*", type=_pairs, default=[], help="file=label, in order")
     parser.add_argument("--positive", default="Anomaly")
+    parser.add_argument("--folds", type=int, default=10)
+    parser.add_argument("--trees", type=int, default=100)
     parser.add_argument("--csv", action="store_true", help="also write the matrix as CSV")
-    args = parser.parse_args()
+    args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("logloom").getOrCreate()
     fmt, out = FORMATS[args.format], args.out.rstrip("/")
@@ -106,7 +109,8 @@ def main() -> None:
         counts = spark.read.parquet(f"{out}/counts")
         events = events_of(spark.read.parquet(f"{out}/templates")).select("event_id")
         features, columns = features_of(counts, spark.read.parquet(f"{out}/labels"), args.positive, events=events)
-        train(spark, features, columns, f"{out}/model").show(truncate=False)
+        config = ModelConfig(trees=args.trees)
+        train(spark, features, columns, f"{out}/model", args.folds, config).show(truncate=False)
     drop_staged(spark)
 
 

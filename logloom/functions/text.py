@@ -22,7 +22,7 @@ STRIP_SET = "".join(
 )
 _EXOTIC = r"\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 STRIP_CLASS = rf"[{_EXOTIC} ]"
-# White space other than one plain blank: matches nothing in most lines.
+# White space other than one plain blank.
 _UNEVEN = rf"(?:[{_EXOTIC}]|  ){STRIP_CLASS}*"
 
 # Joins the captured header groups so that one regex run yields all of them.
@@ -88,7 +88,10 @@ def signature(content: Column, masks: Iterable[Mask]) -> Column:
     line would be a signature of its own.
     """
     masks = tuple(masks)
-    text = F.trim(F.regexp_replace(mask(content, masks), _UNEVEN, " "))
+    text = mask(content, masks)
+    # Most lines hold plain blanks only, which two quick scans tell.
+    suspect = F.contains(text, F.lit("  ")) | text.rlike("[^ -~]")
+    text = F.trim(F.when(suspect, F.regexp_replace(text, _UNEVEN, " ")).otherwise(text))
     if not masks:
         text = F.regexp_replace(text, r"(^| )[^ \d]*\d[^ ]*", "$1" + WILDCARD)
     return text

@@ -57,7 +57,7 @@ def score(model, rows: DataFrame) -> DataFrame:
 
 
 def cross_validate(
-    folded: DataFrame, names: tuple[str, ...] = MODELS, config: ModelConfig = ModelConfig(), parallel: int = 4
+    folded: DataFrame, names: tuple[str, ...] = MODELS, config: ModelConfig = ModelConfig(), parallel: int = 8
 ) -> DataFrame:
     """Held-out scores (model, fold, entity_id, target, prediction, score) of every fold.
 
