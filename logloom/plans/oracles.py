@@ -288,6 +288,56 @@ kept AS (
   QUALIFY row_number() OVER (PARTITION BY n_tokens ORDER BY min(seen_at)) <= 4)""",
     "SELECT signature, w.n_tokens, coalesce(k.head, '<*>') AS head FROM wild w LEFT JOIN kept k USING (n_tokens, head)",
 )
+
+
+def _hits(left: str, right: str) -> str:
+    return f"len(list_filter(list_zip({left}, {right}), lambda z: z[1] = z[2] AND z[1] != '<*>'))"
+
+
+# Signatures one by one in order of appearance: each joins the leaders of its leaf or becomes one.
+MINED = f"""{SIGNATURES},
+split AS (
+  SELECT *, CASE WHEN signature = '' THEN [] ELSE string_split(signature, ' ') END AS tokens FROM signatures),
+wild AS (
+  SELECT *, len(tokens) AS n_tokens,
+    CASE WHEN regexp_matches(tokens[1], '\\d') THEN '<*>' ELSE tokens[1] END AS head FROM split),
+kept AS (
+  SELECT n_tokens, head FROM wild WHERE head != '<*>' GROUP BY n_tokens, head
+  QUALIFY row_number() OVER (PARTITION BY n_tokens ORDER BY min(seen_at)) <= 99),
+leafed AS (
+  SELECT w.* REPLACE (coalesce(k.head, '<*>') AS head),
+    row_number() OVER (PARTITION BY w.n_tokens, coalesce(k.head, '<*>') ORDER BY seen_at) AS i
+  FROM wild w LEFT JOIN kept k ON w.n_tokens = k.n_tokens AND w.head = k.head),
+walk AS (
+  SELECT n_tokens, head, i, seen_at, true AS leads, [tokens] AS leaders FROM leafed WHERE i = 1
+  UNION ALL
+  SELECT n_tokens, head, i, seen_at, NOT covered, CASE WHEN covered THEN leaders ELSE list_append(leaders, tokens) END
+  FROM (
+    SELECT l.*, w.leaders, len(list_filter(w.leaders, lambda x: {_hits('x', 'l.tokens')} / greatest(len(x), 1) >= 0.4)) > 0 AS covered
+    FROM walk w JOIN leafed l ON l.n_tokens = w.n_tokens AND l.head = w.head AND l.i = w.i + 1)),
+led AS (SELECT l.* FROM leafed l JOIN walk w USING (seen_at) WHERE leads),
+chosen AS (
+  SELECT s.signature, s.tokens, s.lines, s.seen_at, l.seen_at AS leader_seen
+  FROM leafed s JOIN led l ON s.n_tokens = l.n_tokens AND s.head = l.head
+  QUALIFY row_number() OVER (PARTITION BY s.signature
+    ORDER BY CASE WHEN s.signature = l.signature THEN 1000000 ELSE {_hits('s.tokens', 'l.tokens')} END DESC, l.seen_at) = 1),
+groups AS (
+  SELECT leader_seen, row_number() OVER (ORDER BY min(seen_at)) AS event_no, sum(lines)::BIGINT AS Occurrences
+  FROM chosen GROUP BY leader_seen),
+positions AS (
+  SELECT leader_seen, pos, CASE WHEN min(token) = max(token) THEN min(token) ELSE '<*>' END AS token
+  FROM (SELECT leader_seen, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM chosen) GROUP BY ALL),
+texts AS (SELECT leader_seen, string_agg(token, ' ' ORDER BY pos) AS EventTemplate FROM positions GROUP BY leader_seen)"""
+_add(
+    "template_groups",
+    f"RECURSIVE {DOCUMENT_PARSED},{SIGNED},{MINED}",
+    "SELECT signature, lines, event_no, 'E' || event_no AS EventId FROM chosen JOIN groups USING (leader_seen)",
+)
+_add(
+    "template_table",
+    f"RECURSIVE {VM_PARSED},{SIGNED},{MINED}",
+    "SELECT event_no, 'E' || event_no AS EventId, EventTemplate, Occurrences FROM groups JOIN texts USING (leader_seen)",
+)
 _add("template_table_exact", VM_EVENTS, "SELECT event_no, EventId, EventTemplate, Occurrences FROM templates")
 _add("line_events", VM_EVENTS, "SELECT LineId, EventId, EventTemplate FROM structured")
 
