@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logloom.llm.byte_bpe import round_trip
 from logloom.llm.exact_dedup import exact_dedup
+from logloom.llm.licenses import scan_licenses
+from logloom.llm.secrets import scan_secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +28,21 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret candidates with corpus-wide ownership."""
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and signature rules."""
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_byte_bpe": op6_byte_bpe,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {
