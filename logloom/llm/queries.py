@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from logloom.llm.byte_bpe import round_trip
+from logloom.llm.embeddings import embedding_duplicates
 from logloom.llm.exact_dedup import exact_dedup
 from logloom.llm.licenses import scan_licenses
 from logloom.llm.secrets import scan_secrets
@@ -22,6 +23,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of embeddings at cosine 0.95."""
+    return embedding_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids and their decoding, digested."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -40,6 +46,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_license_scan": op10_license_scan,
