@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logloom.llm.byte_bpe import round_trip
 from logloom.llm.embeddings import embedding_duplicates
 from logloom.llm.exact_dedup import exact_dedup
+from logloom.llm.jaccard import jaccard_components
 from logloom.llm.licenses import scan_licenses
 from logloom.llm.secrets import scan_secrets
 
@@ -28,6 +29,11 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 5-word shingles overlap to 0.8 and more."""
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids and their decoding, digested."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -47,6 +53,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_license_scan": op10_license_scan,
