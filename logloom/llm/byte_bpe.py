@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -32,12 +31,15 @@ MEMO_PIECES = 400_000
 
 _OUT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
-
-# A space beside white space, or at an end.
-_TOUCHING = re.compile(r"\s | \s|\A | \Z")
 Coded = tuple[int, str, bytes, list[int]]
 
 
+def single_spaced(text: str) -> bool:
+    """Whether all white space is single spaces and line feeds between other characters."""
+    words, gaps = text.split(), text.count(" ") + text.count("\n")
+    return len(words) == gaps + 1 and sum(map(len, words)) + gaps == len(text)
+
+
 def cut(text: str) -> list[str]:
     """The text in chunks that start with the space before a word."""
     parts = text.split(" ")
@@ -206,7 +208,7 @@ class BytePairs:
         if not self._spaced:
             return [self._code(text, self._chunks)] if text else []
         known = self._chunks
-        if text and not _TOUCHING.search(text):
+        if single_spaced(text):
             words = self._words
             first, *rest = text.split(" ")
             return [known.get(first) or self._code(first, known), *[words.get(x) or self._code(x, words, " ") for x in rest]]

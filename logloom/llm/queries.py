@@ -12,6 +12,7 @@ from logloom.llm.embeddings import embedding_duplicates
 from logloom.llm.exact_dedup import exact_dedup
 from logloom.llm.jaccard import jaccard_components
 from logloom.llm.licenses import scan_licenses
+from logloom.llm.packing import pack_documents
 from logloom.llm.secrets import scan_secrets
 
 
@@ -40,6 +41,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as token pieces in sequences of at most 1024 tokens."""
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret candidates with corpus-wide ownership."""
     return scan_secrets(_table(spark, sf_dir, "documents"))
@@ -55,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_license_scan": op10_license_scan,
 }
