@@ -8,20 +8,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from logloom.llm.exact_dedup import keep_distinct
+from logloom.llm.jaccard import keep_one_per_group
+from logloom.llm.packing import pack_documents
+from logloom.llm.secrets import redact_live
+from logloom.llm.toxicity import drop_toxic
 from logloom.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain calls toxic go."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays."""
     return keep_distinct(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact_copies)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return keep_one_per_group(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Credentials that look live are taken out of the texts; all documents stay."""
+    return redact_live(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as token pieces in sequences."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_copies),
+    ("ngram_jaccard", near_copies),
+    ("secret_scan", secrets),
+    ("best_fit_packing", packing),
+]
 
 # A fitted classifier comes first, which SQL can't express.
 ORACLE_SQL = None

@@ -14,6 +14,7 @@ from logloom.llm.jaccard import jaccard_components
 from logloom.llm.licenses import scan_licenses
 from logloom.llm.packing import pack_documents
 from logloom.llm.secrets import scan_secrets
+from logloom.llm.toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,11 +57,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities and the verdict of the classifier chain."""
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_toxicity": op7_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_license_scan": op10_license_scan,
