@@ -29,9 +29,11 @@ from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 6000
 FOLDS = 3
-DIMENSIONS = 1 << 18
+DIMENSIONS = 1 << 20
+# Odd factor that gives the second place of a feature that occurs again.
+AGAIN = 0x9E3779B1
 # Beginnings of words that count as features.
-BEGINNINGS = (4, 5)
+BEGINNINGS = (4, 5, 6, 7, 9)
 THRESHOLD = 0.3
 # A feature counts from this z score on; what is less telling would only add noise to long texts.
 LEAST_Z = 5.0
@@ -58,12 +60,14 @@ class Features:
         return found
 
     def ids(self, text: str | None) -> np.ndarray:
+        """Features of the text, and for those of two or more different runs a second one."""
         known = self.known
-        found: set[int] = set()
+        found: list[int] = []
         for run in set((text or "").split()):
             ids = known.get(run)
-            found.update(self._of(run) if ids is None else ids)
-        return np.array(sorted(found), np.int32)
+            found += self._of(run) if ids is None else ids
+        ids, counts = np.unique(np.array(found, np.int64), return_counts=True)
+        return np.unique(np.concatenate([ids, ids[counts > 1] * AGAIN % DIMENSIONS])).astype(np.int32)
 
 
 @dataclass
