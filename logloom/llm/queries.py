@@ -14,6 +14,7 @@ from logloom.llm.jaccard import jaccard_components
 from logloom.llm.licenses import scan_licenses
 from logloom.llm.packing import pack_documents
 from logloom.llm.secrets import scan_secrets
+from logloom.llm.surrogates import surrogate_documents
 from logloom.llm.toxicity import score_toxicity
 
 
@@ -31,6 +32,11 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by surrogates."""
+    return surrogate_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 5-word shingles overlap to 0.8 and more."""
     return jaccard_components(_table(spark, sf_dir, "documents"))
@@ -65,6 +71,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_toxicity": op7_toxicity,
