@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logloom.llm.byte_bpe import round_trip
 from logloom.llm.embeddings import embedding_duplicates
@@ -13,6 +14,7 @@ from logloom.llm.exact_dedup import exact_dedup
 from logloom.llm.jaccard import jaccard_components
 from logloom.llm.licenses import scan_licenses
 from logloom.llm.packing import pack_documents
+from logloom.llm.revisits import captures_of, resolve_revisits
 from logloom.llm.secrets import scan_secrets
 from logloom.llm.surrogates import surrogate_documents
 from logloom.llm.toxicity import score_toxicity
@@ -42,6 +44,13 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits of crawled pages with the responses they stand for; headers as sorted text."""
+    found = resolve_revisits(captures_of(_table(spark, sf_dir, "pages")))
+    lines = F.transform(F.map_entries("headers"), lambda x: F.concat_ws(": ", x["key"], x["value"]))
+    return found.withColumn("headers", F.array_join(F.array_sort(lines), "; "))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids and their decoding, digested."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -73,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_pii_surrogates": op3_pii_surrogates,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_warc_revisits": op5_warc_revisits,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_toxicity": op7_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
@@ -93,4 +103,38 @@ ORACLES: dict[str, str] = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM owned
     """,
+    "op5_warc_revisits": r"""
+        WITH parts AS (
+            SELECT page_id AS n, coalesce(html, '') AS body,
+                   regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest
+            FROM pages
+        ), keyed AS (
+            SELECT n, body, page_id_at.at AS at, page_id_at.at + (n % 9 + 1) * 3600 AS later,
+                   regexp_replace(lower(regexp_extract(rest, '^(?:[^/?]*@)?([^/?]*)', 1)), '^www\.|:(?:80|443)$', '', 'g') AS host,
+                   regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+                   list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+                       x -> x <> '' AND NOT regexp_matches(x, '^(?:utm_[^=]*|ref|fbclid|gclid|sessionid)(?:=|$)'))) AS query
+            FROM parts, LATERAL (SELECT n * 60 AS at) AS page_id_at
+        ), named AS (
+            SELECT *, host || path || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS url_key,
+                   '"' || substring(md5(body), 1, 16) || '"' AS tag, (n * 60 - n % 5000)::VARCHAR AS modified
+            FROM keyed
+        ), asked AS (
+            SELECT n * 2 + 1 AS record_id, url_key, later AS at, modified,
+                   CASE WHEN n % 5 = 0 THEN NULL WHEN n % 11 = 0 THEN '"stale"' ELSE tag END AS tag
+            FROM named
+        ), joined AS (
+            SELECT a.record_id, a.url_key, a.at, f.n * 2 AS response_id, f.at AS response_at, a.tag, a.modified,
+                   f.tag AS full_tag, sha1(f.body) AS sha, strlen(f.body) AS size,
+                   CASE WHEN f.n IS NULL THEN NULL WHEN a.tag IS NOT NULL THEN 'etag' ELSE 'last-modified' END AS validator,
+                   CASE WHEN f.n IS NULL THEN 'missing'
+                        WHEN coalesce(a.tag = f.tag, a.modified = f.modified) THEN 'resolved' ELSE 'changed' END AS state
+            FROM asked a ASOF LEFT JOIN named f ON a.url_key = f.url_key AND a.at > f.at
+        )
+        SELECT record_id, url_key, at, response_id, response_at, validator, state,
+               CASE WHEN state = 'resolved' THEN sha END AS digest, CASE WHEN state = 'resolved' THEN size END AS n_bytes,
+               CASE WHEN state = 'resolved' THEN 'cache-control: max-age=60; content-type: text/html; date: ' || at || '; etag: '
+                    || coalesce(tag, full_tag) || '; last-modified: ' || modified END AS headers
+        FROM joined
+    """,
 }
