@@ -109,31 +109,31 @@ ORACLES: dict[str, str] = {
                    regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest
             FROM pages
         ), keyed AS (
-            SELECT n, body, page_id_at.at AS at, page_id_at.at + (n % 9 + 1) * 3600 AS later,
+            SELECT n, body, page_at.moment AS "at", page_at.moment + (n % 9 + 1) * 3600 AS later,
                    regexp_replace(lower(regexp_extract(rest, '^(?:[^/?]*@)?([^/?]*)', 1)), '^www\.|:(?:80|443)$', '', 'g') AS host,
                    regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
                    list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
                        x -> x <> '' AND NOT regexp_matches(x, '^(?:utm_[^=]*|ref|fbclid|gclid|sessionid)(?:=|$)'))) AS query
-            FROM parts, LATERAL (SELECT n * 60 AS at) AS page_id_at
+            FROM parts, LATERAL (SELECT n * 60 AS moment) AS page_at
         ), named AS (
             SELECT *, host || path || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS url_key,
                    '"' || substring(md5(body), 1, 16) || '"' AS tag, (n * 60 - n % 5000)::VARCHAR AS modified
             FROM keyed
         ), asked AS (
-            SELECT n * 2 + 1 AS record_id, url_key, later AS at, modified,
+            SELECT n * 2 + 1 AS record_id, url_key, later AS "at", modified,
                    CASE WHEN n % 5 = 0 THEN NULL WHEN n % 11 = 0 THEN '"stale"' ELSE tag END AS tag
             FROM named
         ), joined AS (
-            SELECT a.record_id, a.url_key, a.at, f.n * 2 AS response_id, f.at AS response_at, a.tag, a.modified,
+            SELECT a.record_id, a.url_key, a."at", f.n * 2 AS response_id, f."at" AS response_at, a.tag, a.modified,
                    f.tag AS full_tag, sha1(f.body) AS sha, strlen(f.body) AS size,
                    CASE WHEN f.n IS NULL THEN NULL WHEN a.tag IS NOT NULL THEN 'etag' ELSE 'last-modified' END AS validator,
                    CASE WHEN f.n IS NULL THEN 'missing'
                         WHEN coalesce(a.tag = f.tag, a.modified = f.modified) THEN 'resolved' ELSE 'changed' END AS state
-            FROM asked a ASOF LEFT JOIN named f ON a.url_key = f.url_key AND a.at > f.at
+            FROM asked a ASOF LEFT JOIN named f ON a.url_key = f.url_key AND a."at" > f."at"
         )
-        SELECT record_id, url_key, at, response_id, response_at, validator, state,
+        SELECT record_id, url_key, "at", response_id, response_at, validator, state,
                CASE WHEN state = 'resolved' THEN sha END AS digest, CASE WHEN state = 'resolved' THEN size END AS n_bytes,
-               CASE WHEN state = 'resolved' THEN 'cache-control: max-age=60; content-type: text/html; date: ' || at || '; etag: '
+               CASE WHEN state = 'resolved' THEN 'cache-control: max-age=60; content-type: text/html; date: ' || "at" || '; etag: '
                     || coalesce(tag, full_tag) || '; last-modified: ' || modified END AS headers
         FROM joined
     """,
