@@ -25,7 +25,8 @@ BASE = (
     ("mit license", "mit"),
 )
 
-# Families: label, the keyword that gates the rules, and the words of the name.
+# Families: label, the keyword that gates the rules (the beginning of a word or of several), and the
+# words of the name.
 FAMILIES = (
     ("gpl", "gnu", "gnu general public licen[sc]e"),
     ("gpl", "gpl", "gpl"),
@@ -35,7 +36,8 @@ FAMILIES = (
     ("agpl", "agpl", "agpl"),
     ("gfdl", "gnu", "gnu free documentation licen[sc]e"),
     ("apache", "apache", "apache(?: software)? licen[sc]e"),
-    ("mit", "mit", "mit(?: x11)? licen[sc]e"),
+    ("mit", "mit licen", "mit licen[sc]e"),
+    ("mit", "mit x11", "mit x11 licen[sc]e"),
     ("bsd", "bsd", "(?:(?:0|1|2|3|4) clause )?bsd(?: (?:0|1|2|3|4) clause)?(?: licen[sc]e)?"),
     ("mpl", "mozilla", "mozilla public licen[sc]e"),
     ("mpl", "mpl", "mpl"),
@@ -112,17 +114,25 @@ def _rules_column() -> Column:
         *[
             F.struct(
                 F.lit(priority).alias("priority"), F.lit(order).alias("order"), F.lit(label).alias("label"),
-                F.lit(f" {keyword} ").alias("keyword"), F.lit(pattern).alias("pattern"),
+                F.lit(keyword).alias("keyword"), F.lit(pattern).alias("pattern"),
             )
             for order, (priority, label, keyword, pattern) in enumerate(rules())
         ]
     )
 
 
-def _detections(words: Column) -> Column:
-    """All intervals of the rules whose keyword occurs."""
-    low = F.lower(words)
-    gated = F.filter(_rules_column(), lambda r: F.contains(low, r["keyword"]))
+def keywords() -> list[str]:
+    return sorted({keyword for _, _, keyword, _ in rules()})
+
+
+def _present(words: Column) -> Column:
+    """The keywords that occur."""
+    return F.filter(F.array(*map(F.lit, keywords())), lambda k: F.contains(words, F.concat(F.lit(" "), k)))
+
+
+def _detections(words: Column, present: Column) -> Column:
+    """All intervals of the rules whose keyword is present."""
+    gated = F.filter(_rules_column(), lambda r: F.array_contains(present, r["keyword"]))
     return F.flatten(
         F.transform(
             gated,
@@ -168,13 +178,17 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     padded = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), NOT_WORD, " ")), F.lit(" "))
     words = F.col("words")
     phrase = "(?i)(?<= )(?:" + "|".join(p for p, _ in BASE) + ")(?= )"
-    gate = "(?i) (?:" + "|".join(sorted({k for _, _, k, _ in rules()} | {p.split()[0] for p, _ in BASE})) + ") "
+    gate = "(?i) (?:" + "|".join(sorted({*keywords(), *(p for p, _ in BASE)})) + ")"
     gated = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), once("words", padded)).select(
-        "doc_id", "words", once("gate", words.rlike(gate))
+        "doc_id", "words", once("low", F.when(words.rlike(gate), F.lower(words)))
     )
-    hits = F.when(F.col("gate"), F.regexp_extract_all(words, F.lit(phrase), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    kept = F.when(F.col("gate"), _unsuppressed(_detections(words))).otherwise(F.array().cast(_FOUND))
-    scanned = gated.select("doc_id", "words", once("found", F.struct(hits.alias("hits"), kept.alias("kept"))))
+    gated = gated.select("doc_id", "words", once("present", F.when(F.col("low").isNotNull(), _present(F.col("low")))))
+    some_rules = F.size("present") > 0
+    hits = F.when(F.col("present").isNotNull(), F.regexp_extract_all(words, F.lit(phrase), F.lit(0)))
+    kept = F.when(some_rules, _unsuppressed(_detections(words, F.col("present"))))
+    none, unkept = F.array().cast("array<string>"), F.array().cast(_FOUND)
+    found = F.struct(F.coalesce(hits, none).alias("hits"), F.coalesce(kept, unkept).alias("kept"))
+    scanned = gated.select("doc_id", "words", once("found", found))
     found = F.col("found.hits")
     label = F.create_map(*[F.lit(x) for pair in BASE for x in pair])
     base_labels = F.array_sort(F.array_distinct(F.transform(found, lambda x: F.element_at(label, F.lower(x)))))
