@@ -113,7 +113,7 @@ ORACLES: dict[str, str] = {
                    regexp_replace(lower(regexp_extract(rest, '^(?:[^/?]*@)?([^/?]*)', 1)), '^www\.|:(?:80|443)$', '', 'g') AS host,
                    regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
                    list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
-                       x -> x <> '' AND NOT regexp_matches(x, '^(?:utm_[^=]*|ref|fbclid|gclid|sessionid)(?:=|$)'))) AS query
+                       lambda x: x <> '' AND NOT regexp_matches(x, '^(?:utm_[^=]*|ref|fbclid|gclid|sessionid)(?:=|$)'))) AS query
             FROM parts, LATERAL (SELECT n * 60 AS moment) AS page_at
         ), named AS (
             SELECT *, host || path || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS url_key,
@@ -137,4 +137,43 @@ ORACLES: dict[str, str] = {
                     || coalesce(tag, full_tag) || '; last-modified: ' || modified END AS headers
         FROM joined
     """,
+    "op2_embedding_dedup": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+        ), links AS (
+            SELECT a.vec_id AS u, b.vec_id AS w FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+            WHERE list_dot_product(a.v, b.v) >= 0.95 * sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))
+              AND list_dot_product(a.v, a.v) > 0 AND list_dot_product(b.v, b.v) > 0
+        ), reached(vec_id, low) AS (
+            SELECT vec_id, vec_id FROM vectors
+            UNION SELECT l.w, r.low FROM reached r JOIN links l ON r.vec_id = l.u
+        ), least AS (
+            SELECT vec_id, min(low) AS component_id FROM reached GROUP BY vec_id
+        )
+        SELECT vec_id, (SELECT count(*) FROM links WHERE u = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+        FROM least
+    """,
+    "op4_ngram_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+            FROM words
+        ), shingles AS (
+            SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets
+        ), links AS (
+            SELECT a.doc_id AS u, b.doc_id AS w FROM shingles a JOIN shingles b ON a.t = b.t AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+            HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+        ), reached(doc_id, low) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT l.w, r.low FROM reached r JOIN links l ON r.doc_id = l.u
+        ), least AS (
+            SELECT doc_id, min(low) AS component_id FROM reached GROUP BY doc_id
+        )
+        SELECT s.doc_id, len(s.s) AS n_shingles, component_id FROM sets s JOIN least USING (doc_id)
+    """,
 }
