@@ -44,9 +44,11 @@ NUM, DEN = 80, 100
 BITS = 4096
 # Rows of a tile that are compared at once.
 TILE_ROWS = 2048
+# Sets of a block of candidate pairs; a tile holds two blocks.
+BLOCK_ROWS = 512
 # A shingle is common in a task from this share of its documents on; so many of them are put last.
-COMMON_SHARE, COMMON_LEAST = 0.002, 12
-COMMON_MOST = 100_000
+COMMON_SHARE, COMMON_LEAST = 0.0005, 4
+COMMON_MOST = 400_000
 # A bitmap of so many bits (4 MB) spares sets that meet nothing a shuffle; pages it is gathered in.
 FILTER_BITS = 1 << 25
 FILTER_PAGE = 1 << 15
@@ -284,16 +286,20 @@ def _tiles(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (shingle, n): pairs of different components that can link.
+    """Rows come sorted by (shingle, size): pairs of different components that can link.
+
+    ``apart`` is the node less its component, ``spot`` the size times 2^32 plus the place of the
+    shingle in the order: columns that compress.
 
     Of all shingles that two sets share, the first in the common order bounds their overlap by
     what follows it in either set; a pair that is left out here shows under that shingle.
     """
-    names = ("shingle", "node", "n", "component", "place")
+    names = ("shingle", "node", "apart", "spot")
     rest = np.zeros((0, len(names)), np.int64)
 
     def out(run: np.ndarray) -> Iterator[pa.RecordBatch]:
-        _, nodes, sizes, groups, places = run.T
+        _, nodes, apart, spots = run.T
+        groups, sizes, places = nodes - apart, spots >> 32, spots & 0xFFFFFFFF
         if (groups == groups[0]).all():
             return
         behind = sizes - places
@@ -328,26 +334,61 @@ def _values(hashes: pa.Scalar) -> np.ndarray:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (u, own first): every partner of u is checked against its set."""
-    centre, own = None, None
+    """Rows come sorted by (tile, sets first): the pairs of a tile are checked against its sets."""
+    tile, sets, maps = None, {}, {}
+
+    def map_of(node: int, bits: int) -> np.ndarray:
+        found = maps.get((node, bits))
+        if found is None:
+            found = maps[node, bits] = bitmap(sets[node], bits)
+        return found
+
     for batch in batches:
         u, v = [], []
-        for a, b, hashes in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), batch.column("hashes")):
-            values = _values(hashes)
-            if b == a:
-                centre, own = a, values
-            elif a == centre:
-                n, m = len(own), len(values)
-                need = int(least_overlap(np.int64(n), m))
-                bits = bits_for(max(n, m))
-                differ = int(np.bitwise_count(bitmap(own, bits) ^ bitmap(values, bits)).sum())
-                if (n + m - differ) // 2 >= need and overlap(own, values) >= need:
-                    u.append(a)
-                    v.append(b)
+        hashes = batch.column("hashes")
+        for i, (now, a, b) in enumerate(zip(*(batch.column(x).to_pylist() for x in ("tile", "u", "v")))):
+            if now != tile:
+                tile, sets, maps = now, {}, {}
+            if b is None:
+                sets[a] = _values(hashes[i])
+                continue
+            n, m = len(sets[a]), len(sets[b])
+            need = int(least_overlap(np.int64(n), m))
+            # Two bits per shingle: sets that just miss the threshold are told by their bitmaps.
+            bits = 2 * bits_for(max(n, m))
+            differ = int(np.bitwise_count(map_of(a, bits) ^ map_of(b, bits)).sum())
+            if (n + m - differ) // 2 >= need and overlap(sets[a], sets[b]) >= need:
+                u.append(a)
+                v.append(b)
         if u:
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
+def _verified(sets: DataFrame, pairs: DataFrame, block_rows: int) -> DataFrame:
+    """The links among ``pairs`` (u < v), checked in tiles.
+
+    Sets with the same least partner are likely partners of each other: they form blocks of at
+    most about ``block_rows``, and the pairs of two blocks a tile. A set is sent once per tile
+    that it has a pair in, not once per pair.
+    """
+    ends = pairs.select("u", F.explode(F.array("u", "v")).alias("node"))
+    least = ends.groupBy("node").agg(F.min("u").alias("label"))
+    sizes = least.groupBy("label").agg(F.ceil(F.count("*") / block_rows).cast("bigint").alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    blocks = stage(least.join(sizes, "label").select("node", F.xxhash64("label", part).alias("block")), "blocks")
+    placed = pairs.join(blocks.select(F.col("node").alias("u"), F.col("block").alias("block_u")), "u")
+    placed = placed.join(blocks.select(F.col("node").alias("v"), F.col("block").alias("block_v")), "v")
+    tile = F.xxhash64(F.least("block_u", "block_v"), F.greatest("block_u", "block_v"))
+    placed = stage(placed.select(tile.alias("tile"), "u", "v"), "placed-pairs")
+    wanted = placed.select("tile", F.explode(F.array("u", "v")).alias("node")).distinct()
+    able = _spared(sets, [F.col("node")], blocks.select("node"))
+    none = F.lit(None).cast("bigint")
+    rows = wanted.join(able, "node").select("tile", F.col("node").alias("u"), none.alias("v"), "hashes")
+    rows = rows.union(placed.select("tile", "u", "v", F.lit(None).cast("binary")))
+    dealt = rows.repartition("tile").sortWithinPartitions("tile", F.col("v").isNotNull())
+    return dealt.mapInArrow(_verify, "u bigint, v bigint")
+
+
 def _common_shingles(found: DataFrame, most: int) -> np.ndarray:
     """At most ``most`` of the shingles that tasks reported, by how often; sorted."""
     counted = found.filter("kind = 2").groupBy("high").agg(F.sum("n").alias("n"))
@@ -419,20 +460,15 @@ def jaccard_links(sets: DataFrame, common: np.ndarray, tile_rows: int = TILE_ROW
         partial(_prefix, common=common), "node bigint, n bigint, prefix array<bigint>"
     )
     tokens = prefixes.join(groups, "node", "left").select(
-        "node", "n", F.coalesce("component", "node").alias("component"), F.posexplode("prefix").alias("place", "shingle")
+        "node",
+        "n",
+        (F.col("node") - F.coalesce("component", "node")).alias("apart"),
+        F.posexplode("prefix").alias("place", "shingle"),
     )
-    met = tokens.repartition("shingle").sortWithinPartitions("shingle", "n")
+    tokens = tokens.select("shingle", "node", "apart", (F.shiftleft("n", 32) + F.col("place")).alias("spot"))
+    met = tokens.repartition("shingle").sortWithinPartitions("shingle", "spot")
     pairs = stage(met.mapInArrow(_pairs, "u bigint, v bigint").distinct(), "pairs")
-    # A set with many partners is copied to several tasks, each with a part of the partners.
-    centres = pairs.groupBy("u").agg(F.ceil(F.count("*") / tile_rows).cast("bigint").alias("parts"))
-    part = F.pmod(F.xxhash64("v"), F.col("parts")).alias("part")
-    asked = pairs.join(centres, "u").select("u", F.col("v").alias("node"), part)
-    own = centres.select("u", F.col("u").alias("node"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
-    asked = asked.union(own)
-    able = _spared(sets, [F.col("node")], asked.select("node"))
-    checked = asked.join(able, "node").select("u", F.col("node").alias("v"), "part", "hashes")
-    checked = checked.repartition("u", "part").sortWithinPartitions("u", "part", F.col("u") != F.col("v"))
-    return near.union(stage(checked.select("u", "v", "hashes").mapInArrow(_verify, "u bigint, v bigint"), "far-links"))
+    return near.union(stage(_verified(sets, pairs, BLOCK_ROWS), "far-links"))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, tile_rows: int = TILE_ROWS, common_most: int = COMMON_MOST) -> DataFrame:
