@@ -9,7 +9,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logloom.functions.formats import FORMATS
+from logloom.functions.formats import FORMATS, MiningConfig
 from logloom.operators import profile
 from logloom.operators.counts import (
     entity_event_counts,
@@ -25,6 +25,7 @@ from logloom.plans.ingest import ingest, templates
 from logloom.plans.train import features_of, train
 from logloom.plans.vectorize import block_matrix
 from logloom.session import drop_staged
+from logloom.sources.ledger import clear
 from logloom.sources.labels import read_label_csv, read_label_ids
 from logloom.sources.tables import export_matrix_csv, read_events, read_or_none, write_table
 
@@ -34,6 +35,10 @@ def _pairs(text: str) -> tuple[str, str]:
     return name, label
 
 
+def _threshold(text: str) -> float | None:
+    return None if text == "off" else float(text)
+
+
 def _labels(spark: SparkSession, args: argparse.Namespace, events: DataFrame, entity_col: str) -> DataFrame | None:
     if args.labels:
         return read_label_csv(spark, args.labels)
@@ -61,13 +66,24 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--positive", default="Anomaly")
     parser.add_argument("--folds", type=int, default=10)
     parser.add_argument("--trees", type=int, default=100)
+    parser.add_argument("--sim-th", type=float, default=0.4, help="least share of equal tokens of a template")
+    parser.add_argument("--depth", type=int, default=4, help="depth of the template tree")
+    parser.add_argument("--max-children", type=int, default=100, help="tokens that a tree node keeps")
+    parser.add_argument("--no-masks", action="store_true", help="mine the text without masks")
+    parser.add_argument("--variance", type=_threshold, default=0.01, help="least variance of a feature, or off")
+    parser.add_argument("--correlation", type=_threshold, default=0.95, help="most correlation of a feature, or off")
+    parser.add_argument("--clear", nargs="?", const="", help="before ingest forget one source, or all")
     parser.add_argument("--csv", action="store_true", help="also write the matrix as CSV")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("logloom").getOrCreate()
     fmt, out = FORMATS[args.format], args.out.rstrip("/")
     if args.step == "ingest":
-        ingest(spark, fmt, args.raw, out, args.sources, archive=args.archive).show(truncate=False)
+        if args.clear is not None:
+            clear(spark, f"{out}/ledger", args.clear or None)
+        mining = MiningConfig(args.sim_th, args.depth, args.max_children)
+        masks = () if args.no_masks else None
+        ingest(spark, fmt, args.raw, out, args.sources, mining, args.archive, masks).show(truncate=False)
         table = templates(spark, out)
         write_table(table, f"{out}/templates")
         profile.top_templates(spark.read.parquet(f"{out}/templates")).show(truncate=False)
@@ -96,6 +112,10 @@ def main(argv: list[str] | None = None) -> None:
             "variance": profile.event_variance(counts, events),
             "correlation": profile.event_correlation(counts, events),
             "missing": profile.missing_profile(spark.read.parquet(f"{out}/matrix")),
+            "columns": profile.column_profile(spark.read.parquet(f"{out}/matrix")),
+            "low_variance": profile.low_variance(profile.event_variance(counts, events)),
+            "correlated": profile.correlated_pairs(profile.event_correlation(counts, events)),
+            "top_event_correlation": profile.top_event_correlation(counts),
         }
         if labels is not None:
             labelled = entity_totals(counts).join(labels, "entity_id", "left")
@@ -108,7 +128,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         counts = spark.read.parquet(f"{out}/counts")
         events = events_of(spark.read.parquet(f"{out}/templates")).select("event_id")
-        features, columns = features_of(counts, spark.read.parquet(f"{out}/labels"), args.positive, events=events)
+        labels = spark.read.parquet(f"{out}/labels")
+        features, columns = features_of(counts, labels, args.positive, args.variance, args.correlation, events)
         config = ModelConfig(trees=args.trees)
         train(spark, features, columns, f"{out}/model", args.folds, config).show(truncate=False)
     drop_staged(spark)

@@ -7,9 +7,11 @@ products are added as decimals: a count of 1e11 squared does not fit a long.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -183,44 +185,62 @@ def low_variance(variances: DataFrame, threshold: float = 0.01) -> DataFrame:
     return variances.filter(F.col("variance") < threshold)
 
 
-def event_products(counts: DataFrame, block_cells: int = 4_000_000) -> DataFrame:
-    """(no_a, no_b, xy): sum over entities of the product of two event counts, a < b.
+def event_products(counts: DataFrame, block_rows: int = 2048, tile: int = 512) -> DataFrame:
+    """(no_a, no_b, xy): sum over entities of the product of two event counts, a < b; exact.
 
     A self-join on the entity would send every pair of every entity through the shuffle. Each
-    task multiplies a dense block of entities (at most ``block_cells`` cells) instead and sends
-    one sum per pair of events. The lists of an entity are as long as its distinct events.
+    task multiplies dense tiles instead, ``block_rows`` entities by two times ``tile`` events, and
+    sends one sum per pair of events that meet. Counts are cut into limbs of 21 bits: a product of
+    limbs has 42, and 2048 of them add up to 53, so every float is exact. The sums are put
+    together as decimals. The lists of an entity are as long as its distinct events.
     """
+    if block_rows > 2048:
+        raise ValueError("more than 2048 products of limbs don't add up exactly")
 
     # Defined here so that it travels to the executors by value; they need not have this package.
     def block_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            offsets = batch.column("events").offsets.to_numpy()
-            ends = offsets - offsets[0]
-            events = batch.column("events").flatten().to_numpy()
-            n = batch.column("ns").flatten().to_numpy()
-            start = 0
-            while start < len(ends) - 1:
-                # Entities are taken while rows * distinct events stay within the block.
-                width = max(len(np.unique(events[ends[start] :])), 1)
-                stop = min(start + max(block_cells // width, 1), len(ends) - 1)
-                cut = slice(ends[start], ends[stop])
-                names, column = np.unique(events[cut], return_inverse=True)
-                row = np.repeat(np.arange(stop - start), np.diff(ends[start : stop + 1]))
-                block = np.zeros((stop - start, len(names)))
-                block[row, column] = n[cut]
-                products = np.triu(block.T @ block, 1)
-                a, b = np.nonzero(products)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[a]), pa.array(names[b]), pa.array(products[a, b])], ["no_a", "no_b", "xy"]
-                )
-                start = stop
+            for start in range(0, batch.num_rows, block_rows):
+                part = batch.slice(start, block_rows)
+                sizes = pc.list_value_length(part.column("events")).to_numpy(zero_copy_only=False)
+                n = part.column("ns").flatten().to_numpy()
+                names, column = np.unique(part.column("events").flatten().to_numpy(), return_inverse=True)
+                if len(names) < 2:
+                    continue
+                row = np.repeat(np.arange(part.num_rows), sizes)
+                limbs = max(1, -(-int(n.max()).bit_length() // 21))
+                order = np.argsort(column, kind="stable")
+                row, column, n = row[order], column[order], n[order]
+                edges = np.searchsorted(column, np.arange(0, len(names) + tile, tile))
+
+                def dense(k: int, limb: int) -> np.ndarray:
+                    cut = slice(edges[k], edges[k + 1])
+                    block = np.zeros((part.num_rows, min(tile, len(names) - k * tile)))
+                    block[row[cut], column[cut] - k * tile] = (n[cut] >> (21 * limb)) & ((1 << 21) - 1)
+                    return block
+
+                for i in range(len(edges) - 1):
+                    lefts = [dense(i, limb).T for limb in range(limbs)]
+                    for j in range(i, len(edges) - 1):
+                        for q in range(limbs):
+                            right = dense(j, q)
+                            for p in range(limbs):
+                                products = lefts[p] @ right
+                                if i == j:
+                                    products = np.triu(products, 1)
+                                a, b = np.nonzero(products)
+                                if len(a):
+                                    arrays = (names[a + i * tile], names[b + j * tile], np.full(len(a), p + q), products[a, b].astype(np.int64))
+                                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["no_a", "no_b", "shift", "xy"])
 
     per_entity = counts.groupBy("entity_id").agg(
         F.collect_list(event_number(F.col("event_id"))).alias("events"),
-        F.collect_list(F.col("n").cast("double")).alias("ns"),
+        F.collect_list(F.col("n").cast("bigint")).alias("ns"),
     )
-    sums = per_entity.select("events", "ns").mapInArrow(block_products, "no_a bigint, no_b bigint, xy double")
-    return sums.groupBy("no_a", "no_b").agg(F.sum(F.col("xy").cast(BIG)).cast(BIG).alias("xy"))
+    sums = per_entity.select("events", "ns").mapInArrow(block_products, "no_a bigint, no_b bigint, shift bigint, xy bigint")
+    weight = F.array(*[F.lit(Decimal(2 ** (21 * k))).cast(BIG) for k in range(6)])
+    whole = (F.col("xy").cast("decimal(19,0)") * F.get(weight, F.col("shift").cast("int"))).cast(BIG)
+    return sums.groupBy("no_a", "no_b").agg(F.sum(whole).cast(BIG).alias("xy"))
 
 
 def event_correlation(counts: DataFrame, events: DataFrame | None = None) -> DataFrame:

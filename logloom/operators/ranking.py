@@ -14,7 +14,6 @@ from pyspark.sql.window import Window as W
 
 # Rows a single range may hold on average.
 RANGE_ROWS = 1_000_000
-MAX_RANGES = 10_000
 
 
 def with_range(df: DataFrame, key: str) -> tuple[DataFrame, int]:
@@ -24,7 +23,7 @@ def with_range(df: DataFrame, key: str) -> tuple[DataFrame, int]:
     compared as a double, which never reverses the order of longs, so a later range never holds
     an earlier key.
     """
-    ranges = min(MAX_RANGES, df.count() // RANGE_ROWS + 1)
+    ranges = df.count() // RANGE_ROWS + 1
     if ranges == 1:
         return df.withColumn("range_no", F.lit(0)), 1
     shares = [i / ranges for i in range(1, ranges)]

@@ -28,6 +28,8 @@ from logloom.operators.ranking import number_rows
 from logloom.session import broadcast_if_small, stage
 
 LEAF = ("n_tokens", "heads")
+# Type of ``seen_at``.
+ORDER = "decimal(38,0)"
 # Event numbers per pack of known leaders.
 KNOWN_PACK = 1024
 # Rounds whose leaders are read side by side before they are merged into one table.
@@ -71,7 +73,7 @@ def assign_leaves(signatures: DataFrame, config: MiningConfig, known: DataFrame
                     "n_tokens",
                     F.slice("heads", 1, level - 1).alias("heads"),
                     F.get("heads", F.lit(level - 1)).alias("head"),
-                    (F.col("event_no") - F.lit(2**62)).alias("seen_at"),
+                    (F.col("event_no") - F.lit(2**62)).cast(ORDER).alias("seen_at"),
                 )
             )
         first = (
@@ -158,17 +160,18 @@ def nearest_leader(leaves: DataFrame, packs: DataFrame, config: MiningConfig) ->
     def score(leader: Column) -> Column:
         same = leader["signature"] == F.col("signature")
         hits = F.when(same, F.size("tokens") + 1).otherwise(equal_tokens(leader["tokens"], F.col("tokens")))
-        return F.struct(hits.alias("hits"), (-leader["seen_at"]).alias("order"))
+        return F.struct((-hits).alias("short"), leader["seen_at"].alias("order"))
 
-    best = F.array_max(F.transform("leaders", score))
+    best = F.array_min(F.transform("leaders", score))
     joined = leaves.join(broadcast_if_small(packs), list(LEAF), "left")
     scored = joined.select(*leaves.columns, best.alias("best"))
     if not packs.groupBy(*LEAF).count().filter("count > 1").isEmpty():
         rows = [c for c in leaves.columns if c != "signature"]
-        scored = scored.groupBy("signature").agg(*[F.first(c).alias(c) for c in rows], F.max("best").alias("best"))
+        scored = scored.groupBy("signature").agg(*[F.first(c).alias(c) for c in rows], F.min("best").alias("best"))
     words = F.greatest(F.size("tokens"), F.lit(1))
-    enough = (F.col("best.hits") / words >= config.sim_th) | (F.col("best.hits") > F.size("tokens"))
-    return scored.withColumn("leader_seen", F.when(enough, -F.col("best.order"))).drop("best")
+    hits = -F.col("best.short")
+    enough = (hits / words >= config.sim_th) | (hits > F.size("tokens"))
+    return scored.withColumn("leader_seen", F.when(enough, F.col("best.order"))).drop("best")
 
 
 def template_texts(grouped: DataFrame, key: str) -> DataFrame:
@@ -183,6 +186,27 @@ def template_texts(grouped: DataFrame, key: str) -> DataFrame:
     return cells.groupBy(key).agg(F.array_join(words, " ").alias("EventTemplate"), F.min("seen_at").alias("seen_at"))
 
 
+def current_dictionary(dictionary: DataFrame) -> DataFrame:
+    """The present text of every event of a dictionary that holds earlier texts as well.
+
+    A text only ever gains wildcards, so the one with the most is the latest.
+    """
+    wild = F.size(F.filter(F.split("EventTemplate", " "), lambda token: token == WILDCARD))
+    rest = [c for c in dictionary.columns if c != "event_no"]
+    newest = dictionary.groupBy("event_no").agg(F.max_by(F.struct(*rest), wild).alias("row"))
+    return newest.select("event_no", "row.*").select(*dictionary.columns)
+
+
+def refresh_texts(known: DataFrame, matched: DataFrame) -> DataFrame:
+    """``known`` with texts that also cover the ``matched`` signatures (event_no, tokens, seen_at)."""
+    words = F.when(F.col("n_tokens") > 0, F.split("EventTemplate", " ")).otherwise(F.array().cast("array<string>"))
+    old = known.join(matched.select("event_no").distinct(), "event_no", "left_semi")
+    members = old.select("event_no", "seen_at", words.alias("tokens")).unionByName(matched)
+    texts = template_texts(members, "event_no").select("event_no", F.col("EventTemplate").alias("text"))
+    joined = known.join(texts, "event_no", "left")
+    return joined.withColumn("EventTemplate", F.coalesce("text", "EventTemplate")).drop("text")
+
+
 def mine(
     signatures: DataFrame, config: MiningConfig, known: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -190,14 +214,17 @@ def mine(
 
     ``assignment`` maps signature to event_no and EventId. With a ``known`` dictionary,
     signatures that match one of its leaders take that event; the rest are mined and their
-    numbers follow the highest known one, so known ids and templates never change.
+    numbers follow the highest known one. Known ids never change; the text of an event that got
+    new members covers them too.
     """
     leaves = stage(assign_leaves(signatures, config, known), "leaves")
     base = 0
     matched = None
     if known is not None:
         hits = stage(nearest_leader(leaves, stage(pack_known(known), "known"), config), "matched")
-        matched = hits.filter("leader_seen is not null").select("signature", F.col("leader_seen").alias("event_no"))
+        taken = hits.filter("leader_seen is not null").withColumn("event_no", F.col("leader_seen").cast("bigint"))
+        matched = taken.select("signature", "event_no")
+        known = refresh_texts(known, taken.select("event_no", "seen_at", "tokens"))
         leaves = hits.filter("leader_seen is null").drop("leader_seen")
         base = known.agg(F.coalesce(F.max("event_no"), F.lit(0))).first()[0]
     packs = find_leaders(leaves, config)

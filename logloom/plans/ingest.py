@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, datetime
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.functions.formats import LogFormat, MiningConfig
+from logloom.functions.formats import LogFormat, Mask, MiningConfig
 from logloom.operators.parse import structured
+from logloom.operators.templates import current_dictionary
 from logloom.plans.structure import structure
 from logloom.session import broadcast_if_small, stage
 from logloom.sources.ledger import latest, plan_ingest, read_ledger, record
@@ -24,11 +27,13 @@ def ingest(
     sources: list[str] | None = None,
     mining: MiningConfig = MiningConfig(),
     archive: str | None = None,
+    masks: tuple[Mask, ...] | None = None,
 ) -> DataFrame:
     """Bring ``out`` (events, dictionary, ledger) up to date with the files below ``raw``.
 
     Returns the decision per source. Safe to run again after a failure at any point: events
-    are replaced per source, known templates keep their ids, and the ledger is written last.
+    are replaced per source, known templates keep their ids, the ledger is written after the
+    events, and whatever it holds and is still in ``raw`` is archived, now or by the next run.
     """
     files = TextSource(spark, raw, sources=sources)
     present = stage(files.fingerprints(), "present")
@@ -38,7 +43,10 @@ def ingest(
     known = latest(read_ledger(spark, f"{out}/ledger"))
     plan = stage(plan_ingest(wanted, present, known), "plan")
     todo = plan.filter(F.col("decision").isin("parse", "reparse")).select("source", "fingerprint")
+    done = plan.filter(F.col("decision").isin("parse", "reparse", "skip")).select("source")
     if todo.isEmpty():
+        if archive is not None:
+            archive_files(spark, raw, archive, done)
         return plan
     # File names only, as any listing brings them to the driver.
     names = {row["source"] for row in todo.select("source").collect()}
@@ -46,11 +54,14 @@ def ingest(
         order = sources or [row["source"] for row in present.select("source").orderBy("source").collect()]
         files = TextSource(spark, raw, sources=[name for name in order if name in names])
     dictionary = read_or_none(spark, f"{out}/dictionary")
-    result = structure(files.lines(), fmt, mining, dictionary)
+    if dictionary is not None:
+        dictionary = current_dictionary(dictionary)
+    result = structure(files.lines(), fmt, mining, dictionary, masks)
     new = result.dictionary
     if dictionary is not None:
-        new = new.join(dictionary, "event_no", "left_anti")
-    # The dictionary only grows, so a run that stops after this line loses nothing.
+        new = new.join(dictionary, ["event_no", "EventTemplate"], "left_anti")
+    # The dictionary only grows (a changed text is a further row of its event), so a run that
+    # stops after this line loses nothing.
     new.write.mode("append").parquet(f"{out}/dictionary")
     write_events(structured(result.events, fmt), f"{out}/events")
     sizes = read_events(spark, f"{out}/events").join(broadcast_if_small(todo), "source").groupBy("source", "fingerprint").agg(
@@ -58,25 +69,37 @@ def ingest(
     )
     record(sizes, f"{out}/ledger")
     if archive is not None:
-        archive_files(spark, raw, archive, sorted(names))
+        archive_files(spark, raw, archive, done)
     return plan
 
 
 def templates(spark: SparkSession, out: str) -> DataFrame:
     """EventId, EventTemplate and the lines of each event over all that was ingested."""
     lines = read_events(spark, f"{out}/events").groupBy("EventId").agg(F.count("*").alias("Occurrences"))
-    dictionary = spark.read.parquet(f"{out}/dictionary").select("event_no", "EventId", "EventTemplate")
+    dictionary = current_dictionary(spark.read.parquet(f"{out}/dictionary")).select("event_no", "EventId", "EventTemplate")
     return dictionary.join(lines, "EventId", "left").na.fill(0, subset=["Occurrences"])
 
 
-def archive_files(spark: SparkSession, raw: str, archive: str, names: list[str]) -> None:
-    """Move files out of ``raw``; the new name carries the time of the move."""
+def archive_files(spark: SparkSession, raw: str, archive: str, sources: DataFrame, movers: int = 16) -> None:
+    """Move the files of ``sources`` out of ``raw``; the new name carries the time of the move.
+
+    Names come in one by one and several files move at a time. A file that is gone already was
+    moved by an earlier run.
+    """
     path = spark._jvm.org.apache.hadoop.fs.Path
     target = path(archive)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    stamp = datetime.now().strftime("%Y-%m-%d_%H-%M-%S")
-    for name in names:
-        moved = path(target, f"{name}_{stamp}")
+    stamp = datetime.now(UTC).strftime("%Y%m%dT%H%M%SZ")
+
+    def move(name: str) -> None:
+        here, moved = path(f"{raw.rstrip('/')}/{name}"), path(target, f"{name}.{stamp}")
+        if not fs.exists(here):
+            return
         fs.mkdirs(moved.getParent())
-        if not fs.rename(path(f"{raw.rstrip('/')}/{name}"), moved):
+        if not fs.rename(here, moved):
             raise OSError(f"could not archive {name}")
+
+    with ThreadPoolExecutor(movers) as pool:
+        names = (row["source"] for row in sources.toLocalIterator())
+        while batch := list(islice(names, 64 * movers)):
+            list(pool.map(move, batch))

@@ -199,9 +199,9 @@ _block_fields = ", ".join(BLOCK_LOG.fields)
 _add("scan_lines", f"{DOCUMENT},{CLEAN}", "SELECT source, LineId, value FROM cleaned")
 _add(
     "line_number",
-    f"{BLOCK}, size AS (SELECT least(1000000, greatest(1000, count(*) // 8)) AS every FROM events)",
-    "SELECT part, dense_rank() OVER (ORDER BY 'part=' || part) AS source_order, LineId - part * every AS LineId, value "
-    "FROM (SELECT (LineId - 1) // every AS part, * FROM rendered, size)",
+    BLOCK,
+    "SELECT part, dense_rank() OVER (ORDER BY 'part=' || part) AS source_order, LineId - part * 4000 AS LineId, value "
+    "FROM (SELECT (LineId - 1) // 4000 AS part, * FROM rendered)",
 )
 _add(
     "label_ids_from_text",
@@ -216,7 +216,7 @@ _add(
 )
 _add(
     "source_fingerprint",
-    f"{VM}, hashed AS (SELECT *, cast('0x' || substr(md5(value), 1, 10) AS BIGINT)::HUGEINT AS h FROM rendered)",
+    f"{VM}, hashed AS (SELECT *, cast('0x' || substr(md5(value), 1, 15) AS BIGINT)::HUGEINT AS h FROM rendered)",
     "SELECT source, count(*) AS num_lines, sum(h)::VARCHAR || '-' || sum(h * LineId)::VARCHAR AS fingerprint "
     "FROM hashed GROUP BY source",
 )
@@ -468,6 +468,17 @@ _add(
     "SELECT event_id, event_no, round(variance, 6) AS variance FROM variances WHERE variance < 0.7",
 )
 _add("event_correlation", QUANTITY, "SELECT event_a, event_b, round(r, 6) AS r FROM pairs")
+_add(
+    "large_count_correlation",
+    """cents AS (SELECT o_custkey AS entity, substr(o_orderpriority, 1, 1)::INT AS no,
+  100000000000::HUGEINT + sum(round(o_totalprice * 100)::BIGINT) AS n FROM orders GROUP BY ALL),
+sums AS (SELECT no, sum(n)::HUGEINT AS t, sum(n * n)::HUGEINT AS q FROM cents GROUP BY no),
+size AS (SELECT count(DISTINCT entity)::HUGEINT AS m FROM cents),
+both AS (SELECT a.no AS i, b.no AS j, sum(a.n * b.n)::HUGEINT AS xy FROM cents a JOIN cents b USING (entity) WHERE a.no < b.no GROUP BY ALL)""",
+    "SELECT 'E' || i AS event_a, 'E' || j AS event_b, round((m * xy - a.t * b.t)::DOUBLE / "
+    "(sqrt((m * a.q - a.t * a.t)::DOUBLE) * sqrt((m * b.q - b.t * b.t)::DOUBLE)), 6) AS r "
+    "FROM both JOIN sums a ON a.no = i JOIN sums b ON b.no = j, size",
+)
 _add(
     "correlated_pairs",
     QUANTITY,
@@ -548,7 +559,7 @@ _add(
 _add(
     "stream_ingest",
     f"{BLOCK_PARSED},{SIGNED}",
-    f"SELECT is_parsed, {_block_fields}, BlockId, signature FROM signed",
+    f"SELECT is_parsed, {_block_fields}, BlockId, signature, (LineId - 1) // 4000 AS part FROM signed",
 )
 _add(
     "stream_counts",

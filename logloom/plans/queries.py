@@ -28,7 +28,8 @@ from logloom.streaming import ingest as streams
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-BLOCK_EVENTS = [f"E{i}" for i in range(1, 6)]
+# Lines of a rendered log file, at any size of the table.
+LINES_PER_FILE = 4000
 
 
 def query(fn: Query) -> Query:
@@ -60,6 +61,12 @@ def _counts(spark: SparkSession, sf: str) -> DataFrame:
     return C.entity_event_counts(_structured(spark, sf).events, BLOCK_LOG.entity_col)
 
 
+def _counted(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """Counts, and the events of the template table as matrix columns."""
+    found = _structured(spark, sf)
+    return C.entity_event_counts(found.events, BLOCK_LOG.entity_col), C.matrix_columns(found.templates)
+
+
 def _labels(spark: SparkSession, sf: str) -> DataFrame:
     return samples.block_labels(_events(spark, sf))
 
@@ -70,7 +77,8 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _matrix(spark: SparkSession, sf: str) -> DataFrame:
-    return block_matrix(_counts(spark, sf), BLOCK_EVENTS, _labels(spark, sf))
+    counts, columns = _counted(spark, sf)
+    return block_matrix(counts, columns, _labels(spark, sf))
 
 
 def _quantity(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,11 +108,10 @@ def scan_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _line_files(spark: SparkSession, sf: str) -> str:
-    """Block lines as text files of equally many consecutive lines, at most a million; the folder."""
+    """Block lines as text files of ``LINES_PER_FILE`` consecutive lines; the folder."""
     folder = new_dir(spark, "raw")
     lines = _block(spark, sf)
-    every = min(1_000_000, max(1000, lines.count() // 8))
-    lines = lines.select("value", "LineId", F.floor((F.col("LineId") - 1) / every).alias("part"))
+    lines = lines.select("value", "LineId", F.floor((F.col("LineId") - 1) / LINES_PER_FILE).alias("part"))
     lines = lines.repartition("part").sortWithinPartitions("part", "LineId")
     lines.select("value", "part").write.partitionBy("part").text(folder)
     return folder
@@ -317,7 +324,7 @@ def entity_event_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def occurrence_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    return C.occurrence_matrix(_counts(spark, sf), BLOCK_EVENTS)
+    return C.occurrence_matrix(*_counted(spark, sf))
 
 
 @query
@@ -438,6 +445,18 @@ def event_correlation(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(pairs, "r").select("event_a", "event_b", "r")
 
 
+@query
+def large_count_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts near 10^11 whose differences are small: prices in cents per customer and priority."""
+    cents = F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")) + F.lit(10**11)
+    counts = samples.table(spark, sf, "orders").groupBy(
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("entity_id"),
+        F.concat(F.lit("E"), F.substring("o_orderpriority", 1, 1)).alias("event_id"),
+    )
+    found = P.event_correlation(stage(counts.agg(cents.alias("n")), "counts"))
+    return _rounded(found.select("event_a", "event_b", "r"), "r")
+
+
 @query
 def correlated_pairs(spark: SparkSession, sf: str) -> DataFrame:
     pairs = profile.event_correlation(_quantity(spark, sf), _quantity_events(spark, sf))
@@ -466,11 +485,12 @@ def select_correlation(spark: SparkSession, sf: str) -> DataFrame:
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
-    matrix = L.join_labels(C.occurrence_matrix(_counts(spark, sf), BLOCK_EVENTS), _labels(spark, sf))
+    counts, columns = _counted(spark, sf)
+    matrix = L.join_labels(C.occurrence_matrix(counts, columns), _labels(spark, sf))
     table = selection.feature_table(L.binary_target(matrix, "Anomaly"))
     slots = vector_to_array("features")
     return table.select(
-        "entity_id", "target", *[slots[i].cast("bigint").alias(f"x{i + 1}") for i in range(len(BLOCK_EVENTS))]
+        "entity_id", "target", *[slots[i].cast("bigint").alias(f"x{i + 1}") for i in range(len(columns))]
     )
 
 
@@ -528,7 +548,7 @@ def _document_features(spark: SparkSession, sf: str) -> tuple[DataFrame, list[st
     """Documents as entities, line lengths as events, low quality as the anomaly."""
     lines = clean_lines(samples.document_lines(samples.table(spark, sf, "documents")))
     words = F.size(text.tokens(text.signature(F.col("value"), BLOCK_LOG.masks)))
-    events = lines.select("source", text.event_name(F.least(F.floor(words / 6) + 1, F.lit(24))).alias("EventId"))
+    events = lines.select("source", text.event_name(F.floor(words / 6) + 1).alias("EventId"))
     counts = stage(C.entity_event_counts(events, "source"), "counts")
     labels = samples.table(spark, sf, "labels").select(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("entity_id"),
@@ -572,14 +592,15 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stream(spark: SparkSession, sf: str) -> DataFrame:
     folder = _line_files(spark, sf)
-    return streams.parse_stream(streams.stream_lines(spark, f"{folder}/*", "*.txt", files_per_batch=8), BLOCK_LOG)
+    return streams.parse_stream(streams.stream_lines(spark, folder, "*.txt", files_per_batch=64), BLOCK_LOG)
 
 
 @query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     out = new_dir(spark, "stream-events")
     streams.ingest_stream(_stream(spark, sf), out, new_dir(spark, "stream-state")).awaitTermination()
-    return spark.read.parquet(out).drop("source")
+    part = F.regexp_extract("source", r"^part=(\d+)/", 1).cast("bigint")
+    return spark.read.parquet(out).withColumn("part", part).drop("source")
 
 
 @query

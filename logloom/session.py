@@ -84,9 +84,9 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BR
     """Hint ``df`` as broadcast when it has at most ``rows`` rows and ``size`` bytes of values.
 
     Beyond that the plain table is returned and the join shuffles, with adaptive skew
-    splitting for hot keys. ``df`` should be cheap to compute, as up to ``rows`` of it are
-    measured here.
+    splitting for hot keys. The size comes from an aggregate that combines per task; ``df`` should
+    be cheap to compute, as it is measured here.
     """
     total = sum((_value_bytes(f) for f in df.schema.fields), F.lit(0)).cast("bigint")
-    found, used = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(total), F.lit(0))).first()
+    found, used = df.agg(F.count("*"), F.coalesce(F.sum(total), F.lit(0))).first()
     return F.broadcast(df) if found <= rows and used <= size else df

@@ -17,9 +17,12 @@ LEDGER_SCHEMA = (
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """All ledger rows; a missing or unreadable ledger is an empty one."""
+    """All ledger rows; a missing ledger is an empty one.
+
+    A file that can't be read is an error: its rows may say that a source was forgotten.
+    """
     try:
-        return spark.read.schema(LEDGER_SCHEMA).option("ignoreCorruptFiles", "true").parquet(path)
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -15,8 +15,6 @@ from pyspark.sql.window import Window as W
 from logloom.functions.text import clean_line, is_blank
 from logloom.session import broadcast_if_small, stage
 
-# ``seen_at`` orders all lines of all sources: source order in the high bits, line id below.
-LINE_BITS = 40
 # ``monotonically_increasing_id`` counts the rows of a task in its low bits.
 ROW_MASK = 2**33 - 1
 
@@ -25,12 +23,14 @@ _BIG = "decimal(38,0)"
 
 
 def seen_at(source_order: Column, line_id: Column) -> Column:
-    return F.shiftleft(source_order.cast("bigint"), LINE_BITS) + line_id
+    """Order of all lines of all sources as one exact number; it holds any two 62-bit numbers."""
+    high = source_order.cast("decimal(19,0)") * F.lit(2**62).cast("decimal(19,0)")
+    return (high.cast(_BIG) + line_id.cast("decimal(19,0)")).cast(_BIG)
 
 
 def line_hash(value: Column) -> Column:
-    """40 bits of a line's digest as a number."""
-    return F.conv(F.substring(F.md5(value), 1, 10), 16, 10).cast("decimal(20,0)")
+    """60 bits of a line's digest as a number."""
+    return F.conv(F.substring(F.md5(value), 1, 15), 16, 10).cast("decimal(20,0)")
 
 
 def _mark(plain: Column, placed: Column) -> Column:

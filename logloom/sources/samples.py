@@ -12,10 +12,8 @@ QUANTITY_STEPS = (0, 2, 4, 8, 12, 20, 28, 36, 44, 48, 49, 50)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table; one that arrives in fewer pieces than there are cores is spread over them."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    """A table as it is stored."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(*parts: object) -> F.Column:

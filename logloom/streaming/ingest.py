@@ -17,17 +17,19 @@ from logloom.sources.lines import clean_lines
 def stream_lines(
     spark: SparkSession, folder: str, pattern: str = "*", files_per_batch: int | None = None, archive: str | None = None
 ) -> DataFrame:
-    """Streaming lines (value, source) of new files below ``folder``.
+    """Streaming lines (value, source) of new files below ``folder``; a source is its path there.
 
     With ``archive`` a file moves there once a later batch shows that it is done. The source
     knows files by name only: a file whose content changed is found by the ledger instead.
     """
-    reader = spark.readStream.option("pathGlobFilter", pattern)
+    root = folder.rstrip("/") + "/"
+    reader = spark.readStream.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.text(folder).select("value", F.col("_metadata.file_name").alias("source"))
+    source = F.substring_index(F.col("_metadata.file_path"), root, -1)
+    return reader.text(folder).select("value", source.alias("source"))
 
 
 def parse_stream(lines: DataFrame, fmt: LogFormat) -> DataFrame:

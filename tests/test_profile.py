@@ -50,7 +50,7 @@ def test_variance_and_correlation_equal_the_dense_matrix(spark, dense):
 def test_products_in_small_blocks(spark, dense):
     counts = _counts(spark, dense)
     want = {(r.no_a, r.no_b): r.xy for r in P.event_products(counts).collect()}
-    assert {(r.no_a, r.no_b): r.xy for r in P.event_products(counts, block_cells=7).collect()} == want
+    assert {(r.no_a, r.no_b): r.xy for r in P.event_products(counts, block_rows=3, tile=2).collect()} == want
 
 
 def test_task_function_needs_no_package_on_the_executors(spark, dense, tmp_path):
@@ -89,6 +89,15 @@ def test_huge_counts_do_not_overflow(spark):
     assert row.r == pytest.approx(np.corrcoef(matrix.T)[0, 1], rel=1e-9)
 
 
+@pytest.mark.parametrize("base", [10**9, 10**11])
+def test_noise_on_large_counts_is_kept(spark, base):
+    noise = np.random.default_rng(3).integers(0, 1000, (60, 4))
+    noise[:, 3] = noise[:, 0] + noise[:, 1] // 3
+    want = np.corrcoef(noise.T.astype(float))
+    for r in P.event_correlation(_counts(spark, (base + noise).tolist())).collect():
+        assert r.r == pytest.approx(want[r.event_no_a - 1, r.event_no_b - 1], abs=1e-9)
+
+
 def test_one_entity_has_no_variance(spark):
     counts = _counts(spark, [[1, 2]])
     assert {r.variance for r in P.event_variance(counts).collect()} == {None}

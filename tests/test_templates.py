@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logloom import BLOCK_LOG, MiningConfig
-from logloom.operators.templates import mine
+from logloom.operators.templates import current_dictionary, mine
 from logloom.plans.structure import structure
 from logloom.session import stage
 
@@ -144,8 +144,13 @@ def test_increment_keeps_ids_and_appends(spark, pack, monkeypatch):
     before = {r.event_no: r.EventTemplate for r in dictionary.collect()}
     grown, later = mine(_table(spark, second), config, dictionary)
     after = {r.event_no: r.EventTemplate for r in grown.collect()}
-    assert {k: after[k] for k in before} == before
+    assert set(before) <= set(after)
     assert sorted(after) == list(range(1, len(after) + 1))
+    # Texts cover old and new members, and differ from old ones by wildcards only.
+    events = [(r.signature, r.event_no) for found in (assignment, later) for r in found.collect()]
+    for text, no in [*events, *((t, n) for n, t in before.items())]:
+        pairs = zip(after[no].split(" "), text.split(" "), strict=True)
+        assert all(new in (WILD, old) for new, old in pairs)
     assert {r.signature for r in later.collect()} == set(second)
     # Leaders of the first run are found again.
     old = {r.signature: r.event_no for r in assignment.collect()}
@@ -155,6 +160,31 @@ def test_increment_keeps_ids_and_appends(spark, pack, monkeypatch):
     assert set(old) == set(first)
 
 
+def test_a_later_member_widens_the_text(spark):
+    first = structure(_lines(spark, ["alpha beta gamma delta eps"]), BLOCK_LOG, MiningConfig())
+    both = structure(_lines(spark, ["alpha beta gamma OTHER WORD"]), BLOCK_LOG, MiningConfig(), first.dictionary)
+    assert [(r.EventId, r.EventTemplate) for r in both.templates.collect()] == [("E1", "alpha beta gamma <*> <*>")]
+    assert [r.EventTemplate for r in both.events.collect()] == ["alpha beta gamma <*> <*>"]
+    versions = first.dictionary.unionByName(both.dictionary)
+    assert [r.EventTemplate for r in current_dictionary(versions).collect()] == ["alpha beta gamma <*> <*>"]
+
+
+def test_far_sources_and_lines_keep_their_order(spark):
+    rows = [
+        ("first kind of line one", "a.log", 1, 5),
+        ("second sort which differs wholly", "b.log", 1 + 2**24, 5),
+        ("third thing", "c.log", 1, 2**40 + 5),
+        ("fourth", "d.log", 2**61, 2**61),
+    ]
+    lines = spark.createDataFrame(rows, "value string, source string, source_order bigint, LineId bigint")
+    for mining in (None, MiningConfig()):
+        events = structure(lines, BLOCK_LOG, mining).events.collect()
+        assert {(r.source, r.EventId, r.EventTemplate) for r in events} == {
+            ("a.log", "E1", rows[0][0]), ("c.log", "E2", rows[2][0]), ("b.log", "E3", rows[1][0]), ("d.log", "E4", rows[3][0])
+        }
+        assert len(events) == 4
+
+
 def _lines(spark, values):
     rows = [(v, "a.log", 1, i) for i, v in enumerate(values, 1)]
     return spark.createDataFrame(rows, "value string, source string, source_order bigint, LineId bigint")
