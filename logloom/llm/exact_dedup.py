@@ -3,8 +3,8 @@
 Rows are first collapsed per task (equal bodies meet in a dictionary of bounded size), so a text
 that a third of all rows share leaves every task once per flush. The collapsed texts are staged,
 dealt out by length and content hash, and inserted as full byte strings into one compressed radix
-trie per task. A terminal holds the best row of its text. A trie that outgrows its budget hands
-its heaviest subtree to the next round, which deals the spilled rows out by subtree as well.
+trie per task. A terminal holds the best row of its text. A trie that outgrows its budget spills
+heavy subtrees, and later texts of these, to the shared folder; a next round takes them up.
 
 Contract: null text counts as empty. Texts are equal when they are identical after deleting
 space, TAB, LF, VT, FF and CR. The row with the most code points in the original text stays, then
@@ -37,7 +37,7 @@ _GROUP = (
 )
 _OWNER = (
     "spilled boolean, refs array<bigint>, best_gid bigint, best_n bigint, best_id bigint, size bigint, "
-    "n_bytes bigint, content_hash bigint, subtree bigint, body binary"
+    "n_bytes bigint, content_hash bigint, body binary"
 )
 
 
@@ -126,12 +126,16 @@ class Trie:
 
     def spill(self) -> tuple[int, list[tuple[bytes, list]]] | None:
         """Cut off the heaviest subtree that leaves something behind: its number and its texts."""
-        weights, node, prefix = self._weights(), self.root, b""
+        weights, node, prefix, left = self._weights(), self.root, b"", False
         while True:
-            if not node.children:
+            held = [x for x in node.children.values() if x.spilled is None]
+            if not held:
                 return None
-            heavy = max(node.children.values(), key=lambda x: weights[id(x)])
-            if len(node.children) > 1 or node.entry is not None:
+            heavy = max(held, key=lambda x: weights[id(x)])
+            alone = len(held) == 1 and node.entry is None and not left
+            left = left or len(held) > 1 or node.entry is not None
+            # Not more than about an eighth of the budget at a time, so that most stays.
+            if not alone and (weights[id(heavy)] <= self.budget / 8 or all(x.spilled is not None for x in heavy.children.values())):
                 break
             node, prefix = heavy, prefix + heavy.label
         texts = list(self.walk(heavy, prefix + heavy.label))
@@ -185,15 +189,14 @@ def owners(batches: Iterator[pa.RecordBatch], budget: int = TRIE_BYTES) -> Itera
     """Owners of the texts of a task, and the texts of spilled subtrees for the next round."""
     trie = Trie(budget)
     names = [x.split()[0] for x in _OWNER.split(", ")]
-    kinds = (pa.bool_(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    kinds = (pa.bool_(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    def row(body: bytes, entry: list, subtree: int | None) -> tuple:
+    def row(body: bytes, entry: list, spilled: bool) -> tuple:
         (minus_n, no_id, doc_id, gid), size, refs, content_hash = entry
-        spilled = subtree is not None
-        return (spilled, refs, gid, -minus_n, None if no_id else doc_id, size, len(body), content_hash, subtree, body if spilled else None)
+        return (spilled, refs, gid, -minus_n, None if no_id else doc_id, size, len(body), content_hash, body if spilled else None)
 
     for batch in batches:
         spilled = []
@@ -201,14 +204,14 @@ def owners(batches: Iterator[pa.RecordBatch], budget: int = TRIE_BYTES) -> Itera
             best = rank(x["best_n"], x["best_id"], x["best_gid"])
             subtree = trie.insert(x["body"], best, x["size"], x["refs"], x["content_hash"])
             if subtree is not None:
-                spilled.append(row(x["body"], [best, x["size"], x["refs"], x["content_hash"]], subtree))
+                spilled.append(row(x["body"], [best, x["size"], x["refs"], x["content_hash"]], True))
             while trie.used > trie.budget and (cut := trie.spill()):
-                spilled += [row(body, entry, cut[0]) for body, entry in cut[1]]
+                spilled += [row(body, entry, True) for body, entry in cut[1]]
         if spilled:
             yield out(spilled)
     rows = []
     for body, entry in trie.walk():
-        rows.append(row(body, entry, None))
+        rows.append(row(body, entry, False))
         if len(rows) == 10_000:
             yield out(rows)
             rows = []
@@ -230,12 +233,12 @@ def exact_dedup(docs: DataFrame, trie_bytes: int = TRIE_BYTES, collapse_bytes: i
     ).withColumns({"content_hash": F.xxhash64("body"), "text_sha256": F.sha2("body", 256)})
     groups = stage(rows.mapInArrow(partial(collapse, limit=collapse_bytes), _GROUP), "dedup-texts")
     left = groups.select(
-        "n_bytes", "content_hash", F.lit(0).cast("bigint").alias("subtree"), "body", "best_n", "best_id", "size",
+        "n_bytes", "content_hash", "body", "best_n", "best_id", "size",
         F.col("gid").alias("best_gid"), F.array("gid").alias("refs"),
     )
     found = None
     while True:
-        dealt = left.repartition("n_bytes", "content_hash", "subtree")
+        dealt = left.repartition("n_bytes", "content_hash")
         done = stage(dealt.mapInArrow(partial(owners, budget=trie_bytes), _OWNER), "dedup-owners")
         own = done.filter("NOT spilled").select(
             F.explode("refs").alias("gid"), "best_gid", F.col("best_id").alias("keep_id"), F.col("size").alias("group_size")

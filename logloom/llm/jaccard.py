@@ -49,11 +49,13 @@ BLOCK_ROWS = 512
 # A shingle is common in a task from this share of its documents on; so many of them are put last.
 COMMON_SHARE, COMMON_LEAST = 0.0005, 4
 COMMON_MOST = 400_000
+# Shingles that a task looks at together for common ones.
+COMMON_WINDOW = 2_000_000
 # A bitmap of so many bits (4 MB) spares sets that meet nothing a shuffle; pages it is gathered in.
 FILTER_BITS = 1 << 25
 FILTER_PAGE = 1 << 15
 # Words and their hashes that a worker remembers.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 200_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -216,8 +218,8 @@ def _shingle(batches: Iterator[pa.RecordBatch], words: int, share: float, least:
         return [(2, None, None, int(c), int(v), 0, None, None) for v, c in zip(values[often], counts[often])]
 
     for batch in batches:
-        for begin in range(0, batch.num_rows, 1000):
-            part, rows = batch.slice(begin, 1000), []
+        for begin in range(0, batch.num_rows, 250):
+            part, rows = batch.slice(begin, 250), []
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
                 hashes = shingler.shingles(text)
                 high, low = _print(hashes)
@@ -228,7 +230,7 @@ def _shingle(batches: Iterator[pa.RecordBatch], words: int, share: float, least:
                     node += 1
                     held.append(hashes)
                     window += len(hashes)
-            if window >= 4_000_000:
+            if window >= COMMON_WINDOW:
                 rows += common()
                 held, window = [], 0
             if rows:
