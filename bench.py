@@ -23,6 +23,8 @@ HEADLINE = (
     "signature_counts",
     "template_table_exact",
     "template_table",
+    "template_leaf",
+    "template_increment",
     "line_events",
     "entity_event_counts",
     "labelled_matrix",
@@ -31,11 +33,13 @@ HEADLINE = (
     "top_events_per_label",
     "event_variance",
     "event_correlation",
+    "large_count_correlation",
     "select_correlation",
     "stratified_folds",
     "roc_auc",
     "roc_curve",
     "cv_summary",
+    "stream_ingest",
     "stream_counts",
 )
 

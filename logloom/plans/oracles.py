@@ -474,10 +474,10 @@ _add(
   100000000000::HUGEINT + sum(round(o_totalprice * 100)::BIGINT) AS n FROM orders GROUP BY ALL),
 sums AS (SELECT no, sum(n)::HUGEINT AS t, sum(n * n)::HUGEINT AS q FROM cents GROUP BY no),
 size AS (SELECT count(DISTINCT entity)::HUGEINT AS m FROM cents),
-both AS (SELECT a.no AS i, b.no AS j, sum(a.n * b.n)::HUGEINT AS xy FROM cents a JOIN cents b USING (entity) WHERE a.no < b.no GROUP BY ALL)""",
+crossed AS (SELECT a.no AS i, b.no AS j, sum(a.n * b.n)::HUGEINT AS xy FROM cents a JOIN cents b USING (entity) WHERE a.no < b.no GROUP BY ALL)""",
     "SELECT 'E' || i AS event_a, 'E' || j AS event_b, round((m * xy - a.t * b.t)::DOUBLE / "
     "(sqrt((m * a.q - a.t * a.t)::DOUBLE) * sqrt((m * b.q - b.t * b.t)::DOUBLE)), 6) AS r "
-    "FROM both JOIN sums a ON a.no = i JOIN sums b ON b.no = j, size",
+    "FROM crossed JOIN sums a ON a.no = i JOIN sums b ON b.no = j, size",
 )
 _add(
     "correlated_pairs",

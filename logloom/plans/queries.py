@@ -453,7 +453,7 @@ def large_count_correlation(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("entity_id"),
         F.concat(F.lit("E"), F.substring("o_orderpriority", 1, 1)).alias("event_id"),
     )
-    found = P.event_correlation(stage(counts.agg(cents.alias("n")), "counts"))
+    found = profile.event_correlation(stage(counts.agg(cents.alias("n")), "counts"))
     return _rounded(found.select("event_a", "event_b", "r"), "r")
 
 
