@@ -24,7 +24,7 @@ Every row gives a row; repeated rows link. Empty tables give empty results.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -335,37 +335,55 @@ def _values(hashes: pa.Scalar) -> np.ndarray:
     return np.frombuffer(hashes.as_py(), np.int64)
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (tile, sets first): the pairs of a tile are checked against its sets."""
-    tile, sets, maps = None, {}, {}
+def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, payload): the parity bitmap of a set behind its size, two to four bits per shingle."""
+    for batch in batches:
+        payload = []
+        for hashes in batch.column("hashes"):
+            own = _values(hashes)
+            payload.append(np.int64(len(own)).tobytes() + bitmap(own, 2 * bits_for(len(own))).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(payload, pa.binary())], ["node", "payload"])
+
 
-    def map_of(node: int, bits: int) -> np.ndarray:
-        found = maps.get((node, bits))
-        if found is None:
-            found = maps[node, bits] = bitmap(sets[node], bits)
-        return found
+def able_by_maps(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sizes and bitmaps leave room for a link."""
+    n, m, one, two = int(a[0]), int(b[0]), a[1:].view(np.uint64), b[1:].view(np.uint64)
+    bits = 64 * min(len(one), len(two))
+    differ = int(np.bitwise_count(fold(one[None, :], bits) ^ fold(two[None, :], bits)).sum())
+    return (n + m - differ) // 2 >= int(least_overlap(np.int64(n), m))
 
+
+def able_exactly(a: np.ndarray, b: np.ndarray) -> bool:
+    return overlap(a, b) >= int(least_overlap(np.int64(len(a)), len(b)))
+
+
+def _check(batches: Iterator[pa.RecordBatch], able: Callable[[np.ndarray, np.ndarray], bool]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (tile, payloads first): the pairs of a tile that pass."""
+    tile, held = None, {}
     for batch in batches:
         u, v = [], []
-        hashes = batch.column("hashes")
+        payloads = batch.column("payload")
         for i, (now, a, b) in enumerate(zip(*(batch.column(x).to_pylist() for x in ("tile", "u", "v")))):
             if now != tile:
-                tile, sets, maps = now, {}, {}
+                tile, held = now, {}
             if b is None:
-                sets[a] = _values(hashes[i])
-                continue
-            n, m = len(sets[a]), len(sets[b])
-            need = int(least_overlap(np.int64(n), m))
-            # Two bits per shingle: sets that just miss the threshold are told by their bitmaps.
-            bits = 2 * bits_for(max(n, m))
-            differ = int(np.bitwise_count(map_of(a, bits) ^ map_of(b, bits)).sum())
-            if (n + m - differ) // 2 >= need and overlap(sets[a], sets[b]) >= need:
+                held[a] = _values(payloads[i])
+            elif able(held[a], held[b]):
                 u.append(a)
                 v.append(b)
         if u:
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
+def _passing(payloads: DataFrame, placed: DataFrame, able: Callable) -> DataFrame:
+    """The placed pairs (tile, u, v) that pass; a payload is sent once per tile that needs it."""
+    wanted = placed.select("tile", F.explode(F.array("u", "v")).alias("node")).distinct()
+    rows = wanted.join(payloads, "node").select("tile", F.col("node").alias("u"), F.lit(None).cast("bigint").alias("v"), "payload")
+    rows = rows.union(placed.select("tile", "u", "v", F.lit(None).cast("binary")))
+    dealt = rows.repartition("tile").sortWithinPartitions("tile", F.col("v").isNotNull())
+    return dealt.mapInArrow(partial(_check, able=able), "u bigint, v bigint")
+
+
 def _verified(sets: DataFrame, pairs: DataFrame, block_rows: int) -> DataFrame:
     """The links among ``pairs`` (u < v), checked in tiles.
 
@@ -382,13 +400,13 @@ def _verified(sets: DataFrame, pairs: DataFrame, block_rows: int) -> DataFrame:
     placed = placed.join(blocks.select(F.col("node").alias("v"), F.col("block").alias("block_v")), "v")
     tile = F.xxhash64(F.least("block_u", "block_v"), F.greatest("block_u", "block_v"))
     placed = stage(placed.select(tile.alias("tile"), "u", "v"), "placed-pairs")
-    wanted = placed.select("tile", F.explode(F.array("u", "v")).alias("node")).distinct()
-    able = _spared(sets, [F.col("node")], blocks.select("node"))
-    none = F.lit(None).cast("bigint")
-    rows = wanted.join(able, "node").select("tile", F.col("node").alias("u"), none.alias("v"), "hashes")
-    rows = rows.union(placed.select("tile", "u", "v", F.lit(None).cast("binary")))
-    dealt = rows.repartition("tile").sortWithinPartitions("tile", F.col("v").isNotNull())
-    return dealt.mapInArrow(_verify, "u bigint, v bigint")
+    # Bitmaps are small and rule most pairs out; sets are only sent for the others.
+    maps = _spared(sets, [F.col("node")], blocks.select("node")).mapInArrow(_maps, "node bigint, payload binary")
+    left = stage(_passing(maps, placed, able_by_maps), "sifted-pairs")
+    again = placed.join(left, ["u", "v"]).select("tile", "u", "v")
+    ends = left.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    own = _spared(sets, [F.col("node")], ends).select("node", F.col("hashes").alias("payload"))
+    return _passing(own, again, able_exactly)
 
 
 def _common_shingles(found: DataFrame, most: int) -> np.ndarray:
