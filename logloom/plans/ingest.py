@@ -92,7 +92,7 @@ def archive_files(spark: SparkSession, raw: str, archive: str, sources: DataFram
     stamp = datetime.now(UTC).strftime("%Y%m%dT%H%M%SZ")
 
     def move(name: str) -> None:
-        here, moved = path(f"{raw.rstrip('/')}/{name}"), path(target, f"{name}.{stamp}")
+        here, moved = path(f"{raw.rstrip('/')}/{name}"), path(target, f"{name}_{stamp}")
         if not fs.exists(here):
             return
         fs.mkdirs(moved.getParent())
