@@ -6,7 +6,7 @@ vector x of cell c can only be linked with one of cell c' if its distance to the
 the two centres, x(c - c') / |c - c'|, is at most d. Such vectors visit cell c' as guests (of two
 cells the later one is visited), so no pair is lost at a border. Cells are cut into blocks of
 bounded size; guests stream past a block in batches, and what leaves a batch is one count per
-vector and one link per vector to the smallest vector it is connected with, never the pairs.
+vector and one link per vector, of the block too, to the smallest vector it is connected with, never the pairs.
 
 Contract: vectors that are null, zero, or hold null or non-finite components link with nothing.
 Vectors of different lengths link with nothing of another length. Equal vectors are linked with
@@ -107,8 +107,7 @@ def _compare(batches: Iterator[pa.RecordBatch], cosine: float, step: int = 512)
     sealed = False
     names = ["node", "links", "root"]
 
-    def out(nodes: np.ndarray, links: np.ndarray, roots: np.ndarray) -> Iterator[pa.RecordBatch]:
-        some = links > 0
+    def out(nodes: np.ndarray, links: np.ndarray, roots: np.ndarray, some: np.ndarray) -> Iterator[pa.RecordBatch]:
         if some.any():
             arrays = (nodes[some], links[some], roots[some])
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], names)
@@ -125,10 +124,14 @@ def _compare(batches: Iterator[pa.RecordBatch], cosine: float, step: int = 512)
             if not hits.any():
                 continue
             row_roots, block_roots = roots_of(hits, block_ids, row_ids[cut])
-            yield from out(row_ids[cut], hits @ block_weights, row_roots)
+            links = hits @ block_weights
+            yield from out(row_ids[cut], links, row_roots, links > 0)
             if inside:
+                # A row counts its links in its own step; the other steps only tell what it is connected with.
+                yield from out(block_ids, np.zeros_like(block_weights), block_roots, block_roots < block_ids)
                 continue
-            yield from out(block_ids, hits.T @ row_weights[cut], block_roots)
+            links = hits.T @ row_weights[cut]
+            yield from out(block_ids, links, block_roots, links > 0)
 
     def gathered() -> tuple:
         return np.concatenate(ids), unit_rows(np.concatenate(vectors)), np.concatenate(weights)

@@ -134,6 +134,17 @@ def test_embedding_links_equal_brute_force(spark):
     assert sorted(r.vec_id for r in representatives(df).collect()) == sorted({c for _, _, c in want})
 
 
+def test_chains_inside_a_large_block_stay_whole(spark):
+    # One cell of one block, compared in three steps; few neighbours each, so groups are chains and no cliques.
+    rng = np.random.default_rng(3)
+    rows = [(int(i), [float(x) for x in v]) for i, v in zip(rng.permutation(1500), rng.normal(size=(1500, 3)))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    found = embedding_duplicates(df, cosine=0.998).collect()
+    want = _links(rows, 0.998)
+    assert 100 < len({c for _, _, c in want}) < 1200
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == sorted(want)
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, x) for x in range(101, 140)] + [(7, 7), (200, None)]
     found = connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
