@@ -147,6 +147,16 @@ def test_different_tokens_stay_different(spark):
     assert not {(r.kind, r.surrogate) for r in found} & set(tokens)
 
 
+def test_name_spaces_grow_with_the_tokens(spark):
+    kinds = [("given-latin-f", 30000), ("given-cyrillic-m", 3000), ("family-cyrillic-m", 70000), ("family-latin", 3000), ("mail", 676)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    tokens = [(k, f"{letters[i // 26]}@{letters[i % 26]}.com" if k == "mail" else f"Name{i}") for k, n in kinds for i in range(n)]
+    found = assign_surrogates(spark.createDataFrame(tokens, "kind string, token string")).collect()
+    assert {(r.kind, r.token) for r in found} == set(tokens) and len(found) == len(tokens)
+    assert len({(r.kind, r.surrogate) for r in found}) == len(tokens)
+    assert not {(r.kind, r.surrogate) for r in found} & set(tokens)
+
+
 def test_canonical_urls(spark):
     urls = ["HTTP://www.Example.com:80/a/?b=2&a=1&utm_source=x#top", "https://user@example.com/a?a=1&b=2", "example.com/a/?a=1&b=2", None]
     rows = spark.createDataFrame([(u,) for u in urls], "url string").select(canonical_url(F.col("url"))).collect()
