@@ -147,6 +147,30 @@ def test_different_tokens_stay_different(spark):
     assert not {(r.kind, r.surrogate) for r in found} & set(tokens)
 
 
+def test_further_forms_and_bare_names_are_found(spark):
+    texts = [
+        "Smith came first. Mrs. Anna Smith called. Smith said: ANNA SMITH's bag. Smithson and Annabel stay.",
+        "Frau Dr. Julia Weber and Prof. Weber; Dr. Julia Weber, Professor Klein. Klein left.", "д-р Анна Петрова и Петрова",
+    ]
+    numbers = ["+491701234567", "+14155551234", "5551234567", "+33 1 23 45 67 89", "+49 30 12 34 56 78", "01 23 45 67 89", "030 12 34 56 78", "01701234567"]
+    cards = ["3782 822463 10005", "378282246310005", "3056-930902-5904"]
+    rows = [*enumerate(texts), *((100 + i, f"call {x}, or write") for i, x in enumerate(numbers)), *((200 + i, f"card {x}.") for i, x in enumerate(cards))]
+    rows += [(300, "at 1700000000 and 0.5551234567 and 2024-01-02 03:04:05")]
+    found = {r.doc_id: r for r in surrogate_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    family, given, again, caps, caps_family = re.fullmatch(r"(\S+) came first\. Mrs\. (\S+) \1 called\. (\S+) said: (\S+) (\S+)'s bag\. Smithson and Annabel stay\.", found[0].text).groups()
+    assert family == again and caps == given.upper() and caps_family == family.upper() and not {"Smith", "Anna"} & {family, given}
+    assert found[0].n_entities == 4 and found[0].kinds == "name"
+    julia, weber, klein = re.fullmatch(r"Frau Dr\. (\S+) (\S+) and Prof\. \2; Dr\. \1 \2, Professor (\S+)\. \3 left\.", found[1].text).groups()
+    assert not {"Julia", "Weber", "Klein"} & {julia, weber, klein}
+    assert re.fullmatch(r"д-р \w+ (\w+ова) и \1", found[2].text) and "Петрова" not in found[2].text
+    for kind, at, forms in (("phone", 100, numbers), ("card", 200, cards)):
+        for i, x in enumerate(forms):
+            r = found[at + i]
+            assert (r.n_entities, r.kinds) == (1, kind) and x not in r.text, x
+            assert re.sub("[0-9]", "0", r.text) == re.sub("[0-9]", "0", dict(rows)[at + i])
+    assert found[300].n_entities == 0 and found[300].text == rows[-1][1]
+
+
 def test_name_spaces_grow_with_the_tokens(spark):
     kinds = [("given-latin-f", 30000), ("given-cyrillic-m", 3000), ("family-cyrillic-m", 70000), ("family-latin", 3000), ("mail", 676)]
     letters = "abcdefghijklmnopqrstuvwxyz"
