@@ -2,8 +2,8 @@
 
 Patterns give candidates with their places. The hash of every candidate value is counted over
 the whole corpus by distinct owners and by distinct repositories. A value that several owners
-share is a copied example; one that a single owner holds and that looks random is taken for a live
-credential. The counts combine per task, then per (value, owner), then per value, so a value in a third
+share, or that stands in many repositories of whichever owners, is a copied example; any other that
+looks random is taken for a live credential, also if it leaked to a second owner. The counts combine per task, then per (value, owner), then per value, so a value in a third
 of all rows is one row per owner when the owners are counted.
 
 Contract: null text counts as empty, a null owner is an owner of its own. Every row gives a row;
@@ -33,8 +33,9 @@ GATES = {
 # Added by the method: runs of 20 or more characters with letters and digits, kept where they look live.
 VALUE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])[A-Za-z0-9+/_-]{20,}"
 MARK = "[SECRET]"
-# From so many owners on a value is a copied example.
+# From so many owners or repositories on a value is a copied example.
 SHARED_OWNERS = 3
+SHARED_REPOSITORIES = 10
 # A live credential has so many different characters.
 LEAST_DISTINCT = 8
 
@@ -93,14 +94,14 @@ def _ownership(rows: DataFrame) -> DataFrame:
     return by_owner.groupBy("value_hash").agg(F.count("*").alias("n_owners"), F.sum("n_repositories").alias("n_repositories"))
 
 
-def _judged(rows: DataFrame, shared_owners: int) -> DataFrame:
-    """(row_id, judged) with ``live`` and ``shared`` on every candidate of rows that have any."""
+def _judged(rows: DataFrame, shared_owners: int, shared_repositories: int) -> DataFrame:
+    """(row_id, judged) with ``live``, ``shared`` and the counts on every candidate of rows that have any."""
     places = rows.select("row_id", F.explode("found").alias("place")).withColumn("value_hash", F.sha2(F.col("place.value"), 256))
     known = places.join(_ownership(rows), "value_hash")
-    shared = F.col("n_owners") >= shared_owners
-    live = (F.col("n_owners") == 1) & _random_looking(F.col("place.value"))
+    shared = (F.col("n_owners") >= shared_owners) | (F.col("n_repositories") >= shared_repositories)
+    live = ~shared & _random_looking(F.col("place.value"))
     return known.groupBy("row_id").agg(
-        F.array_sort(F.collect_list(F.struct("place.start", "place.kind", "place.end", "place.value", live.alias("live"), shared.alias("shared")))).alias("judged")
+        F.array_sort(F.collect_list(F.struct("place.start", "place.kind", "place.end", "place.value", live.alias("live"), shared.alias("shared"), "n_owners", "n_repositories"))).alias("judged")
     )
 
 
@@ -115,13 +116,13 @@ def _scanned(docs: DataFrame, owner: str, repository: str, keep: Column) -> Data
     )
 
 
-def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", shared_owners: int = SHARED_OWNERS) -> DataFrame:
-    """Per row: the base counts and places, all places, and how many candidates look live or shared."""
+def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", shared_owners: int = SHARED_OWNERS, shared_repositories: int = SHARED_REPOSITORIES) -> DataFrame:
+    """Per row: the base counts and places, the places with their owners and repositories, and how many look live or shared."""
     rows = stage(_scanned(docs, owner, repository, F.col("doc_id")), "secret-candidates")
-    judged = _judged(rows.filter(F.size("found") > 0), shared_owners)
+    judged = _judged(rows.filter(F.size("found") > 0), shared_owners, shared_repositories)
     all_rows = rows.join(judged, "row_id", "left")
     base = F.filter("found", lambda x: x["kind"] < len(KINDS))
-    places = F.coalesce("judged", F.array().cast("array<struct<start:bigint,kind:int,end:bigint,value:string,live:boolean,shared:boolean>>"))
+    places = F.coalesce("judged", F.array().cast("array<struct<start:bigint,kind:int,end:bigint,value:string,live:boolean,shared:boolean,n_owners:bigint,n_repositories:bigint>>"))
     spans_kept = F.filter(places, lambda x: (x["kind"] < len(KINDS)) | x["live"])
     return all_rows.select(
         F.col("kept").cast("bigint").alias("doc_id"),
@@ -130,15 +131,17 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
         _joined(spans_kept).alias("spans"),
         F.size(F.filter(places, lambda x: x["live"])).cast("bigint").alias("n_live"),
         F.size(F.filter(places, lambda x: x["shared"])).cast("bigint").alias("n_shared"),
+        F.transform(spans_kept, lambda x: x["n_owners"]).alias("n_owners"),
+        F.transform(spans_kept, lambda x: x["n_repositories"]).alias("n_repositories"),
     )
 
 
-def redact_live(docs: DataFrame, owner: str = "source", repository: str = "doc_id", shared_owners: int = SHARED_OWNERS) -> DataFrame:
+def redact_live(docs: DataFrame, owner: str = "source", repository: str = "doc_id", shared_owners: int = SHARED_OWNERS, shared_repositories: int = SHARED_REPOSITORIES) -> DataFrame:
     """``docs`` with every live-looking value replaced by ``MARK``; other rows stay as they are."""
     suspect = F.coalesce(F.col("text"), F.lit("")).rlike("|".join([*GATES.values(), VALUE]).replace("(?i)", ""))
     suspect = suspect | F.coalesce(F.col("text"), F.lit("")).rlike(GATES["assign"])
     rows = stage(_scanned(docs.filter(suspect), owner, repository, F.struct(*docs.columns)), "secret-rows")
-    judged = _judged(rows.filter(F.size("found") > 0), shared_owners)
+    judged = _judged(rows.filter(F.size("found") > 0), shared_owners, shared_repositories)
     live = judged.select("row_id", F.filter("judged", lambda x: x["live"]).alias("live")).filter(F.size("live") > 0)
     joined = rows.join(live, "row_id", "left").select("kept.*", "live")
     longest_first = F.reverse(F.array_sort(F.transform("live", lambda x: F.struct(F.length(x["value"]).alias("n"), x["value"].alias("v")))))

@@ -74,6 +74,17 @@ def test_shared_values_are_no_live_ones(spark):
     assert X.scan_secrets(df.limit(0)).count() == 0 and X.redact_live(df.limit(0)).count() == 0
 
 
+def test_owners_and_repositories_decide(spark):
+    wide, leaked, added = "password=q1w2e3r4t5y6", "password=a9s8d7f6g5h4", "Abc1def2ghi3jkl4mno5pqr6"
+    rows = [(i, wide, "hot") for i in range(10)] + [(20, leaked, "a"), (21, leaked, "b"), (22, added, "a"), (23, added, "b")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = {r.doc_id: (r.n_live, r.n_shared, r.n_owners, r.n_repositories, r.spans.count(":")) for r in X.scan_secrets(df).collect()}
+    assert all(found[i] == (0, 1, [1], [10], 2) for i in range(10))
+    assert all(found[i] == (1, 0, [2], [2], 2) for i in range(20, 24))
+    texts = {r.doc_id: r.text for r in X.redact_live(df).collect()}
+    assert texts[0] == wide and texts[20] == texts[21] == "password=" + X.MARK and texts[22] == texts[23] == X.MARK
+
+
 LICENSES = [
     None, "", " ", "MIT LICENSE mit license, Apache  license; cc-by cc by 4.0 The GNU General Public License, version 3 or later",
     "apache license mit", "SPDX-License-Identifier: MIT license", "é mit-lizenz mit license" * 3, "\U0001f600 x1 Y",
