@@ -70,6 +70,28 @@ FAMILIES = (
     ("osl", "open", "open software licen[sc]e"),
     ("ms-pl", "microsoft", "microsoft public licen[sc]e"),
 )
+# Identifiers: label, keyword and words of short names that are too common to stand alone; they count behind
+# an SPDX tag (gated by "spdx") and behind "licensed under" and the like.
+IDENTIFIERS = (
+    ("apache", "apache", r"apache(?: version)? v?(?:1 [01]|2(?: 0)?)(?! \d)"),
+    ("mit", "mit ", "mit(?: 0)?"),
+    ("isc", "isc ", "isc"),
+    ("zlib", "zlib", "zlib"),
+    ("epl", "epl ", "epl"),
+    ("cddl", "cddl ", "cddl"),
+    ("cpl", "cpl ", "cpl"),
+    ("eupl", "eupl ", "eupl"),
+    ("gfdl", "gfdl ", "gfdl"),
+    ("artistic", "artistic", r"artistic [12] 0"),
+    ("boost", "bsl ", "bsl 1 0"),
+    ("python", "psf ", "psf"),
+    ("python", "python 2 0", r"python 2 0(?: \d)?(?! \d)"),
+    ("odbl", "odbl ", "odbl"),
+    ("upl", "upl ", "upl"),
+    ("afl", "afl ", "afl"),
+    ("osl", "osl ", "osl"),
+    ("ms-pl", "ms pl ", "ms pl"),
+)
 # Forms around a name: priority (higher wins), what stands before and after the name. Longer first.
 VERSION = r"(?:,? ?(?:version|v|ver|release))? ?\d+(?: \d+){0,2}"
 FORMS = (
@@ -106,7 +128,13 @@ def rules() -> list[tuple[int, str, str, str]]:
         for priority, before, after in FORMS
         for label, keyword, name in FAMILIES
     ]
-    return named + [(p, label, keyword, f"(?i)(?<= ){words}(?= )") for p, label, keyword, words in SENTENCES]
+    short = [
+        (priority, label, "spdx" if priority == 5 else keyword, f"(?i)(?<= ){before}{name}{after}(?= )")
+        for priority, before, after in FORMS
+        if priority >= 3
+        for label, keyword, name in IDENTIFIERS
+    ]
+    return named + short + [(p, label, keyword, f"(?i)(?<= ){words}(?= )") for p, label, keyword, words in SENTENCES]
 
 
 def _rules_column() -> Column:

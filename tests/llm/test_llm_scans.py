@@ -121,6 +121,21 @@ def test_license_places_equal_brute_force(spark):
     assert scan_licenses(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_spdx_identifiers_are_found(spark):
+    lines = {
+        "MIT": "mit", "Apache-2.0": "apache", "ISC": "isc", "Zlib": "zlib", "EPL-2.0": "epl", "BSL-1.0": "boost", "Artistic-2.0": "artistic",
+        "GPL-2.0-or-later": "gpl", "BSD-3-Clause": "bsd", "CDDL-1.0": "cddl", "CPL-1.0": "cpl", "EUPL-1.2": "eupl", "GFDL-1.3-only": "gfdl",
+        "PSF-2.0": "python", "ODbL-1.0": "odbl", "UPL-1.0": "upl", "AFL-3.0": "afl", "OSL-3.0": "osl", "MS-PL": "ms-pl", "CC0-1.0": "cc0",
+    }
+    rows = [(i, f"// SPDX-License-Identifier: {x}\nint main") for i, x in enumerate(lines)]
+    rows += [(100, "It is distributed under Apache 2.0."), (101, "released under the terms of the MIT"), (102, "licensed under EPL v2.0, see there")]
+    rows += [(200, "available under Apache 2.4 with mod_x, mit Wasser"), (201, "an artistic epl match")]
+    found = {r.doc_id: (r.labels, r.score) for r in scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {x: found[i] for i, x in enumerate(lines)} == {x: (label, 1.0) for x, label in lines.items()}
+    assert found[100] == ("apache", 0.8) and found[101] == ("mit", 0.8) and found[102] == ("epl", 0.9)
+    assert found[200] == found[201] == ("", 0.0)
+
+
 PRIVATE = [
     None, "", "Mail Bob.Lee@mail.Example.com or bob.lee@mail.example.com, +1 (988) 555-2485 / +1-988-555-2485; card 4041894974608795 or 4041 8949 7460 8795.",
     "Mr. John Smith met Mrs. Anna Smith and Mr. Smith. г-жа Анна Иванова, г-н Иванов.",
