@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.llm.byte_bpe import round_trip
+from logloom.llm.decontaminate import decontaminate
 from logloom.llm.embeddings import embedding_duplicates
 from logloom.llm.exact_dedup import exact_dedup
 from logloom.llm.jaccard import jaccard_components
@@ -77,6 +78,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents inside windows of benchmark items."""
+    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_license_scan": op10_license_scan,
+    "op11_decontamination": op11_decontamination,
 }
 
 ORACLES: dict[str, str] = {
@@ -176,4 +183,36 @@ ORACLES: dict[str, str] = {
         )
         SELECT s.doc_id, len(s.s) AS n_shingles, component_id FROM sets s JOIN least USING (doc_id)
     """,
+    "op11_decontamination": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS n, doc_id, string_split_regex(trim(regexp_replace(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' +') AS w
+            FROM documents
+        ), docs AS (
+            SELECT n, doc_id, list_filter(w, lambda x: x <> '') AS w FROM texts
+        ), tests AS (
+            SELECT item_id, list_filter(string_split_regex(trim(regexp_replace(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' +'),
+                lambda x: x <> '') AS w
+            FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS t
+            FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                  FROM (SELECT item_id, w, least(10, len(w)) AS k FROM tests WHERE len(w) > 0))
+        ), places AS (
+            SELECT n, i, k, array_to_string(w[i:i + k - 1], ' ') AS t
+            FROM (SELECT n, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                  FROM docs CROSS JOIN (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)
+        ), found AS (
+            SELECT p.n, p.i, p.k, v.item_id FROM places p JOIN windows v ON p.k = v.k AND p.t = v.t
+        ), hit AS (
+            SELECT n, count(DISTINCT at) AS n_hit FROM (SELECT n, unnest(range(i, i + k)) AS at FROM found) GROUP BY n
+        ), named AS (
+            SELECT n, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS items
+            FROM found GROUP BY n
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hit USING (n) LEFT JOIN named USING (n)
+    """,
 }
