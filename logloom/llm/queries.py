@@ -206,7 +206,7 @@ ORACLES: dict[str, str] = {
         ), found AS (
             SELECT p.n, p.i, p.k, v.item_id FROM places p JOIN windows v ON p.k = v.k AND p.t = v.t
         ), hit AS (
-            SELECT n, count(DISTINCT at) AS n_hit FROM (SELECT n, unnest(range(i, i + k)) AS at FROM found) GROUP BY n
+            SELECT n, count(DISTINCT spot) AS n_hit FROM (SELECT n, unnest(range(i, i + k)) AS spot FROM found) GROUP BY n
         ), named AS (
             SELECT n, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS items
             FROM found GROUP BY n
