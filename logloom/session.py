@@ -55,10 +55,22 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/logloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the shared one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application staged. Only for the end of a job: its results are gone then."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/logloom/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(spark, f"{shared_dir(spark)}/logloom/{spark.sparkContext.applicationId}")
+
+
+def stage_at(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+    """``stage`` with the folder, for a caller that drops it with ``drop_path`` once a later table replaces it."""
+    path = new_dir(df.sparkSession, label)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -66,9 +78,7 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
 
     Cuts lineage for iterative jobs, survives lost executors, and gives the planner true sizes.
     """
-    path = new_dir(df.sparkSession, label)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stage_at(df, label, partition_by)[0]
 
 
 def _value_bytes(field: T.StructField) -> Column:
