@@ -19,6 +19,7 @@ from logloom.llm.revisits import captures_of, resolve_revisits
 from logloom.llm.secrets import scan_secrets
 from logloom.llm.surrogates import surrogate_documents
 from logloom.llm.toxicity import score_toxicity
+from logloom.llm.vector_codes import vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +84,11 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of embeddings and their errors."""
+    return vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_license_scan": op10_license_scan,
     "op11_decontamination": op11_decontamination,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
