@@ -18,6 +18,7 @@ from logloom.llm.packing import pack_documents
 from logloom.llm.revisits import captures_of, resolve_revisits
 from logloom.llm.secrets import scan_secrets
 from logloom.llm.surrogates import surrogate_documents
+from logloom.llm.token_alignment import align_documents
 from logloom.llm.toxicity import score_toxicity
 from logloom.llm.vector_codes import vector_codes
 
@@ -84,6 +85,12 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level and piece tokens of documents, aligned and weighed over the corpus."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_documents(_table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product codes of embeddings and their errors."""
     return vector_codes(_table(spark, sf_dir, "embeddings"))
@@ -101,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_license_scan": op10_license_scan,
     "op11_decontamination": op11_decontamination,
+    "op12_token_alignment": op12_token_alignment,
     "op13_vector_codes": op13_vector_codes,
 }
 
