@@ -28,7 +28,7 @@ from logloom.operators.ranking import number_rows
 from logloom.session import broadcast_if_small, stage
 
 LEAF = ("n_tokens", "heads")
-# Type of ``seen_at``.
+# Type of ``seen_at`` in a dictionary, whatever lines have.
 ORDER = "decimal(38,0)"
 # Event numbers per pack of known leaders.
 KNOWN_PACK = 1024
@@ -60,6 +60,7 @@ def assign_leaves(signatures: DataFrame, config: MiningConfig, known: DataFrame
     Nodes of a ``known`` dictionary keep their tokens.
     """
     keep = config.max_children - 1
+    order = signatures.schema["seen_at"].dataType
     leaves = signatures.withColumn("tokens", tokens(F.col("signature"))).withColumn("n_tokens", F.size("tokens"))
     leaves = leaves.withColumn("heads", F.array().cast("array<string>"))
     for level in range(1, config.head_tokens + 1):
@@ -73,7 +74,7 @@ def assign_leaves(signatures: DataFrame, config: MiningConfig, known: DataFrame
                     "n_tokens",
                     F.slice("heads", 1, level - 1).alias("heads"),
                     F.get("heads", F.lit(level - 1)).alias("head"),
-                    (F.col("event_no") - F.lit(2**62)).cast(ORDER).alias("seen_at"),
+                    (F.col("event_no") - F.lit(2**62)).cast(order).alias("seen_at"),
                 )
             )
         first = (
@@ -201,7 +202,9 @@ def refresh_texts(known: DataFrame, matched: DataFrame) -> DataFrame:
     """``known`` with texts that also cover the ``matched`` signatures (event_no, tokens, seen_at)."""
     words = F.when(F.col("n_tokens") > 0, F.split("EventTemplate", " ")).otherwise(F.array().cast("array<string>"))
     old = known.join(matched.select("event_no").distinct(), "event_no", "left_semi")
-    members = old.select("event_no", "seen_at", words.alias("tokens")).unionByName(matched)
+    members = old.select("event_no", "seen_at", words.alias("tokens")).unionByName(
+        matched.withColumn("seen_at", F.col("seen_at").cast(ORDER))
+    )
     texts = template_texts(members, "event_no").select("event_no", F.col("EventTemplate").alias("text"))
     joined = known.join(texts, "event_no", "left")
     return joined.withColumn("EventTemplate", F.coalesce("text", "EventTemplate")).drop("text")
@@ -235,7 +238,7 @@ def mine(
     leader = packs.select(*LEAF, F.inline("leaders").alias("leader_seen", "leader_signature", "leader"))
     event = event_name(F.col("event_no")).alias("EventId")
     dictionary = texts.join(leader, "leader_seen").select(
-        "event_no", event, "EventTemplate", *LEAF, "leader", "seen_at"
+        "event_no", event, "EventTemplate", *LEAF, "leader", F.col("seen_at").cast(ORDER).alias("seen_at")
     )
     if known is not None:
         dictionary = known.select(*dictionary.columns).unionByName(dictionary)

@@ -19,7 +19,7 @@ from logloom.operators.templates import (
     template_table,
 )
 from logloom.session import broadcast_if_small, stage
-from logloom.sources.lines import clean_lines, seen_at
+from logloom.sources.lines import clean_lines, order_key
 
 
 @dataclass(frozen=True)
@@ -34,10 +34,9 @@ class Structured:
 
 def signed_events(lines: DataFrame, fmt: LogFormat, masks: tuple[Mask, ...] | None = None) -> DataFrame:
     """Parsed events with ``signature`` and ``seen_at``."""
-    events = parse_lines(clean_lines(lines), fmt)
-    return events.withColumn(
-        "signature", signature(F.col("Content"), fmt.masks if masks is None else masks)
-    ).withColumn("seen_at", seen_at(F.col("source_order"), F.col("LineId")))
+    ordered = lines.withColumn("seen_at", order_key(lines))
+    events = parse_lines(clean_lines(ordered), fmt)
+    return events.withColumn("signature", signature(F.col("Content"), fmt.masks if masks is None else masks))
 
 
 def structure(

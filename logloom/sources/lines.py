@@ -3,7 +3,7 @@
 ``spark.read.text`` splits big files, so the number of a line is the number of lines in the
 earlier splits of its file plus its place in its own split. A first pass measures the splits
 (one row each); the place comes from ``monotonically_increasing_id``. The lines themselves are
-never shuffled.
+never shuffled, whatever the number of splits: tasks look their splits up in broadcast pages of numbers.
 """
 
 from __future__ import annotations
@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from logloom.functions.text import clean_line, is_blank
-from logloom.session import broadcast_if_small, stage
+from logloom.session import stage
 
+# Splits per broadcast page, of 32 bytes each; the list of splits that a scan keeps at the driver is longer.
+PAGE_SPLITS = 500_000
 # ``monotonically_increasing_id`` counts the rows of a task in its low bits.
 ROW_MASK = 2**33 - 1
 
@@ -22,10 +24,21 @@ _SPLIT = ("path", "split_start", "split_length")
 _BIG = "decimal(38,0)"
 
 
-def seen_at(source_order: Column, line_id: Column) -> Column:
-    """Order of all lines of all sources as one exact number; it holds any two 62-bit numbers."""
-    high = source_order.cast("decimal(19,0)") * F.lit(2**62).cast("decimal(19,0)")
-    return (high.cast(_BIG) + line_id.cast("decimal(19,0)")).cast(_BIG)
+def order_key(lines: DataFrame) -> Column:
+    """Order of all lines of all sources as one exact number.
+
+    A ``TextSource`` brings it along. Other lines are measured here (two maxima): the number is a long
+    when source order and line number fit one, and a decimal that holds any two 62-bit numbers otherwise.
+    """
+    if "seen_at" in lines.columns:
+        return F.col("seen_at")
+    order, line = F.col("source_order"), F.col("LineId")
+    most_order, most_line = lines.agg(F.max(order), F.max(line)).first()
+    bits = max(40, int(most_line or 0).bit_length())
+    if int(most_order or 0).bit_length() + bits <= 62:
+        return F.shiftleft(order.cast("bigint"), bits) + line.cast("bigint")
+    high = order.cast("decimal(19,0)") * F.lit(2**62).cast("decimal(19,0)")
+    return (high.cast(_BIG) + line.cast("decimal(19,0)")).cast(_BIG)
 
 
 def line_hash(value: Column) -> Column:
@@ -60,7 +73,7 @@ class TextSource:
     """
 
     def __init__(self, spark: SparkSession, root: str, pattern: str = "*", sources: list[str] | None = None):
-        folder = root.rstrip("/") + "/"
+        self._folder = folder = root.rstrip("/") + "/"
         files = (
             spark.read.option("recursiveFileLookup", "true")
             .option("pathGlobFilter", pattern)
@@ -96,6 +109,14 @@ class TextSource:
         else:
             rows = [(name, i) for i, name in enumerate(sources, 1)]
             self._order = spark.createDataFrame(rows, "source string, source_order bigint")
+        self._seed, splits = 0, self._splits.count()
+        # Splits are known by a hash; the seed that tells all of them apart is nearly always the first.
+        while self._splits.select(self._key()).distinct().count() < splits:
+            self._seed += 1
+        self._pages = max(1, -(-splits // PAGE_SPLITS))
+
+    def _key(self) -> Column:
+        return F.xxhash64(*_SPLIT, F.lit(self._seed)).alias("split_key")
 
     def fingerprints(self) -> DataFrame:
         """``fingerprints`` of the files, from the measured splits; the text is not read again."""
@@ -109,20 +130,35 @@ class TextSource:
         return sums.select("source", "num_lines", _mark(F.col("plain"), F.col("placed")))
 
     def lines(self) -> DataFrame:
-        """Physical lines: value, source, source_order, LineId (from 1, blank lines count)."""
+        """Physical lines: value, source, source_order, LineId (from 1, blank lines count), seen_at.
+
+        ``seen_at`` is the number of the line over all sources in their order.
+        """
+        sizes = self._splits.groupBy("source").agg(F.sum("n").alias("size")).join(self._order, "source")
+        # One row per file.
+        earlier = W.orderBy("source_order").rowsBetween(W.unboundedPreceding, -1)
+        sizes = sizes.select("source", "source_order", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("earlier"))
+        shift = F.col("lines_before") - F.col("first_row") + 1
         offsets = stage(
-            self._splits.join(self._order, "source").select(*_SPLIT, "source", "source_order", "first_row", "lines_before"),
-            "offsets",
+            self._splits.join(sizes, "source").select(self._key(), "source_order", "earlier", shift.alias("shift")), "offsets"
         )
-        known = F.col("first_row").isNotNull()
-        return self._scan.join(broadcast_if_small(offsets), list(_SPLIT), "left").select(
+        numbered, found = self._scan.withColumn("split_key", self._key()), []
+        for page in range(self._pages):
+            held = F.struct("source_order", "earlier", "shift").alias(f"page_{page}")
+            own = F.pmod(F.col("split_key"), F.lit(self._pages)) == page
+            numbered = numbered.join(F.broadcast(offsets.filter(own).select("split_key", held)), "split_key", "left")
+            found.append(F.col(f"page_{page}"))
+        place = F.coalesce(*found)
+        line_id = place["shift"] + F.col("row_id")
+        return numbered.select(
             "value",
-            "source",
-            "source_order",
+            F.substring_index("path", self._folder, -1).alias("source"),
+            place["source_order"].alias("source_order"),
             # A scan planned with other split sizes than the first pass must fail, not miscount.
-            F.when(known, F.col("lines_before") + F.col("row_id") - F.col("first_row") + 1)
+            F.when(place.isNotNull(), line_id)
             .otherwise(F.raise_error(F.lit("file splits changed between the two passes")).cast("bigint"))
             .alias("LineId"),
+            (place["earlier"] + line_id).alias("seen_at"),
         )
 
 

@@ -48,6 +48,32 @@ def test_numbers_over_many_splits(spark, tmp_path):
     assert marks == sorted(map(tuple, fingerprints(read_lines(spark, str(raw))).collect()))
 
 
+def test_text_is_not_shuffled_whatever_the_number_of_splits(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    for name in ("a.log", "b.log", "c.log"):
+        _write(raw, name, b"".join(b"%s line %d\n" % (name.encode(), i) for i in range(300)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    whole = sorted(map(tuple, read_lines(spark, str(raw)).collect()))
+    # A page bound far below the number of splits: more pages, still no shuffle of lines.
+    monkeypatch.setattr("logloom.sources.lines.PAGE_SPLITS", 3)
+    monkeypatch.setattr("logloom.session.BROADCAST_ROWS", 1)
+    try:
+        source = TextSource(spark, str(raw))
+        lines = source.lines()
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, lines.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert source._pages > 3 and "BroadcastHashJoin" in plan
+    assert "Exchange" not in plan.replace("BroadcastExchange", "") and "SortMergeJoin" not in plan
+    assert got == whole
+    # The number over all sources follows their order.
+    assert sorted(r[4] for r in got) == list(range(1, 901))
+    assert [r[1:4] for r in sorted(got, key=lambda r: r[4])] == sorted(r[1:4] for r in got)
+
+
 def test_listed_sources_keep_their_order_and_absent_ones_are_skipped(spark, tmp_path):
     raw = tmp_path / "raw"
     for name in ("a.log", "b.log", "c.log"):
