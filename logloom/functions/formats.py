@@ -49,7 +49,7 @@ class MiningConfig:
 
     ``sim_th``: least share of equal tokens for a line to join a template; ``depth``: tree depth,
     so ``depth - 3`` leading tokens belong to the leaf key; ``max_children``: tokens a tree node
-    keeps, the wildcard included; ``batch``: leaders settled per leaf and round (speed only).
+    keeps, the wildcard included; ``batch``: signatures of a leaf that are settled in one row (speed only).
     """
 
     sim_th: float = 0.4

@@ -4,6 +4,10 @@ Lines shrink to distinct signatures (masked content) in one aggregate; everythin
 works on signatures. Order always means first appearance (``seen_at``), never partition order,
 so the result does not depend on partitioning.
 
+Signatures of a leaf that can be similar are found by an index. Of n tokens k must agree; cut into
+k - 1 classes of positions, some class holds two of them. So two signatures that share no pair
+(position, token, position, token) of a class are not similar, and are never compared.
+
 Dictionary columns: event_no, EventId, EventTemplate, n_tokens, heads, leader, seen_at.
 """
 
@@ -30,10 +34,12 @@ from logloom.session import broadcast_if_small, stage
 LEAF = ("n_tokens", "heads")
 # Type of ``seen_at`` in a dictionary, whatever lines have.
 ORDER = "decimal(38,0)"
-# Event numbers per pack of known leaders.
-KNOWN_PACK = 1024
+# Leaders of a leaf that are compared one by one, in one row; more of them are looked up by the index.
+KNOWN_PACK = 64
 # Rounds whose leaders are read side by side before they are merged into one table.
 MAX_UNION = 16
+# Signatures under an index item that a round compares with the later ones: at first, growth, at most.
+FIRST_HEADS, HEADS_GROWTH, MOST_HEADS = 4, 4, 1024
 
 
 def signature_counts(lines: DataFrame) -> DataFrame:
@@ -108,70 +114,158 @@ def _settle(candidates: Column, config: MiningConfig) -> Column:
     return F.aggregate(candidates, empty, step)
 
 
-def find_leaders(leaves: DataFrame, config: MiningConfig) -> DataFrame:
-    """Leaders of staged signatures: those similar to no earlier leader of their leaf.
+def _indexed(rows: DataFrame, config: MiningConfig) -> DataFrame:
+    """Add ``items``: signatures of a leaf that share none are not similar.
 
-    The result packs them: one row per leaf and round with up to ``batch`` leaders. Each round
-    settles the earliest open signatures of every leaf at once and drops what their leaders
-    cover. All earlier leaders have already dropped theirs, so the outcome is that of going
-    through the signatures one by one. A leader covers itself by identity: a text of mostly
-    wildcards is not similar to itself.
+    Literal heads agree within a leaf, so they are taken off the number of tokens that must agree.
+    One token that must agree is indexed alone, none at all makes the whole leaf one item.
     """
-    open_rows = leaves.select(*LEAF, "tokens", "seen_at", "signature")
-    columns = open_rows.columns
-    packs: list[DataFrame] = []
-    while not open_rows.isEmpty():
-        # Limited per task before the shuffle, so a hot leaf never meets in one task.
-        rank = F.row_number().over(W.partitionBy(*LEAF).orderBy("seen_at"))
-        head = open_rows.withColumn("rank", rank).filter(F.col("rank") <= config.batch)
-        row = F.struct("seen_at", "signature", "tokens")
-        settled = head.groupBy(*LEAF).agg(
-            F.array_sort(F.collect_list(row)).alias("head"), F.max("seen_at").alias("upto")
-        )
-        settled = stage(settled.select(*LEAF, "upto", _settle(F.col("head"), config).alias("leaders")), "settled")
-        packs.append(settled.drop("upto"))
-        covered = F.exists("leaders", lambda leader: similar(leader["tokens"], F.col("tokens"), config.sim_th))
-        open_rows = stage(
-            open_rows.join(broadcast_if_small(settled), list(LEAF))
-            .filter((F.col("seen_at") > F.col("upto")) & ~covered)
-            .select(*columns),
-            "open",
-        )
-        if len(packs) == MAX_UNION:
-            packs = [stage(reduce(DataFrame.unionByName, packs), "leaders")]
-    if not packs:
-        packs = [leaves.select(*LEAF, F.array(F.struct("seen_at", "signature", "tokens")).alias("leaders"))]
-    return reduce(DataFrame.unionByName, packs)
+    n = F.col("n_tokens")
+    least = F.ceil(F.lit(config.sim_th) * n - F.lit(1e-9)).cast("int")
+    literal = F.size(F.filter("heads", lambda head: head != WILDCARD))
+    based = rows.withColumn("_leaf", F.xxhash64(*LEAF)).withColumn("_must", least - literal)
+
+    def free(i: Column) -> Column:
+        """The token at a position that may differ within the leaf, null elsewhere."""
+        token, head = F.get("tokens", i), F.get("heads", i)
+        return F.when((token != WILDCARD) & (head.isNull() | (head == WILDCARD)), token)
+
+    def item(*parts: Column) -> Column:
+        return F.xxhash64(F.col("_leaf"), *parts)
+
+    places = F.sequence(F.lit(0), n - 1)
+    alone = F.transform(places, lambda i: F.when(free(i).isNotNull(), item(i, free(i))))
+    step = F.col("_must") - 1
+
+    def partners(i: Column) -> Column:
+        count = F.floor((n - 1 - i) / step).cast("int")
+        steps = F.when(count > 0, F.sequence(F.lit(1), F.greatest(count, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+
+        def pair(k: Column) -> Column:
+            other = i + k * step
+            both = free(i).isNotNull() & free(other).isNotNull()
+            return F.when(both, item(i, free(i), other, free(other)))
+
+        return F.transform(steps, pair)
+
+    items = (
+        F.when(F.col("_must") <= 0, F.array(item(F.lit(-1))))
+        .when(F.col("_must") == 1, F.array_compact(alone))
+        .otherwise(F.array_compact(F.flatten(F.transform(places, partners))))
+    )
+    return based.withColumn("items", items).drop("_leaf", "_must")
+
 
+def _pairs(earlier: DataFrame, later: DataFrame, order: Column) -> DataFrame:
+    """(order, seen_at) of the rows of both tables that share an item and where ``order`` holds."""
+    return earlier.join(later, "item").filter(order).select("order", "seen_at").distinct()
 
-def pack_known(known: DataFrame) -> DataFrame:
-    """Leaders of a dictionary, packed per leaf and run of event numbers; seen_at is event_no."""
-    row = F.struct(F.col("event_no").alias("seen_at"), F.array_join("leader", " ").alias("signature"), F.col("leader").alias("tokens"))
-    packs = known.groupBy(*LEAF, F.floor(F.col("event_no") / KNOWN_PACK).alias("pack")).agg(F.collect_list(row).alias("leaders"))
-    return packs.drop("pack")
 
+def _by_index(leaves: DataFrame, config: MiningConfig) -> list[DataFrame]:
+    """Leaders of big leaves, in tables.
 
-def nearest_leader(leaves: DataFrame, packs: DataFrame, config: MiningConfig) -> DataFrame:
+    Per round an open signature is compared with the first few signatures under its items. One that
+    stands among these first under all its items, and is similar to no earlier open one, is a leader;
+    all that are similar to it have been found by then, and go. The first few grow from round to round: common
+    shapes go while they are few, and after that a leaf of any number of leaders is settled in as many rounds as
+    chains of similar signatures are long.
+    """
+    columns = (*LEAF, "seen_at", "signature", "tokens")
+    open_rows = stage(_indexed(leaves.select(*columns), config), "open")
+    limit, parts = FIRST_HEADS, []
+    while not open_rows.isEmpty():
+        index = open_rows.select("seen_at", F.explode("items").alias("item"))
+        # Limited per task before the shuffle, so a common item never meets in one task.
+        rank = F.row_number().over(W.partitionBy("item").orderBy("seen_at"))
+        heads = stage(index.withColumn("rank", rank).filter(F.col("rank") <= limit).drop("rank"), "heads")
+        pairs = _pairs(heads.withColumnRenamed("seen_at", "order"), index, F.col("order") < F.col("seen_at"))
+        first = open_rows.select(F.col("seen_at").alias("order"), *[F.col(c).alias(f"first_{c}") for c in (*LEAF, "tokens")])
+        alike = similar(F.col("first_tokens"), F.col("tokens"), config.sim_th)
+        for name in LEAF:
+            alike = alike & (F.col(name) == F.col(f"first_{name}"))
+        found = pairs.join(first, "order").join(open_rows.drop("signature", "items"), "seen_at").filter(alike)
+        found = stage(found.select("order", "seen_at"), "similar")
+        sure = heads.groupBy("seen_at").agg(F.count("*").alias("n_heads"))
+        seen_whole = F.coalesce("n_heads", F.lit(0)) == F.size("items")
+        leaders = open_rows.join(sure, "seen_at", "left").filter(seen_whole).join(found.select("seen_at"), "seen_at", "left_anti")
+        leaders = stage(leaders.select(*columns), "leaders")
+        parts.append(leaders)
+        led = leaders.select("seen_at")
+        covered = found.join(led.withColumnRenamed("seen_at", "order"), "order", "left_semi").select("seen_at")
+        open_rows = stage(open_rows.join(covered.union(led), "seen_at", "left_anti"), "open")
+        limit = min(MOST_HEADS, limit * HEADS_GROWTH)
+        if len(parts) == MAX_UNION:
+            parts = [stage(reduce(DataFrame.unionByName, parts), "leaders")]
+    return parts
+
+
+def find_leaders(leaves: DataFrame, config: MiningConfig) -> DataFrame:
+    """Leaders (n_tokens, heads, seen_at, signature, tokens) of staged signatures.
+
+    A leader is similar to no earlier leader of its leaf. Leaves of up to ``batch`` signatures are gone
+    through in order, each in one row; bigger ones are settled by the index. A leader covers itself by identity: a
+    text of mostly wildcards is not similar to itself.
+    """
+    sizes = leaves.groupBy(*LEAF).agg(F.count("*").alias("leaf_rows"))
+    big = stage(sizes.filter(F.col("leaf_rows") > config.batch).select(*LEAF), "big-leaves")
+    parts: list[DataFrame] = []
+    small = leaves
+    if not big.isEmpty():
+        big = broadcast_if_small(big)
+        parts = _by_index(leaves.join(big, list(LEAF), "left_semi"), config)
+        small = leaves.join(big, list(LEAF), "left_anti")
+    row = F.struct("seen_at", "signature", "tokens")
+    gathered = small.groupBy(*LEAF).agg(F.array_sort(F.collect_list(row)).alias("head"))
+    settled = gathered.select(*LEAF, F.inline(_settle(F.col("head"), config)))
+    return reduce(DataFrame.unionByName, [stage(settled, "settled"), *parts])
+
+
+def known_leaders(known: DataFrame) -> DataFrame:
+    """Leaders of a dictionary in the form of ``find_leaders``; ``seen_at`` is the event number."""
+    return known.select(*LEAF, F.col("event_no").alias("seen_at"), F.array_join("leader", " ").alias("signature"), F.col("leader").alias("tokens"))
+
+
+def nearest_leader(leaves: DataFrame, leaders: DataFrame, config: MiningConfig) -> DataFrame:
     """Most similar leader of the same leaf per signature (ties: the earliest): leader_seen.
 
-    NULL where no leader reaches ``sim_th``. The best of a pack is found in the joined row; only
-    a leaf of several packs needs the aggregate that picks among them.
+    NULL where no leader reaches ``sim_th``. In a leaf of few leaders all are compared in the joined row; those
+    of a leaf with many are looked up by the index, and the same signature by itself. ``leaders`` should be staged.
     """
 
+    def short(same: Column, own: Column) -> Column:
+        return -F.when(same, F.size("tokens") + 1).otherwise(equal_tokens(own, F.col("tokens")))
+
+    sizes = leaders.groupBy(*LEAF).agg(F.count("*").alias("held"))
+    many = stage(sizes.filter(F.col("held") > KNOWN_PACK).select(*LEAF), "many-leaders")
+    some_many = not many.isEmpty()
+    few = leaders.join(broadcast_if_small(many), list(LEAF), "left_anti") if some_many else leaders
+    row = F.struct(F.col("seen_at").alias("order"), "signature", "tokens")
+    packs = few.groupBy(*LEAF).agg(F.collect_list(row).alias("leaders"))
+
     def score(leader: Column) -> Column:
-        same = leader["signature"] == F.col("signature")
-        hits = F.when(same, F.size("tokens") + 1).otherwise(equal_tokens(leader["tokens"], F.col("tokens")))
-        return F.struct((-hits).alias("short"), leader["seen_at"].alias("order"))
+        return F.struct(short(leader["signature"] == F.col("signature"), leader["tokens"]).alias("short"), leader["order"].alias("order"))
 
     best = F.array_min(F.transform("leaders", score))
-    joined = leaves.join(broadcast_if_small(packs), list(LEAF), "left")
-    scored = joined.select(*leaves.columns, best.alias("best"))
-    if not packs.groupBy(*LEAF).count().filter("count > 1").isEmpty():
-        rows = [c for c in leaves.columns if c != "signature"]
-        scored = scored.groupBy("signature").agg(*[F.first(c).alias(c) for c in rows], F.min("best").alias("best"))
+    scored = leaves.join(broadcast_if_small(packs), list(LEAF), "left").select(*leaves.columns, best.alias("best"))
+    if some_many:
+        own = stage(_indexed(leaves.join(broadcast_if_small(many), list(LEAF), "left_semi").select(*LEAF, "seen_at", "signature", "tokens"), config), "own-items")
+        led = leaders.join(broadcast_if_small(many), list(LEAF), "left_semi").withColumnRenamed("seen_at", "order")
+        led = stage(_indexed(led, config), "leader-items")
+        pairs = _pairs(
+            led.select("order", F.explode("items").alias("item")), own.select("seen_at", F.explode("items").alias("item")), F.lit(True)
+        )
+        first = led.select("order", *[F.col(c).alias(f"first_{c}") for c in (*LEAF, "tokens")])
+        near = pairs.join(first, "order").join(own.drop("signature", "items"), "seen_at")
+        for name in LEAF:
+            near = near.filter(F.col(name) == F.col(f"first_{name}"))
+        hits = near.select("seen_at", F.struct(short(F.lit(False), F.col("first_tokens")).alias("short"), "order").alias("looked_up"))
+        itself = own.join(led.select(*LEAF, "signature", "order"), [*LEAF, "signature"])
+        hits = hits.unionByName(itself.select("seen_at", F.struct((-F.size("tokens") - 1).alias("short"), "order").alias("looked_up")))
+        hits = hits.groupBy("seen_at").agg(F.min("looked_up").alias("looked_up"))
+        scored = scored.join(hits, "seen_at", "left").withColumn("best", F.coalesce("best", "looked_up")).drop("looked_up")
     words = F.greatest(F.size("tokens"), F.lit(1))
-    hits = -F.col("best.short")
-    enough = (hits / words >= config.sim_th) | (hits > F.size("tokens"))
+    agreed = -F.col("best.short")
+    enough = (agreed / words >= config.sim_th) | (agreed > F.size("tokens"))
     return scored.withColumn("leader_seen", F.when(enough, F.col("best.order"))).drop("best")
 
 
@@ -224,18 +318,18 @@ def mine(
     base = 0
     matched = None
     if known is not None:
-        hits = stage(nearest_leader(leaves, stage(pack_known(known), "known"), config), "matched")
+        hits = stage(nearest_leader(leaves, stage(known_leaders(known), "known"), config), "matched")
         taken = hits.filter("leader_seen is not null").withColumn("event_no", F.col("leader_seen").cast("bigint"))
         matched = taken.select("signature", "event_no")
         known = refresh_texts(known, taken.select("event_no", "seen_at", "tokens"))
         leaves = hits.filter("leader_seen is null").drop("leader_seen")
         base = known.agg(F.coalesce(F.max("event_no"), F.lit(0))).first()[0]
-    packs = find_leaders(leaves, config)
-    grouped = stage(nearest_leader(leaves, packs, config), "grouped")
+    leaders = find_leaders(leaves, config)
+    grouped = stage(nearest_leader(leaves, leaders, config), "grouped")
     texts = number_rows(stage(template_texts(grouped, "leader_seen"), "texts"), "seen_at", "event_no")
     texts = texts.withColumn("event_no", F.col("event_no") + base)
     texts = texts.select("leader_seen", "event_no", "EventTemplate", "seen_at")
-    leader = packs.select(*LEAF, F.inline("leaders").alias("leader_seen", "leader_signature", "leader"))
+    leader = leaders.select(*LEAF, F.col("seen_at").alias("leader_seen"), F.col("tokens").alias("leader"))
     event = event_name(F.col("event_no")).alias("EventId")
     dictionary = texts.join(leader, "leader_seen").select(
         "event_no", event, "EventTemplate", *LEAF, "leader", F.col("seen_at").cast(ORDER).alias("seen_at")

@@ -206,3 +206,48 @@ def test_without_masks_digit_tokens_are_wildcards(spark):
     values = [f"Receiving block blk_{i} src: /10.0.0.{i}:50010" for i in range(20)]
     result = structure(_lines(spark, values), BLOCK_LOG, MiningConfig(), masks=())
     assert [r.EventTemplate for r in result.templates.collect()] == ["Receiving block <*> src: <*>"]
+
+
+def _free_text(count, seed=3):
+    """Lines of one leaf that hardly repeat: words by a steep distribution."""
+    rng = random.Random(seed)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    weights = [1 / (i + 1) for i in range(300)]
+    return list(dict.fromkeys(" ".join(["start", *rng.choices(words, weights, k=11)]) for _ in range(count)))
+
+
+def test_index_rounds_do_not_grow_with_leaders(spark, monkeypatch):
+    from logloom.operators import templates as T
+
+    labels, real = [], T.stage
+    monkeypatch.setattr(T, "stage", lambda df, label, *a: labels.append((label, real(df, label, *a))) or labels[-1][1])
+    config, rounds, work = MiningConfig(sim_th=0.6, batch=8), [], []
+    for count in (150, 1500):
+        labels.clear()
+        signatures = _free_text(count)
+        mined = _mined(spark, signatures, config)
+        rounds.append(sum(label == "open" for label, _ in labels))
+        # Candidates that were compared: pairs under the items of all signatures and leaders.
+        items = next(df for label, df in labels if label == "own-items").select(F.explode("items").alias("item"))
+        led = next(df for label, df in labels if label == "leader-items").select(F.explode("items").alias("item"))
+        work.append(items.join(led, "item").count())
+        if count == 150:
+            assert mined == model(signatures, config)
+    # Ten times the leaders, and the rounds stay; the comparisons grow less than the square would.
+    assert len({n for n, _ in mined.values()}) > 1000
+    assert rounds[1] <= rounds[0] + 2
+    assert work[1] < 100 * work[0] and work[1] < 0.1 * 1500**2
+
+
+def test_index_holds_every_similar_pair(spark):
+    from logloom.operators.templates import _indexed, assign_leaves
+
+    for sim_th in (0.0, 0.3, 0.4, 0.75, 1.0):
+        config = MiningConfig(sim_th=sim_th, max_children=3)
+        signatures = _random_signatures(17, count=200, words=9)
+        rows = _indexed(assign_leaves(_table(spark, signatures), config), config).collect()
+        found = [(r.n_tokens, tuple(r.heads), r["tokens"], set(r["items"])) for r in rows]
+        for i, a in enumerate(found):
+            for b in found[:i]:
+                if a[:2] == b[:2] and _similarity(a[2], b[2]) >= sim_th and a[2] != b[2]:
+                    assert a[3] & b[3]
