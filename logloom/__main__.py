@@ -12,14 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from logloom.functions.formats import FORMATS, MiningConfig
 from logloom.operators import profile
 from logloom.operators.counts import (
+    cell_matrix,
     entity_event_counts,
     entity_totals,
     events_of,
     matrix_columns,
     matrix_density,
+    pivot_limit,
     total_summary,
 )
-from logloom.operators.labels import anomaly_instances, label_by_precedence, label_sources
+from logloom.operators.labels import anomaly_instances, join_labels, label_by_precedence, label_sources
 from logloom.operators.models import ModelConfig
 from logloom.plans.ingest import ingest, templates
 from logloom.plans.train import features_of, train
@@ -27,7 +29,7 @@ from logloom.plans.vectorize import block_matrix
 from logloom.session import drop_staged
 from logloom.sources.ledger import clear
 from logloom.sources.labels import read_label_csv, read_label_ids
-from logloom.sources.tables import export_matrix_csv, read_events, read_or_none, write_table
+from logloom.sources.tables import export_cells_csv, export_matrix_csv, read_events, read_or_none, write_table
 
 
 def _pairs(text: str) -> tuple[str, str]:
@@ -96,10 +98,16 @@ def main(argv: list[str] | None = None) -> None:
             write_table(labels, f"{out}/labels")
             labels = spark.read.parquet(f"{out}/labels")
         columns = matrix_columns(spark.read.parquet(f"{out}/templates"))
-        matrix = block_matrix(spark.read.parquet(f"{out}/counts"), columns, labels)
+        counts = spark.read.parquet(f"{out}/counts")
+        # A table has a column per event up to a limit, and one array of all cells beyond it.
+        narrow = len(columns) <= pivot_limit(spark)
+        matrix = block_matrix(counts, columns, labels) if narrow else join_labels(cell_matrix(counts, columns), labels)
         write_table(matrix, f"{out}/matrix")
-        if args.csv:
-            export_matrix_csv(spark.read.parquet(f"{out}/matrix"), f"{out}/matrix_csv")
+        matrix = spark.read.parquet(f"{out}/matrix")
+        if args.csv and narrow:
+            export_matrix_csv(matrix, f"{out}/matrix_csv")
+        elif args.csv:
+            export_cells_csv(matrix, columns, f"{out}/matrix_csv")
     elif args.step == "profile":
         counts = spark.read.parquet(f"{out}/counts")
         events = events_of(spark.read.parquet(f"{out}/templates")).select("event_id")

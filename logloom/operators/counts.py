@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.functions.text import event_number
+from logloom.session import broadcast_if_small
 
 
 def entity_event_counts(events: DataFrame, entity_col: str) -> DataFrame:
@@ -32,16 +33,44 @@ def event_columns(columns: list[str]) -> list[str]:
 
 
 def matrix_columns(templates: DataFrame) -> list[str]:
-    """Event ids of a template table as matrix columns.
+    """Event ids of a template table as matrix columns: the header of a matrix, one name per event."""
+    return event_columns([row[0] for row in templates.select("EventId").collect()])
 
-    Only meant for a wide matrix, which cannot have more columns than the pivot limit; above
-    it this fails, and the long form holds the same data.
+
+def pivot_limit(spark: SparkSession) -> int:
+    """So many events become columns of a table; beyond that a matrix has one array of cells per entity."""
+    return int(spark.conf.get("spark.sql.pivotMaxValues"))
+
+
+def entity_cells(counts: DataFrame, columns: list[str]) -> DataFrame:
+    """(entity_id, cells): the counts of an entity as (slot, n) by slot, its place among ``columns``.
+
+    Events outside ``columns`` are left out, their entities stay. A list is as long as the distinct events of the entity.
     """
-    limit = int(templates.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    ids = [row[0] for row in templates.select("EventId").limit(limit + 1).collect()]
-    if len(ids) > limit:
-        raise ValueError(f"more than {limit} events: use the long form")
-    return event_columns(ids)
+    places = [(name, slot) for slot, name in enumerate(columns)]
+    slots = counts.sparkSession.createDataFrame(places, "event_id string, slot int")
+    cell = F.when(F.col("slot").isNotNull(), F.struct("slot", F.col("n").cast("bigint").alias("n")))
+    placed = counts.join(broadcast_if_small(slots), "event_id", "left")
+    return placed.groupBy("entity_id").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+
+
+def dense(cells: Column, width: int) -> Column:
+    """All ``width`` counts of an entity, zeros included: every cell behind the zeros before it."""
+
+    def run(cell: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(-1)).otherwise(F.get(cells, i - 1)["slot"])
+        return F.concat(F.array_repeat(F.lit(0).cast("bigint"), cell["slot"] - before - 1), F.array(cell["n"]))
+
+    last = F.coalesce(F.get(cells, F.size(cells) - 1)["slot"], F.lit(-1))
+    tail = F.array_repeat(F.lit(0).cast("bigint"), F.lit(width - 1) - last)
+    return F.concat(F.flatten(F.transform(cells, run)), tail)
+
+
+def cell_matrix(counts: DataFrame, columns: list[str]) -> DataFrame:
+    """The occurrence matrix at any width: entity_id, cells (one zero-filled array), total_events."""
+    found = entity_cells(counts, columns)
+    total = F.aggregate("cells", F.lit(0).cast("bigint"), lambda sum_, cell: sum_ + cell["n"])
+    return found.select("entity_id", dense(F.col("cells"), len(columns)).alias("cells"), total.alias("total_events"))
 
 
 def occurrence_matrix(counts: DataFrame, columns: list[str]) -> DataFrame:

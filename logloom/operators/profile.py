@@ -243,35 +243,87 @@ def event_products(counts: DataFrame, block_rows: int = 2048, tile: int = 512) -
     return sums.groupBy("no_a", "no_b").agg(F.sum(whole).cast(BIG).alias("xy"))
 
 
+def _matrix_counts(counts: DataFrame, events: DataFrame | None) -> DataFrame:
+    if events is None:
+        return counts
+    return counts.join(broadcast_if_small(events.select("event_id").distinct()), "event_id", "left_semi")
+
+
+_MOMENTS = ("event_id", "event_no", "entities", "total", "spread")
+
+
+def _spreads(counts: DataFrame, events: DataFrame | None) -> DataFrame:
+    """``_MOMENTS`` per matrix column, staged."""
+    moments = event_moments(counts, events)
+    spread = _spread(F.col("total"), F.col("squares"), F.col("entities"))
+    return stage(moments.select("event_id", "event_no", "entities", "total", spread.alias("spread")), "moments")
+
+
+def _sided(moments: DataFrame, side: str) -> DataFrame:
+    return moments.select([F.col(c).alias(f"{c}_{side}") for c in moments.columns])
+
+
+def _with_r(pairs: DataFrame) -> DataFrame:
+    """Pearson's r of pairs (columns of ``_sided`` for a and b, xy)."""
+    joint = (F.col("entities_a").cast("decimal(18,0)") * F.coalesce("xy", F.lit(0).cast(BIG))).cast(BIG)
+    shared = (joint - (F.col("total_a") * F.col("total_b")).cast(BIG)).cast("double")
+    r = F.try_divide(shared, F.sqrt("spread_a") * F.sqrt("spread_b"))
+    return pairs.select(
+        F.col("event_id_a").alias("event_a"), F.col("event_id_b").alias("event_b"), "event_no_a", "event_no_b", r.alias("r")
+    )
+
+
 def event_correlation(counts: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """Pearson correlation of every two events a < b over all entities, zeros included.
 
     NULL when one of them is constant. The rows are the upper triangle of the matrix, which
     each event spans by listing the places after its own.
     """
-    if events is not None:
-        counts_used = counts.join(broadcast_if_small(events.select("event_id").distinct()), "event_id", "left_semi")
-    else:
-        counts_used = counts
-    moments = stage(event_moments(counts, events), "moments")
-    spread = _spread(F.col("total"), F.col("squares"), F.col("entities"))
-    place = F.row_number().over(W.orderBy("event_no"))
+    moments = _spreads(counts, events)
     # One row per matrix column.
-    one = moments.select("event_id", "event_no", "entities", "total", spread.alias("spread"), place.alias("place"))
+    one = moments.withColumn("place", F.row_number().over(W.orderBy("event_no")))
     size = moments.agg(F.count("*")).scalar().cast("int")
-    left = one.filter(F.col("place") < size).select(
-        *[F.col(c).alias(f"{c}_a") for c in ("event_id", "event_no", "entities", "total", "spread")],
-        F.explode(F.sequence(F.col("place") + 1, size)).alias("place"),
+    left = _sided(one, "a").filter(F.col("place_a") < size).withColumn("place_b", F.explode(F.sequence(F.col("place_a") + 1, size)))
+    products = event_products(_matrix_counts(counts, events)).select(
+        F.col("no_a").alias("event_no_a"), F.col("no_b").alias("event_no_b"), "xy"
     )
-    right = one.select("place", *[F.col(c).alias(f"{c}_b") for c in ("event_id", "event_no", "total", "spread")])
-    products = event_products(counts_used).select(F.col("no_a").alias("event_no_a"), F.col("no_b").alias("event_no_b"), "xy")
-    pairs = left.join(right, "place").join(products, ["event_no_a", "event_no_b"], "left")
-    joint = (F.col("entities_a").cast("decimal(18,0)") * F.coalesce("xy", F.lit(0).cast(BIG))).cast(BIG)
-    shared = (joint - (F.col("total_a") * F.col("total_b")).cast(BIG)).cast("double")
-    r = F.try_divide(shared, F.sqrt("spread_a") * F.sqrt("spread_b"))
-    return pairs.select(
-        F.col("event_id_a").alias("event_a"), F.col("event_id_b").alias("event_b"), "event_no_a", "event_no_b", r.alias("r")
+    return _with_r(left.join(_sided(one, "b"), "place_b").join(products, ["event_no_a", "event_no_b"], "left"))
+
+
+def strong_correlations(counts: DataFrame, limit: float, events: DataFrame | None = None) -> DataFrame:
+    """The rows of ``event_correlation`` with ``abs(r) > limit`` (0 < limit), without spanning the matrix.
+
+    Events that meet in some entity come from their products. Two events that never meet have
+    r = -sqrt(f_a f_b) with f = total^2 / spread, which is strong only if one of them has f > limit; such an event
+    stands in a good part of all entities (about half for 0.95), so there are no more of them than an entity has distinct events by a small factor.
+    """
+    moments = _spreads(counts, events).withColumn("f", F.try_divide(F.col("total").cast("double") ** 2, F.col("spread")))
+    products = stage(event_products(_matrix_counts(counts, events)), "products").select(
+        F.col("no_a").alias("event_no_a"), F.col("no_b").alias("event_no_b"), "xy"
+    )
+    met = products.join(_sided(moments, "a"), "event_no_a").join(_sided(moments, "b"), "event_no_b")
+    slack = 1 - 1e-9
+    row = F.struct(*_MOMENTS, "f")
+    often = moments.filter(F.col("f") > limit * slack).agg(F.collect_list(row)).scalar()
+    # Of two frequent events the later one lists the earlier; any other event lists all frequent ones.
+    wanted = F.filter(
+        "often",
+        lambda x: (x["event_no"] != F.col("event_no"))
+        & (x["f"] * F.col("f") > limit * limit * slack)
+        & ((F.col("f") <= limit * slack) | (x["event_no"] < F.col("event_no"))),
     )
+    listed = moments.filter(F.col("f").isNotNull()).withColumn("often", often).withColumn("other", F.explode(wanted))
+    listed = listed.select(row.alias("own"), "other")
+    first = F.col("own.event_no") < F.col("other.event_no")
+    sides = [
+        F.when(first, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}")).alias(f"{c}_{side}")
+        for x, y, side in (("own", "other", "a"), ("other", "own", "b"))
+        for c in _MOMENTS
+    ]
+    apart = listed.select(*sides).join(products.drop("xy"), ["event_no_a", "event_no_b"], "left_anti")
+    apart = apart.withColumn("xy", F.lit(None).cast(BIG))
+    columns = [f"{c}_{side}" for side in "ab" for c in _MOMENTS] + ["xy"]
+    return _with_r(met.select(*columns).unionByName(apart.select(*columns))).filter(F.abs("r") > limit)
 
 
 def correlated_pairs(correlation: DataFrame, low: float = 0.9, symmetric: bool = False) -> DataFrame:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from logloom.operators.counts import event_columns
-from logloom.operators.profile import event_correlation, event_variance
+from logloom.operators.counts import entity_cells, event_columns
+from logloom.operators.labels import binary_target, join_labels
+from logloom.operators.profile import event_variance, strong_correlations
+from logloom.session import stage_at
 
 
 def select_by_variance(counts: DataFrame, threshold: float = 0.01, events: DataFrame | None = None) -> DataFrame:
@@ -26,7 +30,7 @@ def correlated_events(correlation: DataFrame, limit: float = 0.95) -> DataFrame:
 
 def select_by_correlation(counts: DataFrame, events: DataFrame, limit: float = 0.95) -> DataFrame:
     """Events (event_id, event_no) of ``events`` that stay."""
-    drop = correlated_events(event_correlation(counts, events), limit)
+    drop = correlated_events(strong_correlations(counts, limit, events), limit)
     return events.join(drop, "event_id", "left_anti").select("event_id", "event_no")
 
 
@@ -46,6 +50,25 @@ def feature_table(matrix: DataFrame) -> DataFrame:
     return assembler.transform(matrix.na.fill(0, subset=columns)).select("entity_id", "features", "target")
 
 
+def sparse_feature_table(counts: DataFrame, columns: list[str], labels: DataFrame | None, positive: str) -> DataFrame:
+    """(entity_id, features, target) straight from long counts: one sparse vector per entity, no pivot.
+
+    A vector is written as the struct that it is stored as and read back as a vector, so it is never
+    built row by row; the table is staged by that.
+    """
+    labelled = binary_target(join_labels(entity_cells(counts, columns), labels), positive)
+    parts = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(len(columns)).alias("size"),
+        F.transform("cells", lambda cell: cell["slot"]).alias("indices"),
+        F.transform("cells", lambda cell: cell["n"].cast("double")).alias("values"),
+    )
+    table = labelled.select("entity_id", parts.alias("features"), "target")
+    _, path = stage_at(table, "features")
+    kinds = [T.StructField(f.name, VectorUDT() if f.name == "features" else f.dataType) for f in table.schema]
+    return table.sparkSession.read.schema(T.StructType(kinds)).parquet(path)
+
+
 def feature_summary(features: DataFrame) -> DataFrame:
     """Rows and class sizes of a feature table."""
     return features.agg(

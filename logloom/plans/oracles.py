@@ -507,6 +507,26 @@ _add(
     + ", ".join(f"E{i} AS x{i}" for i in range(1, 6))
     + " FROM labelled_matrix",
 )
+ORACLES["feature_table_sparse"] = ORACLES["feature_table"]
+_add(
+    "cell_matrix",
+    QUANTITY,
+    "SELECT entity_id, "
+    + " || ',' || ".join(f"coalesce(sum(n) FILTER (event_id = 'E{i}'), 0)::BIGINT" for i in (1, 2, 5, 9, 12, 77))
+    + " AS cells, coalesce(sum(n) FILTER (event_id IN ('E1', 'E2', 'E5', 'E9', 'E12', 'E77')), 0)::BIGINT AS total_events "
+    "FROM counts GROUP BY entity_id",
+)
+_add(
+    "strong_correlations",
+    """facts AS (
+  SELECT l_orderkey AS o, l_linenumber AS l, unnest([CASE WHEN l_quantity <= 25 THEN 21 ELSE 22 END, l_linenumber + 2]) AS no FROM lineitem),
+counts AS (SELECT o, l, no, count(*) AS n FROM facts GROUP BY ALL),
+grid AS (
+  SELECT e.o, e.l, v.no, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT o, l FROM counts) e CROSS JOIN (SELECT DISTINCT no FROM counts) v
+  LEFT JOIN counts c ON c.o = e.o AND c.l = e.l AND c.no = v.no),
+pairs AS (SELECT a.no AS i, b.no AS j, corr(a.n, b.n) AS r FROM grid a JOIN grid b ON a.o = b.o AND a.l = b.l AND a.no < b.no GROUP BY ALL)""",
+    "SELECT 'E' || i AS event_a, 'E' || j AS event_b, round(r, 6) AS r FROM pairs WHERE abs(r) > 0.4",
+)
 _add(
     "feature_summary",
     COUNTS,

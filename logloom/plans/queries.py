@@ -494,6 +494,38 @@ def feature_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def feature_table_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    counts, columns = _counted(spark, sf)
+    table = selection.sparse_feature_table(counts, columns, _labels(spark, sf), "Anomaly")
+    slots = vector_to_array("features")
+    return table.select(
+        "entity_id", "target", *[slots[i].cast("bigint").alias(f"x{i + 1}") for i in range(len(columns))]
+    )
+
+
+@query
+def cell_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """The matrix as one array of cells per entity, as text."""
+    matrix = C.cell_matrix(_quantity(spark, sf), [f"E{i}" for i in (1, 2, 5, 9, 12, 77)])
+    return matrix.withColumn("cells", F.array_join("cells", ","))
+
+
+@query
+def strong_correlations(spark: SparkSession, sf: str) -> DataFrame:
+    """Also pairs that never meet: a part's lines fall into halves by quantity."""
+    halves = F.when(F.col("l_quantity") <= 25, "E21").otherwise("E22")
+    facts = samples.table(spark, sf, "lineitem").select(
+        F.concat(F.lit("o"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("entity_id"),
+        F.explode(F.array(halves, F.concat(F.lit("E"), (F.col("l_linenumber") + 2).cast("string")))).alias("event_id"),
+    )
+    counts = stage(facts.groupBy("entity_id", "event_id").agg(F.count("*").alias("n")), "counts")
+    found = profile.strong_correlations(counts, 0.4)
+    return _rounded(found.select("event_a", "event_b", "r"), "r")
+
+
 @query
 def feature_summary(spark: SparkSession, sf: str) -> DataFrame:
     return selection.feature_summary(L.binary_target(_labelled(spark, sf), "Anomaly"))
@@ -555,8 +587,7 @@ def _document_features(spark: SparkSession, sf: str) -> tuple[DataFrame, list[st
         F.when(F.col("quality") == 0, "Anomaly").otherwise("Normal").alias("label"),
     )
     labelled = counts.join(labels.select("entity_id"), "entity_id", "left_semi")
-    features, columns = features_of(labelled, labels)
-    return stage(features, "features"), columns
+    return features_of(labelled, labels)
 
 
 def _cross_validated(spark: SparkSession, sf: str, names: tuple[str, ...]) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.operators.counts import matrix_columns, occurrence_matrix, unpivot_matrix
+from logloom.operators.counts import matrix_columns, unpivot_matrix
 from logloom.operators.folds import stratified_folds
-from logloom.operators.labels import binary_target, join_labels, require_both_classes
+from logloom.operators.labels import require_both_classes
 from logloom.operators.metrics import best_model, cv_results, cv_summary
 from logloom.operators.models import MODELS, ModelConfig, cross_validate, feature_importance, fit_final
-from logloom.operators.selection import feature_table, select_features
+from logloom.operators.selection import select_features, sparse_feature_table
 from logloom.session import stage
 
 
@@ -22,14 +22,17 @@ def features_of(
     correlation: float | None = 0.95,
     events: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """Feature table (entity_id, features, target) and the events behind the vector slots."""
+    """Feature table (entity_id, features, target) and the events behind the vector slots.
+
+    ``counts`` has one row per entity and event. The table is staged; its vectors are sparse, so the number of events is
+    not limited by that of columns.
+    """
     if variance is None and correlation is None and events is not None:
         kept = events
     else:
         kept = select_features(counts, variance, correlation, events)
     columns = matrix_columns(kept.select(F.col("event_id").alias("EventId")))
-    matrix = join_labels(occurrence_matrix(counts, columns), labels)
-    return feature_table(binary_target(matrix, positive)), columns
+    return sparse_feature_table(counts, columns, labels, positive), columns
 
 
 def train(
@@ -41,7 +44,6 @@ def train(
     config: ModelConfig = ModelConfig(),
 ) -> DataFrame:
     """Write features, held-out scores, per-fold results, summary, model and importances."""
-    features = stage(features, "features")
     require_both_classes(features)
     features.write.mode("overwrite").parquet(f"{out}/features")
     scores = cross_validate(stratified_folds(features, folds, config.seed), MODELS, config)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,3 +43,20 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
 def export_matrix_csv(matrix: DataFrame, path: str) -> None:
     """Wide matrix as headed CSV parts, sorted by entity within and across parts."""
     matrix.orderBy(matrix.columns[0]).write.mode("overwrite").csv(path, header=True)
+
+
+def _headed(batches: Iterator[pa.RecordBatch], header: str) -> Iterator[pa.RecordBatch]:
+    yield pa.RecordBatch.from_arrays([pa.array([header])], ["value"])
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(batch.columns, ["value"])
+
+
+def export_cells_csv(matrix: DataFrame, columns: list[str], path: str) -> None:
+    """The CSV of ``export_matrix_csv`` from a matrix of any width, whose counts are one array ``cells``.
+
+    Lines are put together as text, so no plan has a column per event; the header stands on top of every part.
+    """
+    names = [c for x in matrix.columns for c in (columns if x == "cells" else [x])]
+    values = [F.array_join("cells", ",") if x == "cells" else F.to_csv(F.struct(x)) for x in matrix.columns]
+    ordered = matrix.orderBy(matrix.columns[0]).select(F.concat_ws(",", *values).alias("value"))
+    ordered.mapInArrow(partial(_headed, header=",".join(names)), "value string").write.mode("overwrite").text(path)

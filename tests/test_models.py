@@ -89,3 +89,41 @@ def test_counts_of_a_wide_matrix(spark):
 def test_document_model_queries(spark, sf_dir):
     scores = QUERIES["cv_logistic"](spark, sf_dir).collect()
     assert len(scores) == 10 and all(0 <= r.precision <= 1 and 0 <= r.recall <= 1 for r in scores)
+
+
+def test_sparse_features_equal_the_wide_ones(spark, data):
+    from pyspark.ml.linalg import SparseVector
+
+    from logloom.operators.counts import occurrence_matrix
+    from logloom.operators.labels import binary_target, join_labels
+    from logloom.operators.selection import feature_table, sparse_feature_table
+
+    counts, labels = data
+    columns = ["E1", "E2", "E3", "E9"]
+    wide = feature_table(binary_target(join_labels(occurrence_matrix(counts, columns), labels), "Anomaly"))
+    sparse = sparse_feature_table(counts, columns, labels, "Anomaly").collect()
+    assert all(isinstance(r.features, SparseVector) and r.features.size == 4 for r in sparse)
+    assert sorted((r.entity_id, tuple(r.features.toArray()), r.target) for r in sparse) == sorted(
+        (r.entity_id, tuple(r.features.toArray()), r.target) for r in wide.collect()
+    )
+
+
+def test_train_with_20000_events(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows, labels = [], []
+    for i in range(120):
+        bad = i % 3 == 0
+        events = {int(k): 1 for k in rng.integers(1, 20001, 30)} | {7: 9 if bad else 1, 20000: 2}
+        rows += [(f"e{i}", f"E{k}", n) for k, n in events.items()]
+        labels.append((f"e{i}", "Anomaly" if bad else "Normal"))
+    counts = stage(spark.createDataFrame(rows, "entity_id string, event_id string, n bigint"), "test-counts")
+    labels = spark.createDataFrame(labels, "entity_id string, label string")
+    events = spark.createDataFrame([(f"E{i}",) for i in range(1, 20001)], "event_id string")
+    features, columns = features_of(counts, labels, variance=None, correlation=None, events=events)
+    assert len(columns) == 20000 and features.first().features.size == 20000
+    config = models.ModelConfig(trees=2, max_depth=3, max_iter=20)
+    summary = train(spark, features, columns, str(tmp_path / "model"), folds=2, config=config)
+    assert {r.model: r.mean_auc > 0.8 for r in summary.collect()}[models.LOGISTIC]
+    # Selection at this width looks at events that meet, not at all pairs.
+    chosen, names = features_of(counts, labels, variance=1e-9, correlation=0.95)
+    assert "E7" in names and "E20000" not in names and chosen.count() == 120

@@ -153,3 +153,54 @@ def test_median_and_ratio_edges(spark):
     one = spark.createDataFrame([("a", "Normal")], "entity_id string, label string")
     assert P.class_ratio(one).first().ratio is None
     assert P.majority_ratio(one).first().ratio is None
+
+
+def test_strong_correlations_are_those_of_the_matrix(spark):
+    rng = np.random.default_rng(9)
+    base = rng.poisson(3, (200, 6))
+    # Complements that never meet, copies, a constant, a rare and an absent event.
+    half = rng.integers(0, 2, 200)
+    matrix = np.column_stack([base, half * 5, (1 - half) * 3, base[:, 0] * 2, np.full(200, 4), np.arange(200) == 7])
+    counts = _counts(spark, matrix.astype(int).tolist())
+    events = spark.createDataFrame([(f"E{i}",) for i in range(1, 13)], "event_id string")
+    for limit in (0.3, 0.95):
+        for chosen in (None, events):
+            want = {(r.event_a, r.event_b): r.r for r in P.event_correlation(counts, chosen).collect() if r.r is not None and abs(r.r) > limit}
+            found = {(r.event_a, r.event_b): r.r for r in P.strong_correlations(counts, limit, chosen).collect()}
+            assert found == want and ("E7", "E8") in found and found["E7", "E8"] < -0.99
+
+
+def test_wide_matrix_equals_the_pivot(spark, tmp_path):
+    from logloom.sources.tables import export_cells_csv, export_matrix_csv
+
+    rng = np.random.default_rng(4)
+    counts = _counts(spark, rng.poisson(0.4, (60, 15)).tolist())
+    for columns in ([f"E{i}" for i in range(1, 16)], ["E15", "E2", "E99"], ["E77"]):
+        wide = C.with_total(C.occurrence_matrix(counts, columns))
+        cells = C.cell_matrix(counts, columns)
+        assert sorted((r.entity_id, *[r[c] for c in columns], r.total_events) for r in wide.collect()) == sorted(
+            (r.entity_id, *r.cells, r.total_events) for r in cells.collect()
+        )
+    columns = [f"E{i}" for i in range(1, 16)]
+    labels = spark.createDataFrame([("e1", 'odd, "quoted"'), ("e3", "Normal")], "entity_id string, label string")
+    tables = (C.with_total(C.occurrence_matrix(counts, columns)), C.cell_matrix(counts, columns))
+    for name, table, write in zip("ab", tables, (export_matrix_csv, lambda m, p: export_cells_csv(m, columns, p))):
+        write(table.join(labels, "entity_id", "left"), str(tmp_path / name))
+    read = [spark.read.csv(str(tmp_path / name), header=True, escape='"').collect() for name in "ab"]
+    assert read[0][0].asDict().keys() == read[1][0].asDict().keys()
+    assert sorted(map(str, read[0])) == sorted(map(str, read[1]))
+
+
+def test_matrix_of_25000_events(spark, tmp_path):
+    from logloom.sources.tables import export_cells_csv
+
+    rows = [(f"e{i}", f"E{k}", i + 1) for i in range(5) for k in range(1 + i, 25001, 5)]
+    counts = spark.createDataFrame(rows, "entity_id string, event_id string, n bigint")
+    columns = [f"E{i}" for i in range(1, 25001)]
+    export_cells_csv(C.cell_matrix(counts, columns), columns, str(tmp_path / "csv"))
+    lines = [line for part in sorted((tmp_path / "csv").glob("part-*")) for line in part.read_text().splitlines()]
+    assert lines[0].split(",") == ["entity_id", *columns, "total_events"]
+    found = {line.split(",")[0]: list(map(int, line.split(",")[1:])) for line in lines if not line.startswith("entity_id")}
+    assert sorted(found) == ["e0", "e1", "e2", "e3", "e4"]
+    for i in range(5):
+        assert found[f"e{i}"] == [(i + 1) if k % 5 == i else 0 for k in range(25000)] + [(i + 1) * 5000]
