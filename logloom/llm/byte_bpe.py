@@ -1,23 +1,26 @@
-"""Byte-level BPE in linear time: Aho-Corasick matches, neighbour checks, and stepping back.
+"""Byte-level BPE in linear time: longest matches in a trie, neighbour checks, and stepping back.
 
-Bytes map to Latin-1 characters, so one Aho-Corasick automaton over all tokens gives the tokens
-that end at every byte, the longest first. Of these, the one that may stand after the last token
-of the prefix before it is the last token of the longer prefix; from the end of the piece the ids
-are read off by stepping back along these longest fitting matches. Whether two tokens may stand
+Bytes map to Latin-1 characters, so the trie of an Aho-Corasick automaton over all tokens gives the
+longest token at a place of a piece. A piece is walked forward: the longest token that may stand behind the
+one before it is taken, then the next shorter token that is a prefix of it; where none is left, the place is dead and the
+walk steps back to the token before, which is shortened in turn. Whether two tokens may stand
 side by side is decided by undoing their merges (``may_follow``) and remembered for every pair.
-Every byte is visited once with at most as many candidates as a token has bytes, so the cost is
+A dead place is never entered again and a token has few prefixes that are tokens, so the cost is
 linear in the length of a piece, whatever its repeats, and the ids are those of the merge loop.
 
 Contract: null text counts as empty; an empty text has no ids, and the digests of the empty
-string. Repeated rows give repeated results.
+string. Repeated rows give repeated results, an empty table an empty one; columns besides ``doc_id`` and
+``text`` are ignored.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
-from functools import lru_cache, partial
+from array import array
+from collections.abc import Callable, Iterator
+from functools import partial
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -25,15 +28,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Pieces up to this many characters are remembered, and so many of them.
+from logloom.llm.memory import Memo, at_work, slices, tool
+
+# Chunks up to this many characters are remembered, in so many bytes; and so many answers about pairs.
 MEMO_CHARS = 48
-MEMO_PIECES = 400_000
+MEMO_BYTES = 48 << 20
+MEMO_PAIRS = 500_000
+# Bytes of text that are encoded together.
+STEP_BYTES = 2 << 20
 
 _OUT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
-Coded = tuple[int, str, bytes, list[int]]
-
-
 def single_spaced(text: str) -> bool:
     """Whether all white space is single spaces and line feeds between other characters."""
     words, gaps = text.split(), text.count(" ") + text.count("\n")
@@ -62,19 +67,26 @@ class BytePairs:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.find = regex.compile(pattern).findall
         self._build_pairs()
-        self.automaton = ahocorasick.Automaton()
-        for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), rank)
-        self.automaton.make_automaton()
-        self._texts = {token.decode("latin-1"): rank for token, rank in ranks.items()}
+        self.trie = ahocorasick.Automaton()
+        # Every path of the trie, and the longest token that it begins with.
+        self._paths: dict[str, int] = {}
+        texts = {token.decode("latin-1"): rank for token, rank in ranks.items()}
+        for text, rank in texts.items():
+            self.trie.add_word(text, rank)
+            longest = -1
+            for end in range(1, len(text) + 1):
+                longest = texts.get(text[:end], longest)
+                self._paths[text[:end]] = longest
+        # For every token the longest other one that it begins with, or -1.
+        self._shorter = {rank: self._paths.get(text[:-1], -1) for text, rank in texts.items()}
+        self._sizes = {rank: len(token) for token, rank in ranks.items()}
         self._widest = max(map(len, ranks), default=1)
         self._follows: dict[int, bool] = {}
-        self._memo: dict[str, tuple[int, ...]] = {}
-        self._chunks: dict[str, Coded] = {}
-        # Chunks that start with a space, without it.
-        self._words: dict[str, Coded] = {}
-        # Whether the pattern is one that takes a single space to the word behind it.
+        # Words behind a single space, without it; and other chunks and pieces.
+        self._words, self._memo = Memo(2 * MEMO_BYTES), Memo(MEMO_BYTES)
+        # Whether the pattern takes a single space to the word behind it, and letters and one mark apart.
         self._spaced = self.find("a b,c 1 'd .") == ["a", " b", ",", "c", " 1", " '", "d", " ."]
+        self._marks = {x: self._packed(x) for x in ".,;:!?)" if self.find(f" ab{x}") == [" ab", x]}
 
     def _build_pairs(self) -> None:
         """``split``: the two ids a token is merged from; ``pair``: the reverse.
@@ -140,24 +152,24 @@ class BytePairs:
         return fine
 
     def encode_piece(self, piece: bytes) -> tuple[int, ...]:
-        """The ids of one piece: the longest token that may follow, steps back where none does.
-
-        A place from which no token leads on is dead and never entered again, so every place is
-        left for good at most once.
-        """
+        """The ids of one piece: the longest token that may follow, steps back where none does."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
         text, size = piece.decode("latin-1"), len(piece)
-        longest, tokens, follows, widest = self.automaton.longest_prefix, self._texts, self._follows, self._widest
+        longest, paths, follows = self.trie.longest_prefix, self._paths, self._follows
+        sizes, shorter, widest = self._sizes, self._shorter, self._widest
+        if len(follows) >= MEMO_PAIRS:
+            follows.clear()
         dead = bytearray(size + 1)
-        path: list[tuple[int, int, int]] = []
-        at, left, length = 0, -1, longest(text[:widest])
+        path: list[int] = []
+        at, left, token = 0, -1, -2
         while True:
-            while length:
-                end = at + length
-                token = tokens.get(text[at:end])
-                if token is not None and not dead[end]:
+            if token == -2:
+                token = paths.get(text[at : at + longest(text[at : at + widest])], -1)
+            while token >= 0:
+                end = at + sizes[token]
+                if not dead[end]:
                     if left < 0:
                         break
                     fits = follows.get(left << 32 | token)
@@ -165,57 +177,88 @@ class BytePairs:
                         fits = self.may_follow(left, token)
                     if fits:
                         break
-                length -= 1
-            if length:
-                path.append((at, left, length))
+                token = shorter[token]
+            if token >= 0:
+                path.append(token)
                 if end == size:
-                    return (*[x[1] for x in path[1:]], token)
-                at, left, length = end, token, longest(text[end : end + widest])
+                    return tuple(path)
+                at, left, token = end, token, -2
             elif path:
                 dead[at] = 1
-                at, left, length = path.pop()
-                length -= 1
+                last = path.pop()
+                at -= sizes[last]
+                left, token = path[-1] if path else -1, shorter[last]
             else:
                 raise ValueError("a byte is missing in the vocabulary")
 
-    def ids_of(self, piece: str) -> tuple[int, ...]:
-        ids = self._memo.get(piece)
+    def _packed(self, piece: str) -> bytes:
+        return array("i", self.encode_piece(piece.encode())).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self._words.young.get(piece[1:]) if piece[0] == " " and self._spaced else self._memo.young.get(piece)
         if ids is None:
-            ids = self.encode_piece(piece.encode())
-            if len(piece) <= MEMO_CHARS:
-                if len(self._memo) >= MEMO_PIECES:
-                    self._memo.clear()
-                if len(self._follows) >= 4 * MEMO_PIECES:
-                    self._follows.clear()
-                self._memo[piece] = ids
+            ids = self._packed(piece)
+            if piece[0] != " " and len(piece) <= MEMO_CHARS:
+                self._memo.put(piece, ids, len(ids))
         return ids
 
-    def _code(self, chunk: str, known: dict[str, Coded], spaced: str = "") -> Coded:
-        ids = [x for piece in self.find(spaced + chunk) for x in self.ids_of(piece)]
-        coded = (len(ids), ",".join(map(str, ids)), self.decode(ids), ids)
-        if len(chunk) <= MEMO_CHARS:
-            if len(known) >= MEMO_PIECES:
-                known.clear()
-            known[chunk] = coded
-        return coded
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self._piece, self.find(chunk)))
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word behind a space; one of letters, with a mark behind it or not, needs no pattern."""
+        if word.isalpha():
+            return self._packed(" " + word)
+        mark = self._marks.get(word[-1])
+        if mark and word[:-1].isalpha():
+            return (self._words.young.get(word[:-1]) or self._packed(" " + word[:-1])) + mark
+        return self._chunk(" " + word)
+
+    @staticmethod
+    def _learn(memo: Memo, names: set[str], code: Callable[[str], bytes]) -> list[str]:
+        # Shorter ones first: a word is there when the same word with a mark comes.
+        missing = sorted(memo.missing(names), key=len)
+        young = memo.young
+        for name in missing:
+            if name not in young:
+                ids = code(name)
+                memo.put(name, ids, len(ids))
+        return missing
+
+    @staticmethod
+    def _settle(memo: Memo, learned: list[str]) -> None:
+        """Long names do not come again; they are the last ones."""
+        for name in reversed(learned):
+            if len(name) <= MEMO_CHARS:
+                break
+            memo.drop(name, len(memo.young[name]))
+        memo.settle()
 
-    def coded(self, text: str) -> list[Coded]:
-        """The text in chunks: (number of ids, ids joined by commas, decoded bytes, ids).
+    def encode_many(self, texts: list[str]) -> list[list[int]]:
+        """The ids of every text.
 
         A text is cut before single spaces between two other characters that are no white space,
         where a match of the pattern always ends, so a chunk is coded by itself and remembered.
         """
-        if not self._spaced:
-            return [self._code(text, self._chunks)] if text else []
-        known = self._chunks
-        if single_spaced(text):
-            words = self._words
-            first, *rest = text.split(" ")
-            return [known.get(first) or self._code(first, known), *[words.get(x) or self._code(x, words, " ") for x in rest]]
-        return [known.get(x) or self._code(x, known) for x in cut(text)]
+        split: list[tuple[list[str], list[str]]] = []
+        for text in texts:
+            if self._spaced and single_spaced(text):
+                first, *rest = text.split(" ")
+                split.append(([first], rest))
+            else:
+                split.append((cut(text) if self._spaced else [text] if text else [], []))
+        words, chunks = set().union(*[x[1] for x in split]), set().union(*[x[0] for x in split])
+        new_words, new_chunks = self._learn(self._words, words, self._word), self._learn(self._memo, chunks, self._chunk)
+        # Small tables of what these texts hold stay in the cache of the processor.
+        of_word = dict(zip(words, map(self._words.young.__getitem__, words))).__getitem__
+        of_chunk = dict(zip(chunks, map(self._memo.young.__getitem__, chunks))).__getitem__
+        found = [array("i", b"".join(chain(map(of_chunk, x[0]), map(of_word, x[1])))).tolist() for x in split]
+        self._settle(self._words, new_words)
+        self._settle(self._memo, new_chunks)
+        return found
 
     def encode(self, text: str) -> list[int]:
-        return [x for coded in self.coded(text) for x in coded[3]]
+        return self.encode_many([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -227,32 +270,35 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
-@lru_cache(maxsize=2)
+def _vocabulary(path: str, pattern: str) -> BytePairs:
+    return BytePairs(read_ranks(path), pattern)
+
+
 def vocabulary(path: str, pattern: str) -> BytePairs:
     """One vocabulary per Python worker."""
-    return BytePairs(read_ranks(path), pattern)
+    return tool(_vocabulary, path, pattern)
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    pairs = vocabulary(path, pattern)
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([pairs.encode(x or "") for x in batch.column("text").to_pylist()], pa.list_(pa.int32()))],
-            ["doc_id", "ids"],
-        )
+    with at_work(_vocabulary, path, pattern) as pairs:
+        for whole in batches:
+            for batch in slices(whole, "text", STEP_BYTES):
+                ids = pairs.encode_many([x or "" for x in batch.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
 
 def _digests(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    pairs = vocabulary(path, pattern)
-    for batch in batches:
-        rows = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            sizes, joined, decoded, _ = zip(*pairs.coded(text)) if text else ((), (), (), ())
-            ids = ",".join(joined).encode()
-            rows.append((doc_id, sum(sizes), hashlib.sha256(ids).hexdigest(), hashlib.sha256(b"".join(decoded)).hexdigest()))
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
-        columns = zip(*rows) if rows else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    with at_work(_vocabulary, path, pattern) as pairs:
+        names = [str(rank) for rank in range(max(pairs.tokens, default=-1) + 1)]
+        for whole in batches:
+            for batch in slices(whole, "text", STEP_BYTES):
+                sizes, ids_digests, text_digests = [], [], []
+                for ids in pairs.encode_many([x or "" for x in batch.column("text").to_pylist()]):
+                    sizes.append(len(ids))
+                    ids_digests.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
+                    text_digests.append(hashlib.sha256(pairs.decode(ids)).hexdigest())
+                columns = pa.array(sizes, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
 def _rows(docs: DataFrame) -> DataFrame:

@@ -29,12 +29,12 @@ from collections.abc import Iterator
 from functools import partial
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logloom.llm.memory import slices
 from logloom.session import stage
 
 WINDOW = 10
@@ -42,8 +42,6 @@ BLOCK = 2
 # Bytes of item text that one part aims at, and words of a segment that long items are cut into.
 PART_BYTES = 1 << 20
 SEGMENT_WORDS = 1024
-# Documents whose words a worker holds at a time, by bytes of text; a longer text is held alone.
-SLICE_BYTES = 4 << 20
 
 _KEEP = b"0123456789abcdefghijklmnopqrstuvwxyz"
 _TABLE = bytes(c if c >= 0x80 or c in _KEEP else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
@@ -164,19 +162,6 @@ def _cut_items(batches: Iterator[pa.RecordBatch], window: int, most: int) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], ["item_id", "words"])
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows that hold about ``most`` bytes of ``column`` at most."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
-    start = held = 0
-    for row, size in enumerate(sizes):
-        if held and held + size > most:
-            yield batch.slice(start, row - start)
-            start, held = row, 0
-        held += size
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def _scan(batches: Iterator[pa.RecordBatch], segments: Broadcast, window: int, all_rows: bool) -> Iterator[pa.RecordBatch]:
     patterns = Patterns(segments.value, window)
     kinds = (pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()))
