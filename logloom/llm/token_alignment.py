@@ -13,7 +13,7 @@ shuffle.
 Text is cut before single spaces between two other characters that are no white space. A
 byte-level pre-tokenizer cuts there, and so does a piece vocabulary none of whose pieces has a space after
 another character (checked when it is read; else texts are encoded whole). Both tokenizers thus end a token there, so a chunk is
-aligned by itself and remembered.
+aligned by itself and remembered. The same holds between a word of letters and a mark behind it that no piece joins to a letter.
 
 Contract: side A encodes space + text, side B encodes text and adds the space itself; special
 tokens inside texts are plain text. Texts that are null or empty, or whose joined token bytes differ
@@ -39,21 +39,21 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from logloom.llm.byte_bpe import cut
-from logloom.llm.decontaminate import slices
+from logloom.llm.memory import Memo, at_work, slices
 from logloom.session import broadcast_if_small, stage
 
 # Bytes of remembered chunks (two generations of half that) and of the longest one.
-MEMO_BYTES = 96 << 20
+MEMO_BYTES = 160 << 20
 MEMO_CHARS = 48
 # Id pairs whose counts are sent to every task, at most.
 HOT_PAIRS = 1_000_000
 # Bytes of text whose chunks are encoded together.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 2 << 20
 
 _ALIGNED = "digest string, copies bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, pairs array<bigint>, times array<int>"
 
-# Number of A and B tokens, groups as text, links as A id << 32 | B id in bytes.
-Chunk = tuple[int, int, str, bytes]
+# Groups as text, links as A id << 32 | B id in bytes, and the numbers of A and B tokens, A << 32 | B, in bytes.
+Chunk = tuple[str, bytes, bytes]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -68,31 +68,8 @@ def piece_bytes(piece: str, is_byte: bool) -> bytes:
     return bytes([int(piece[3:5], 16)]) if is_byte else piece.replace("▁", " ").encode()
 
 
-class Memo:
-    """Chunks in two generations: what has not been used since the last turn goes."""
-
-    # Bytes of Python objects that an entry needs besides its text.
-    ENTRY = 400
-
-    def __init__(self, most: int):
-        self.most, self.used = most // 2, 0
-        self.young: dict[str, Chunk | None] = {}
-        self.old: dict[str, Chunk | None] = {}
-
-    def missing(self, names: set[str]) -> list[str]:
-        """Those that are not known; the others are young afterwards."""
-        for name in names.intersection(self.old).difference(self.young):
-            self.put(name, self.old[name], False)
-        return list(names.difference(self.young))
-
-    def put(self, name: str, chunk: Chunk | None, turn: bool = True) -> None:
-        self.young[name] = chunk
-        self.used += self.ENTRY + 2 * len(name) + (len(chunk[2]) + len(chunk[3]) if chunk else 0)
-        if turn and self.used > self.most:
-            self.turn()
-
-    def turn(self) -> None:
-        self.old, self.young, self.used = self.young, {}, 0
+def _added(one: bytes, other: bytes) -> bytes:
+    return (int.from_bytes(one, "little") + int.from_bytes(other, "little")).to_bytes(8, "little")
 
 
 class Aligner:
@@ -112,25 +89,37 @@ class Aligner:
         b_bytes = [piece_bytes(p, self.b.is_byte(i)) for i, p in enumerate(pieces)]
         self.a_bytes, self.b_bytes = a_bytes, b_bytes
         self.a_sizes, self.b_sizes = ([len(x) for x in t] for t in (a_bytes, b_bytes))
+        self.a_names, self.b_names = ([str(i) for i in range(len(t))] for t in (a_bytes, b_bytes))
         self.by_chunk = not any("▁" in p.lstrip("▁") for p in pieces)
         self.memo = Memo(memo_bytes)
+        cut_apart = self.a.pre_tokenizer.pre_tokenize_str if self.a.pre_tokenizer else None
+        joined = {p[i + 1] for p in pieces for i in range(len(p) - 1) if p[i].isalpha()}
+        self.marks: dict[str, Chunk] = {}
+        for mark in ".,;:!?)":
+            if self.by_chunk and cut_apart and mark not in joined and len(cut_apart(" ab" + mark)) == 2:
+                a, b = self.a.encode(mark, add_special_tokens=False).ids, self.b.encode("ab" + mark)[len(self.b.encode("ab")) :]
+                if chunk := self.align(mark.encode(), a, b):
+                    self.marks[mark] = chunk
 
     def align(self, raw: bytes, a: list[int], b: list[int]) -> Chunk | None:
         """Groups and links of the two encodings of ``raw``; None where one does not give it back."""
         if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
             return None
-        a_sizes, b_sizes = self.a_sizes, self.b_sizes
+        a_sizes, b_sizes, a_names, b_names = self.a_sizes, self.b_sizes, self.a_names, self.b_names
         groups, links = [], []
         i = j = from_a = from_b = 0
         a_end, b_end = a_sizes[a[0]], b_sizes[b[0]]
         # Both sides end at the same byte, so neither runs out before the other.
         while True:
             if a_end == b_end:
-                links.append(a[i] << 32 | b[j])
+                x, y = a[i], b[j]
+                links.append(x << 32 | y)
+                left = a_names[x] if i == from_a else ",".join([a_names[k] for k in a[from_a : i + 1]])
+                right = b_names[y] if j == from_b else ",".join([b_names[k] for k in b[from_b : j + 1]])
+                groups.append(left + "|" + right)
                 i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
                 if i == len(a):
-                    return len(a), len(b), ";".join(groups), array("q", links).tobytes()
+                    return ";".join(groups), array("q", links).tobytes(), (i << 32 | j).to_bytes(8, "little")
                 from_a, from_b = i, j
                 a_end += a_sizes[a[i]]
                 b_end += b_sizes[b[j]]
@@ -147,47 +136,64 @@ class Aligner:
         b = self.b.encode([x[1:] for x in chunks], num_threads=1)
         return [self.align(chunk.encode(), x.ids, y) for chunk, x, y in zip(chunks, a, b)]
 
+    def _learn(self, names: set[str]) -> list[str]:
+        """Remember what is new among ``names``; returns it."""
+        marked, plain = [], []
+        for name in self.memo.missing(names):
+            (marked if name[-1] in self.marks and name[1:-1].isalpha() and name[0] == " " else plain).append(name)
+        plain += self.memo.missing({x[:-1] for x in marked}).difference(plain)
+        for at in range(0, len(plain), 8192):
+            part = plain[at : at + 8192]
+            for name, chunk in zip(part, self._code(part)):
+                self.memo.put(name, chunk, self._size(chunk))
+        for name in marked:
+            word, mark = self.memo.young[name[:-1]], self.marks[name[-1]]
+            chunk = word and (word[0] + ";" + mark[0], word[1] + mark[1], _added(word[2], mark[2]))
+            self.memo.put(name, chunk, self._size(chunk))
+        return plain + marked
+
+    @staticmethod
+    def _size(chunk: Chunk | None) -> int:
+        return 200 + len(chunk[0]) + len(chunk[1]) if chunk else 0
+
     def texts(self, texts: list[str]) -> list[list[Chunk] | None]:
         """The aligned chunks of every text, none of which is empty; None where a side does not give the text back."""
         split = [cut(" " + x) if self.by_chunk else [" " + x] for x in texts]
-        names = self.memo.missing(set().union(*map(set, split)))
-        known = self.memo.young
+        names = set().union(*split)
+        learned = self._learn(names)
+        # A small table of what these texts hold stays in the cache of the processor.
+        known = dict(zip(names, map(self.memo.young.__getitem__, names)))
+        found = [list(map(known.__getitem__, chunks)) for chunks in split]
         # Long chunks do not come again.
-        long_ones = {}
-        for at in range(0, len(names), 8192):
-            part = names[at : at + 8192]
-            for name, chunk in zip(part, self._code(part)):
-                if len(name) > MEMO_CHARS:
-                    long_ones[name] = chunk
-                else:
-                    self.memo.put(name, chunk, False)
-        found = [[long_ones[x] if len(x) > MEMO_CHARS else known[x] for x in chunks] for chunks in split]
-        if self.memo.used > self.memo.most:
-            self.memo.turn()
-        return [None if None in chunks else chunks for chunks in found]
+        for name in learned:
+            if len(name) > MEMO_CHARS:
+                self.memo.drop(name, self._size(self.memo.young[name]))
+        self.memo.settle()
+        wrong = None in known.values()
+        return [None if wrong and None in chunks else chunks for chunks in found]
 
 
 def _align(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
-    # Made per task and gone with it, memo included.
-    aligner = Aligner(a_path, b_path)
-    names = [x.split()[0] for x in _ALIGNED.split(", ")]
-    kinds = (pa.string(), *[pa.int64()] * 5, pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-    for whole in batches:
-        for batch in slices(whole, "text", STEP_BYTES):
-            texts = batch.column("text").to_pylist()
-            rows = []
-            for text, copies, chunks in zip(texts, batch.column("copies").to_pylist(), aligner.texts(texts)):
-                digest = hashlib.sha256(text.encode()).hexdigest()
-                if chunks is None:
-                    rows.append((digest, copies, 0, 0, 0, 0, "", [], []))
-                    continue
-                a, b, groups, links = zip(*chunks)
-                joined = np.frombuffer(b"".join(links), np.int64)
-                pairs, times = np.unique(joined, return_counts=True)
-                groups_text = ";".join(groups).encode()
-                size = len(joined)
-                rows.append((digest, copies, sum(a), sum(b), size, size, hashlib.sha256(groups_text).hexdigest(), pairs, times))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    with at_work(Aligner, a_path, b_path) as aligner:
+        names = [x.split()[0] for x in _ALIGNED.split(", ")]
+        kinds = (pa.string(), *[pa.int64()] * 5, pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+        for whole in batches:
+            for batch in slices(whole, "text", STEP_BYTES):
+                texts = batch.column("text").to_pylist()
+                rows = []
+                for text, copies, chunks in zip(texts, batch.column("copies").to_pylist(), aligner.texts(texts)):
+                    digest = hashlib.sha256(text.encode()).hexdigest()
+                    if chunks is None:
+                        rows.append((digest, copies, 0, 0, 0, 0, "", [], []))
+                        continue
+                    links = np.sort(np.frombuffer(b"".join([x[1] for x in chunks]), np.int64))
+                    firsts = np.flatnonzero(np.diff(links, prepend=-1))
+                    times = np.diff(firsts, append=len(links))
+                    counts = np.frombuffer(b"".join([x[2] for x in chunks]), np.int64)
+                    a, b = int((counts >> 32).sum()), int((counts & 0xFFFFFFFF).sum())
+                    groups = hashlib.sha256(";".join([x[0] for x in chunks]).encode()).hexdigest()
+                    rows.append((digest, copies, a, b, len(links), len(links), groups, links[firsts], times))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
 def align_texts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
