@@ -12,15 +12,15 @@ part position, the number of bounds that the parts needed in the round before.
 Bounds are rounded away from the truth when they are stored, and decide only with room to spare;
 every other case is settled by integer distances, so codes equal those of plain rounds to the bit.
 
-The state of a round (integers and bounds) is one written table; the round before it is dropped
+One pass turns vectors into integers and is written. The state of a round (integers and bounds) is one written table too; the round before it is dropped
 when its follower is there. Sums and counts of entries combine per task and then by entry; the driver sees
 codebooks and histograms of bounded size only.
 
 Contract: rows whose vector is null or holds null or non-finite components are dropped. The most
 frequent length that is a multiple of the number of parts (of equally frequent ones the least) is coded; vectors of another
 length, and vectors with a component so large that an error might leave a long (2^17 and more at
-64 components), keep their row with null code and errors, and take no part in codebooks. Of repeated vec_ids the lesser vector comes first
-among the rows that start the codebooks; null ids come last. With fewer rows than entries the
+64 components), keep their row with null code and errors, and take no part in codebooks. Of repeated vec_ids the lesser vector of integers comes
+first among the rows that start the codebooks; null ids come last. With fewer rows than entries the
 codebooks are shorter. A sum of errors beyond a long is null. Repeated rows give repeated rows; an empty table gives an empty result.
 Columns besides ``vec_id``, ``embedding`` and ``label`` are ignored.
 """
@@ -33,7 +33,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.session import broadcast_if_small, drop_path, stage, stage_at
@@ -51,6 +51,7 @@ STEP_ROWS = 4096
 # Up to here sums of squares of doubles are exact integers.
 EXACT = float(1 << 53)
 
+_WHOLE = "vec_id bigint, label string, size bigint, most bigint, vector binary"
 _STATE = "vec_id bigint, label string, vector binary, state binary"
 _SUMS = "part int, slot int, n bigint, sums array<bigint>"
 
@@ -208,10 +209,43 @@ def next_listed(needed: dict[int, int], listed: int) -> int:
     return min(LISTED_MOST, 2 * listed)
 
 
-def _integers(batch: pa.RecordBatch, size: int) -> np.ndarray:
-    """The vectors of a batch as integers, (rows, size)."""
-    values = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
-    return np.floor(values.astype(np.float64) * SCALE).astype(np.int64).reshape(batch.num_rows, size)
+def _prepare(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Kept vectors as integers: size, largest magnitude, and bytes that sort like the vectors.
+
+    Where a vector can't be coded at all the last two are null.
+    """
+    for whole in batches:
+        vectors = whole.column("vector")
+        batch = whole.filter(vectors.is_valid())
+        vectors = batch.column("vector")
+        flat = vectors.flatten()
+        values = flat.to_numpy(zero_copy_only=False).astype(np.float64)
+        bad = ~np.isfinite(values) | flat.is_null().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(vectors.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+        starts = np.append(0, ends[:-1])
+        before = np.append(0, np.cumsum(bad))
+        kept = np.flatnonzero(before[ends] == before[starts])
+        rows = []
+        for i in kept:
+            own, size = values[starts[i] : ends[i]], int(ends[i] - starts[i])
+            # No two such vectors are 2^31 apart, so their squared distance is a long.
+            top = np.abs(own).max() * SCALE if size and size % parts == 0 else np.inf
+            if not top * np.sqrt(size) < 2.0**30:
+                rows.append((size, None, None))
+                continue
+            integers = np.floor(own * SCALE).astype(np.int64)
+            rows.append((size, int(np.abs(integers).max()), (integers + 2**31).astype(">u4").tobytes()))
+        columns = zip(*rows) if rows else ((), (), ())
+        kinds = (pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(x).take(pa.array(kept)) for x in ("vec_id", "label")] + [pa.array(c, k) for c, k in zip(columns, kinds)],
+            ["vec_id", "label", "size", "most", "vector"],
+        )
+
+
+def _integers(vectors: list[bytes]) -> np.ndarray:
+    """Prepared vectors of one length, (rows, length)."""
+    return np.frombuffer(b"".join(vectors), ">u4").astype(np.int64).reshape(len(vectors), -1) - 2**31
 
 
 def _cut(whole: np.ndarray, parts: int) -> list[np.ndarray]:
@@ -254,7 +288,7 @@ def _steps(batches: Iterator[pa.RecordBatch], rows: int = STEP_ROWS) -> Iterator
 
 def _start(batches: Iterator[pa.RecordBatch], books: list[np.ndarray], listed: list[int], kind: np.dtype) -> Iterator[pa.RecordBatch]:
     for batch in _steps(batches):
-        whole = _integers(batch, sum(x.shape[1] for x in books))
+        whole = _integers(batch.column("vector").to_pylist())
         states = [search_all(points, book, size) for points, book, size in zip(_cut(whole, len(books)), books, listed)]
         columns = [batch.column("vec_id"), batch.column("label"), _binaries(whole.astype(kind)), _packed(states)]
         yield pa.RecordBatch.from_arrays(columns, ["vec_id", "label", "vector", "state"])
@@ -342,35 +376,27 @@ def digest_of(books: list[np.ndarray]) -> str:
     return hashlib.sha256(",".join(str(x) for book in books for x in book.ravel().tolist()).encode()).hexdigest()
 
 
-def _usable(vector: Column) -> Column:
-    return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-
-
 def train_codes(embeddings: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS) -> tuple[DataFrame, list[np.ndarray]]:
     """(vec_id, label, code, error) per kept vector, and the codebooks; code is null where a vector can't be coded."""
     vector = F.col("embedding").cast("array<double>")
     rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label").cast("string").alias("label"), vector.alias("vector"))
-    rows = rows.filter(_usable(F.col("vector")))
-    # No two such vectors are 2^31 apart.
-    small = F.forall("vector", lambda x: F.abs(x) < F.lit(2.0**30 / SCALE) / F.sqrt(F.size("vector").cast("double")))
-    fits = small & (F.size("vector") % parts == 0) & (F.size("vector") > 0)
-    sizes = rows.filter(fits).groupBy(F.size("vector").alias("size")).agg(
-        F.count("*").alias("n"), F.max(F.array_max(F.transform("vector", lambda x: F.abs(x)))).alias("most")
-    )
+    rows, ready = stage_at(rows.mapInArrow(partial(_prepare, parts=parts), _WHOLE), "integers")
+    # One row: the length that is coded.
+    sizes = rows.filter("most IS NOT NULL").groupBy("size").agg(F.count("*").alias("n"), F.max("most").alias("most"))
     common = sizes.orderBy(F.desc("n"), "size").first()
     null_code = F.lit(None).cast("string").alias("code"), F.lit(None).cast("bigint").alias("error")
     if common is None:
         return rows.select("vec_id", "label", *null_code), []
-    coded = F.coalesce(fits & (F.size("vector") == common["size"]), F.lit(False))
-    own = rows.filter(coded)
-    first = own.orderBy(F.col("vec_id").asc_nulls_last(), "vector").select("vector").limit(entries).collect()
-    whole = np.floor(np.array([r["vector"] for r in first], np.float64) * SCALE).astype(np.int64)
-    books = [x.copy() for x in _cut(whole, parts)]
+    own = rows.filter((F.col("size") == common["size"]) & F.col("most").isNotNull())
+    others = rows.filter((F.col("size") != common["size"]) | F.col("most").isNull()).select("vec_id", "label", *null_code)
+    first = own.select("vec_id", "vector").orderBy(F.col("vec_id").asc_nulls_last(), "vector").limit(entries).collect()
+    books = [x.copy() for x in _cut(_integers([bytes(r["vector"]) for r in first]), parts)]
     # The least width that holds all components.
-    top = int(common["most"] * SCALE) + 1
-    kind = np.dtype("<i2" if top < 1 << 15 else "<i4")
+    kind = np.dtype("<i2" if common["most"] < 1 << 15 else "<i4")
     listed = [LISTED] * parts
-    held, path = stage_at(own.mapInArrow(partial(_start, books=books, listed=listed, kind=kind), _STATE), "codes")
+    held, path = stage_at(own.select("vec_id", "label", "vector").mapInArrow(partial(_start, books=books, listed=listed, kind=kind), _STATE), "codes")
+    others = stage(others, "not-coded")
+    drop_path(embeddings.sparkSession, ready)
     for _ in range(rounds):
         sums, needed = _totals(held, books, listed, kind)
         fresh = [update(book, s) for book, s in zip(books, sums)]
@@ -381,7 +407,7 @@ def train_codes(embeddings: DataFrame, parts: int = PARTS, entries: int = ENTRIE
         drop_path(embeddings.sparkSession, path)
         held, path, books, listed = after, written, fresh, wanted
     done = held.mapInArrow(partial(_finish, books=books, listed=listed, kind=kind), "vec_id bigint, label string, code string, error bigint")
-    return done.unionByName(rows.filter(~coded).select("vec_id", "label", *null_code)), books
+    return done.unionByName(others), books
 
 
 def vector_codes(embeddings: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS) -> DataFrame:

@@ -17,8 +17,8 @@ SCHEMA = "vec_id bigint, embedding array<double>, label int, code string, known
 
 def brute(rows, parts=4, entries=256, rounds=4):
     """(vec_id, code, error, label) and the digest, with Python integers."""
-    kept = sorted([(i, v, x) for i, v, x in rows], key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-    whole = [[math.floor(1024 * x) for x in v] for _, v, _ in kept]
+    kept = sorted([(i, [math.floor(1024 * x) for x in v], x) for i, v, x in rows], key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    whole = [v for _, v, _ in kept]
     wide = len(whole[0]) // parts
     cut = [[v[p * wide : (p + 1) * wide] for v in whole] for p in range(parts)]
     books = [[list(x) for x in c[:entries]] for c in cut]
