@@ -264,14 +264,13 @@ def keep_distinct(docs: DataFrame) -> DataFrame:
 
     A row is found again by doc_id, body and length; of rows that agree in these one stays.
     """
-    found = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("__keep_id"), F.col("text_sha256").alias("__keep_sha")).distinct()
-    keyed = docs.withColumns(
-        {
-            "__doc": F.col("doc_id").cast("bigint"),
-            "__body": F.sha2(body_of(F.col("text")), 256),
-            "__n": F.length(F.coalesce("text", F.lit(""))),
-        }
+    found = exact_dedup(docs).filter("kept").select("doc_id", "text_sha256").distinct()
+    keyed = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc"),
+        F.sha2(body_of(F.col("text")), 256).alias("body"),
+        F.length(F.coalesce("text", F.lit(""))).alias("n"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
     )
-    kept = keyed.join(found, F.col("__doc").eqNullSafe(F.col("__keep_id")) & (F.col("__body") == F.col("__keep_sha")), "left_semi")
-    first = kept.groupBy("__doc", "__body").agg(F.max_by(F.struct(*docs.columns), "__n").alias("__row"))
-    return first.select([F.col("__row").getField(c).alias(c) for c in docs.columns])
+    kept = keyed.join(found, F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("body") == F.col("text_sha256")), "left_semi")
+    first = kept.groupBy("doc", "body").agg(F.max_by("row", "n").alias("row"))
+    return first.select([F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.spans import once, spans
+from logloom.llm.spans import gathered, once, spans
 
 # What is not part of a word, and the base phrases with their labels.
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -180,10 +180,6 @@ def _unsuppressed(found: Column) -> Column:
     one exactly if an earlier end is not before its own; the furthest end is kept per priority.
     """
     top = len(WEIGHTS)
-    start = F.struct(
-        F.array_repeat(F.lit(-1).cast("bigint"), top).alias("reach"), F.array().cast(_FOUND).alias("kept")
-    )
-
     def step(done: Column, x: Column) -> Column:
         end, own = -x["past"], -x["priority"]
         covered = F.get(done["reach"], own) >= end
@@ -191,10 +187,11 @@ def _unsuppressed(found: Column) -> Column:
         reach = F.transform(done["reach"], lambda far, p: F.when((p <= own) & (far < end), end).otherwise(far))
         return F.struct(
             reach.alias("reach"),
-            F.when(covered, done["kept"]).otherwise(F.concat(done["kept"], F.array(x))).alias("kept"),
+            F.when(covered, done["out"]).otherwise(F.concat(done["out"], F.array(x))).alias("out"),
         )
 
-    return F.aggregate(F.array_sort(found), start, step, lambda done: done["kept"])
+    reach = F.array_repeat(F.lit(-1).cast("bigint"), top)
+    return gathered(F.array_sort(found), {"reach": reach}, step, _FOUND.removeprefix("array<").removesuffix(">"))
 
 
 def _spaces(text: Column) -> Column:

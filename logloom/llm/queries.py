@@ -22,6 +22,9 @@ from logloom.llm.token_alignment import align_documents
 from logloom.llm.toxicity import score_toxicity
 from logloom.llm.vector_codes import vector_codes
 
+# The key of the query; a job over texts of people needs one of its own, which nobody else knows.
+TEST_KEY = "corpus"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,7 +42,7 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by surrogates."""
-    return surrogate_documents(_table(spark, sf_dir, "documents"))
+    return surrogate_documents(_table(spark, sf_dir, "documents"), TEST_KEY)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,8 +30,8 @@ GATES = {
     "access": r"AKIA[A-Z0-9]{16}",
     "hex": r"[0-9a-f]{24}",
 }
-# Added by the method: runs of 20 or more characters with letters and digits, kept where they look live.
-VALUE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])[A-Za-z0-9+/_-]{20,}"
+# Added by the method: runs of 20 or more characters with a digit wherever in them, kept where they look live.
+VALUE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{20})[A-Za-z+/_-]*+[0-9][A-Za-z0-9+/_-]*+"
 MARK = "[SECRET]"
 # From so many owners or repositories on a value is a copied example.
 SHARED_OWNERS = 3
@@ -137,17 +137,22 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
 
 
 def redact_live(docs: DataFrame, owner: str = "source", repository: str = "doc_id", shared_owners: int = SHARED_OWNERS, shared_repositories: int = SHARED_REPOSITORIES) -> DataFrame:
-    """``docs`` with every live-looking value replaced by ``MARK``; other rows stay as they are."""
-    suspect = F.coalesce(F.col("text"), F.lit("")).rlike("|".join([*GATES.values(), VALUE]).replace("(?i)", ""))
-    suspect = suspect | F.coalesce(F.col("text"), F.lit("")).rlike(GATES["assign"])
-    rows = stage(_scanned(docs.filter(suspect), owner, repository, F.struct(*docs.columns)), "secret-rows")
+    """``docs`` with every live-looking value replaced by ``MARK``; other rows stay as they are.
+
+    Null texts stay null, repeated rows repeat, and an empty table gives an empty one. A column ``n_chars``, if there is one, follows the
+    text; all other columns pass, whatever their names.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    suspect = text.rlike("|".join([*GATES.values(), VALUE]).replace("(?i)", "")) | text.rlike(GATES["assign"])
+    rows = stage(_scanned(docs.filter(suspect), owner, repository, F.struct(*[F.col(f"`{c}`") for c in docs.columns])), "secret-rows")
     judged = _judged(rows.filter(F.size("found") > 0), shared_owners, shared_repositories)
     live = judged.select("row_id", F.filter("judged", lambda x: x["live"]).alias("live")).filter(F.size("live") > 0)
-    joined = rows.join(live, "row_id", "left").select("kept.*", "live")
     longest_first = F.reverse(F.array_sort(F.transform("live", lambda x: F.struct(F.length(x["value"]).alias("n"), x["value"].alias("v")))))
-    redacted = F.aggregate(longest_first, F.col("text"), lambda done, x: F.replace(done, x["v"], F.lit(MARK)))
-    changed = joined.withColumn("text", F.when(F.col("live").isNull(), F.col("text")).otherwise(redacted)).drop("live")
+    redacted = F.aggregate(longest_first, F.col("kept")["text"], lambda done, x: F.replace(done, x["v"], F.lit(MARK)))
+    joined = rows.join(live, "row_id", "left").select("kept", once("changed", F.coalesce(redacted, F.col("kept")["text"])))
+    columns = {c: F.col("kept").getField(c) for c in docs.columns} | {"text": F.col("changed")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
-    return docs.filter(~suspect).unionByName(changed.select(docs.columns))
+        columns["n_chars"] = F.when(F.col("changed").isNull(), columns["n_chars"]).otherwise(F.length("changed")).cast(kind)
+    changed = joined.select(*[x.alias(c) for c, x in columns.items()])
+    return docs.filter(~suspect).unionByName(changed)

@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logloom.llm import secrets as X
+from logloom.llm.exact_dedup import keep_distinct
 from logloom.llm.licenses import rules, scan_licenses
 from logloom.llm.packing import Encoder, cut_documents, pack, pack_documents, pieces_of, plan_bins
 from logloom.llm.revisits import canonical_url, resolve_revisits
+from logloom.llm.secrets import redact_live, scan_secrets
+from logloom.llm.spans import spans
 from logloom.llm.surrogates import assign_surrogates, replace_entities, surrogate_documents
 from logloom.llm.toxicity import Rows, drop_toxic, fit_chain, fit_linear, predict_chain, score_toxicity
 
@@ -146,9 +149,9 @@ PRIVATE = [
 def test_surrogates_keep_type_form_and_reference(spark):
     rows = [(i, t, "kept") for i, t in enumerate(PRIVATE)] + [(2, PRIVATE[2], "kept")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, hits string")
-    replaced = replace_entities(df)
+    replaced = replace_entities(df, "k")
     assert replaced.columns == [*df.columns, "entities"]
-    found = {r.doc_id: r for r in surrogate_documents(df).collect()}
+    found = {r.doc_id: r for r in surrogate_documents(df, "k").collect()}
     assert all(found[i].text == PRIVATE[i] and not found[i].n_entities for i in (0, 1, 5))
     for left in ("bob.lee", "Bob.Lee", "988", "4041894974608795", "John", "Smith", "Анна", "Иванов ", "192.168.1.1", "123-45-6789", "5001"):
         assert all(left not in (r.text or "") for r in found.values())
@@ -163,12 +166,12 @@ def test_surrogates_keep_type_form_and_reference(spark):
     john, anna, other = re.match(r"Mr\. \S+ (\S+) met Mrs\. \S+ (\S+) and Mr\. (\S+)\.", found[3].text).groups()
     assert john == anna == other
     assert re.search(r"г-жа [А-ЯЁ][а-яё]+ [А-ЯЁ][а-яё]+ова, г-н [А-ЯЁ][а-яё]+ов\.", found[3].text)
-    assert surrogate_documents(df.limit(0)).count() == 0
+    assert surrogate_documents(df.limit(0), "k").count() == 0
 
 
 def test_different_tokens_stay_different(spark):
     tokens = [("given-latin-f", f"Name{i}") for i in range(300)] + [("ssn", f"{i:09d}") for i in range(300)]
-    found = assign_surrogates(spark.createDataFrame(tokens, "kind string, token string")).collect()
+    found = assign_surrogates(spark.createDataFrame(tokens, "kind string, token string"), "k").collect()
     assert len(found) == len({(r.kind, r.surrogate) for r in found}) == 600
     assert not {(r.kind, r.surrogate) for r in found} & set(tokens)
 
@@ -182,7 +185,7 @@ def test_further_forms_and_bare_names_are_found(spark):
     cards = ["3782 822463 10005", "378282246310005", "3056-930902-5904"]
     rows = [*enumerate(texts), *((100 + i, f"call {x}, or write") for i, x in enumerate(numbers)), *((200 + i, f"card {x}.") for i, x in enumerate(cards))]
     rows += [(300, "at 1700000000 and 0.5551234567 and 2024-01-02 03:04:05")]
-    found = {r.doc_id: r for r in surrogate_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    found = {r.doc_id: r for r in surrogate_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), "k").collect()}
     family, given, again, caps, caps_family = re.fullmatch(r"(\S+) came first\. Mrs\. (\S+) \1 called\. (\S+) said: (\S+) (\S+)'s bag\. Smithson and Annabel stay\.", found[0].text).groups()
     assert family == again and caps == given.upper() and caps_family == family.upper() and not {"Smith", "Anna"} & {family, given}
     assert found[0].n_entities == 4 and found[0].kinds == "name"
@@ -201,12 +204,75 @@ def test_name_spaces_grow_with_the_tokens(spark):
     kinds = [("given-latin-f", 30000), ("given-cyrillic-m", 3000), ("family-cyrillic-m", 70000), ("family-latin", 3000), ("mail", 676)]
     letters = "abcdefghijklmnopqrstuvwxyz"
     tokens = [(k, f"{letters[i // 26]}@{letters[i % 26]}.com" if k == "mail" else f"Name{i}") for k, n in kinds for i in range(n)]
-    found = assign_surrogates(spark.createDataFrame(tokens, "kind string, token string")).collect()
+    found = assign_surrogates(spark.createDataFrame(tokens, "kind string, token string"), "k").collect()
     assert {(r.kind, r.token) for r in found} == set(tokens) and len(found) == len(tokens)
     assert len({(r.kind, r.surrogate) for r in found}) == len(tokens)
     assert not {(r.kind, r.surrogate) for r in found} & set(tokens)
 
 
+def test_forms_without_enough_numbers_get_longer_ones(spark):
+    # Every number of four digits is taken, so no other of the form is free.
+    tokens = [("phone", f"{i:02d}") for i in range(100)] + [("phone", "5551234567")]
+    found = assign_surrogates(spark.createDataFrame(tokens, "kind string, token string"), "k").collect()
+    assert len({r.surrogate for r in found}) == 101 and not {r.surrogate for r in found} & {t for _, t in tokens}
+    assert {len(r.surrogate) for r in found if len(r.token) == 10} == {10}
+    assert all("x" in r.surrogate for r in found if len(r.token) == 2)
+
+
+def test_check_digits_of_bank_numbers(spark):
+    def remainder(text):
+        return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
+
+    tokens = [("iban", "DE44500105175407324931"), ("iban", "GB82WEST12345698765432"), ("iban", "DE45500105175407324931")]
+    found = {r.token: r.surrogate for r in assign_surrogates(spark.createDataFrame(tokens, "kind string, token string"), "k").collect()}
+    assert [remainder(found[t]) == 1 for _, t in tokens[:2]] == [True, True]
+    assert all(found[t][:2] == t[:2] and len(found[t]) == len(t) and found[t] != t for _, t in tokens)
+
+
+def test_texts_that_repeat_groups_do_not_end_the_job(spark):
+    texts = ["x@" + "a." * 50_000 + "com", "Mr. Smith " + "Smith " * 15_000, "Dr. " * 20_000 + "Klein", "a" * 100_000 + "@b.com", "1 " * 40_000,
+             "AKIA" * 20_000, "license " * 10_000, "token=" * 10_000, "+1 (555) " * 10_000, "192.168." * 10_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in surrogate_documents(df, "k").collect()}
+    assert len(found) == len(texts) and "Smith" not in found[1].text and "Klein" not in found[2].text
+    assert scan_secrets(df.withColumn("source", F.lit("s"))).count() == scan_licenses(df).count() == len(texts)
+
+
+def test_places_of_many_hits_come_in_linear_time(spark):
+    import time
+
+    text = "password=abc%06d " * 100_000 % tuple(range(100_000))
+    df = spark.createDataFrame([(1, text, "s")], "doc_id bigint, text string, source string")
+    began = time.time()
+    row = df.select(spans(F.col("text"), F.lit(r"abc[0-9]+")).alias("s")).first()
+    assert len(row.s) == 100_000 and time.time() - began < 30
+    assert [(x.start, x.end, x.value) for x in (row.s[0], row.s[255], row.s[256], row.s[-1])] == [
+        (i * 19 + 9, i * 19 + 18, f"abc{i:06d}") for i in (0, 255, 256, 99_999)
+    ]
+
+
+def test_a_digit_may_stand_late_in_a_value(spark):
+    letters = "aBcDeFgHiJkLmNoPqRsTuVwXyZ" * 2
+    rows = [(1, f"key {letters}1234567 end", "s"), (2, f"no {letters} digit", "s"), (3, f"path /{letters * 50}/7", "s")]
+    found = {r.doc_id: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
+    assert found[1].spans == "value:4:63" and found[2].spans == "" and found[3].n_live == 1
+
+
+def test_columns_with_clashing_names_pass(spark):
+    schema = "doc_id bigint, text string, source string, live string, entities string, row_id string, changed int, kept int, row int, __n int"
+    token = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
+    rows = [(1, f"key {token} mail a.b@c.org", "s", "l", "e", "r", 1, 2, 3, 4), (2, None, "s", "l2", "e2", "r2", 5, 6, 7, 8), (3, None, None, *[None] * 7)]
+    df = spark.createDataFrame(rows, schema)
+    redacted = {r.doc_id: r for r in redact_live(df).collect()}
+    assert token not in redacted[1].text and (redacted[1].live, redacted[1].changed, redacted[1].kept) == ("l", 1, 2)
+    assert tuple(redacted[2]) == rows[1] and redact_live(df).columns == df.columns
+    replaced = {r.doc_id: r for r in replace_entities(df, "k").collect()}
+    assert "a.b@c.org" not in replaced[1].text and replaced[1].row_id == "r" and [x.kind for x in replaced[1].entities] == ["mail"]
+    assert replaced[2].entities == [] and replaced[2].text is None and replaced[2].row == 7
+    kept = keep_distinct(df)
+    assert kept.columns == df.columns and sorted(r["__n"] for r in kept.collect() if r["__n"]) in ([4], [4, 8])
+
+
 def test_canonical_urls(spark):
     urls = ["HTTP://www.Example.com:80/a/?b=2&a=1&utm_source=x#top", "https://user@example.com/a?a=1&b=2", "example.com/a/?a=1&b=2", None]
     rows = spark.createDataFrame([(u,) for u in urls], "url string").select(canonical_url(F.col("url"))).collect()
