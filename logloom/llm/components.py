@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.session import stage
+from logloom.session import drop_path, stage_at
 
 
 def _minima(edges: DataFrame) -> DataFrame:
@@ -47,11 +47,13 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
     start = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).filter(
         u.isNotNull() & v.isNotNull() & (u != v)
     )
-    found = stage(start.select("u", "v").distinct(), "edges")
+    found, path = stage_at(start.select("u", "v").distinct(), "edges")
     mark = _mark(found)
     while mark[0]:
-        found = stage(_small_star(_large_star(found)), "edges")
-        before, mark = mark, _mark(found)
+        # The round before goes as soon as its follower is written.
+        found, written = stage_at(_small_star(_large_star(found)), "edges")
+        drop_path(edges.sparkSession, path)
+        path, before, mark = written, mark, _mark(found)
         if mark == before:
             break
     roots = found.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -1,6 +1,6 @@
 """N-gram Jaccard join: near-duplicate documents by their word shingles, without losing a link.
 
-Every document is the sorted array of the 64-bit hashes of its distinct shingles. Two documents
+Every document is the sorted array of the 63-bit hashes of its distinct shingles. Two documents
 link when the arrays overlap in at least t of their union. The join runs in three steps:
 
 1. Tiles by least shingle. Documents whose least hash (under either of two orders) agrees meet in a
@@ -36,16 +36,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.components import connected_components
+from logloom.llm.memory import Memo, at_work, slices
 from logloom.session import stage
 
 WORDS = 5
 # Overlap times DEN >= union times NUM.
 NUM, DEN = 80, 100
 BITS = 4096
-# Rows of a tile that are compared at once.
+# Rows of a tile that are compared at once, and bytes of their sets; a larger set is a tile's only addition.
 TILE_ROWS = 2048
-# Sets of a block of candidate pairs; a tile holds two blocks.
+TILE_BYTES = 24 << 20
+# Sets of a block of candidate pairs, and their bytes; a tile holds two blocks.
 BLOCK_ROWS = 512
+BLOCK_BYTES = 12 << 20
+# Bytes of text or sets that a task works on at a time.
+STEP_BYTES = 4 << 20
 # A shingle is common in a task from this share of its documents on; so many of them are put last.
 COMMON_SHARE, COMMON_LEAST = 0.0005, 4
 COMMON_MOST = 400_000
@@ -54,8 +59,8 @@ COMMON_WINDOW = 2_000_000
 # A bitmap of so many bits (4 MB) spares sets that meet nothing a shuffle; pages it is gathered in.
 FILTER_BITS = 1 << 25
 FILTER_PAGE = 1 << 15
-# Words and their hashes that a worker remembers.
-MEMO_WORDS = 200_000
+# Bytes of words and their hashes that a worker remembers.
+MEMO_BYTES = 64 << 20
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -72,18 +77,22 @@ class Shingler:
     """Sorted shingle hashes of texts; words are remembered."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.known = words, {}
-
-    def _hash(self, word: bytes) -> int:
-        if len(self.known) >= MEMO_WORDS:
-            self.known.clear()
-        value = self.known[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+        self.words, self.known = words, Memo(MEMO_BYTES)
+
+    def many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The shingles of every text."""
+        split = [[w for w in (x or "").encode().translate(_LOWER).split(b" ") if w] for x in texts]
+        for word in self.known.missing(set().union(*split)):
+            self.known.put(word, xxhash.xxh3_64_intdigest(word), 40)
+        young = self.known.young
+        found = [self._of(np.fromiter(map(young.__getitem__, x), np.uint64, len(x))) for x in split]
+        self.known.settle()
+        return found
 
     def shingles(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().translate(_LOWER).split(b" ")
-        known = self.known
-        hashes = np.array([known.get(w) or self._hash(w) for w in words if w], np.uint64)
+        return self.many([text])[0]
+
+    def _of(self, hashes: np.ndarray) -> np.ndarray:
         if not len(hashes):
             return hashes.view(np.int64)
         width = min(self.words, len(hashes))
@@ -202,7 +211,12 @@ def least_keys(hashes: np.ndarray) -> list[int]:
 
 
 def _shingle(batches: Iterator[pa.RecordBatch], words: int, share: float, least: int) -> Iterator[pa.RecordBatch]:
-    shingler, seen, held, window = Shingler(words), set(), [], 0
+    with at_work(Shingler, words) as shingler:
+        yield from _shingle_with(shingler, batches, share, least)
+
+
+def _shingle_with(shingler: Shingler, batches: Iterator[pa.RecordBatch], share: float, least: int) -> Iterator[pa.RecordBatch]:
+    seen, held, window = set(), [], 0
     context = TaskContext.get()
     node = (context.partitionId() if context else 0) << 33
     names = [x.split()[0] for x in _SHINGLED.split(", ")]
@@ -218,10 +232,9 @@ def _shingle(batches: Iterator[pa.RecordBatch], words: int, share: float, least:
         return [(2, None, None, int(c), int(v), 0, None, None) for v, c in zip(values[often], counts[often])]
 
     for batch in batches:
-        for begin in range(0, batch.num_rows, 250):
-            part, rows = batch.slice(begin, 250), []
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                hashes = shingler.shingles(text)
+        for part in slices(batch, "text", STEP_BYTES):
+            rows = []
+            for doc_id, hashes in zip(part.column("doc_id").to_pylist(), shingler.many(part.column("text").to_pylist())):
                 high, low = _print(hashes)
                 rows.append((0, doc_id, None, len(hashes), high, low, None, None))
                 if len(hashes) and (high, low) not in seen:
@@ -245,7 +258,7 @@ def prefix_size(n: int) -> int:
 
 def _prefix(batches: Iterator[pa.RecordBatch], common: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(node, n, prefix): the first shingles in the common order, those of ``common`` last."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "hashes", STEP_BYTES)):
         prefixes = []
         for hashes in batch.column("hashes"):
             own = _values(hashes)
@@ -266,7 +279,7 @@ def _tiles(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
 
     The last set of a tile opens the next one, so what agrees is chained across tiles.
     """
-    key, nodes, sets = None, [], []
+    key, nodes, sets, used = None, [], [], 0
 
     def out() -> Iterator[pa.RecordBatch]:
         links = tile_links(sets) if len(sets) > 1 else []
@@ -278,12 +291,14 @@ def _tiles(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
         for now, node, hashes in zip(batch.column("key").to_pylist(), batch.column("node").to_pylist(), batch.column("hashes")):
             if now != key:
                 yield from out()
-                key, nodes, sets = now, [], []
-            elif len(sets) >= rows:
+                key, nodes, sets, used = now, [], [], 0
+            elif len(sets) >= rows or used >= TILE_BYTES:
                 yield from out()
                 nodes, sets = nodes[-1:], sets[-1:]
+                used = sets[0].nbytes
             nodes.append(node)
             sets.append(_values(hashes))
+            used += sets[-1].nbytes
     yield from out()
 
 
@@ -335,14 +350,15 @@ def _values(hashes: pa.Scalar) -> np.ndarray:
     return np.frombuffer(hashes.as_py(), np.int64)
 
 
-def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, payload): the parity bitmap of a set behind its size, two to four bits per shingle."""
-    for batch in batches:
-        payload = []
-        for hashes in batch.column("hashes"):
-            own = _values(hashes)
-            payload.append(np.int64(len(own)).tobytes() + bitmap(own, 2 * bits_for(len(own))).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(payload, pa.binary())], ["node", "payload"])
+def _payloads(hashes: pa.Array, as_maps: bool) -> pa.Array:
+    """Sets as they are, or as parity bitmaps behind their sizes, two to four bits per shingle."""
+    if not as_maps:
+        return hashes
+    payload = []
+    for raw in hashes:
+        own = _values(raw)
+        payload.append(np.int64(len(own)).tobytes() + bitmap(own, 2 * bits_for(len(own))).tobytes())
+    return pa.array(payload, pa.binary())
 
 
 def able_by_maps(a: np.ndarray, b: np.ndarray) -> bool:
@@ -392,8 +408,9 @@ def _verified(sets: DataFrame, pairs: DataFrame, block_rows: int) -> DataFrame:
     that it has a pair in, not once per pair.
     """
     ends = pairs.select("u", F.explode(F.array("u", "v")).alias("node"))
-    least = ends.groupBy("node").agg(F.min("u").alias("label"))
-    sizes = least.groupBy("label").agg(F.ceil(F.count("*") / block_rows).cast("bigint").alias("parts"))
+    least = ends.groupBy("node").agg(F.min("u").alias("label")).join(sets.select("node", "n"), "node")
+    parts = F.ceil(F.greatest(F.count("*") / block_rows, F.sum(F.col("n") * 8) / BLOCK_BYTES)).cast("bigint")
+    sizes = least.groupBy("label").agg(parts.alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
     blocks = stage(least.join(sizes, "label").select("node", F.xxhash64("label", part).alias("block")), "blocks")
     placed = pairs.join(blocks.select(F.col("node").alias("u"), F.col("block").alias("block_u")), "u")
@@ -401,11 +418,11 @@ def _verified(sets: DataFrame, pairs: DataFrame, block_rows: int) -> DataFrame:
     tile = F.xxhash64(F.least("block_u", "block_v"), F.greatest("block_u", "block_v"))
     placed = stage(placed.select(tile.alias("tile"), "u", "v"), "placed-pairs")
     # Bitmaps are small and rule most pairs out; sets are only sent for the others.
-    maps = _spared(sets, [F.col("node")], blocks.select("node")).mapInArrow(_maps, "node bigint, payload binary")
+    maps = _spared(sets, [F.col("node")], blocks.select("node"), as_maps=True).select("node", "payload")
     left = stage(_passing(maps, placed, able_by_maps), "sifted-pairs")
     again = placed.join(left, ["u", "v"]).select("tile", "u", "v")
     ends = left.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    own = _spared(sets, [F.col("node")], ends).select("node", F.col("hashes").alias("payload"))
+    own = _spared(sets, [F.col("node")], ends).select("node", "payload")
     return _passing(own, again, able_exactly)
 
 
@@ -446,21 +463,24 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
     return found
 
 
-def _hit(batches: Iterator[pa.RecordBatch], filled: Broadcast) -> Iterator[pa.RecordBatch]:
-    """The rows any of whose bits is set."""
-    for batch in batches:
+def _hit(batches: Iterator[pa.RecordBatch], filled: Broadcast, as_maps: bool) -> Iterator[pa.RecordBatch]:
+    """(node, n, payload) of the rows any of whose bits is set."""
+    for batch in (part for whole in batches for part in slices(whole, "hashes", STEP_BYTES)):
         bits = batch.column("bits")
         flat, size = bits.flatten().to_numpy(), len(bits)
         hit = (filled.value[flat >> 3] >> (7 - (flat & 7)).astype(np.uint8)) & 1
         some = hit.reshape(size, -1).any(1) if size else hit.astype(bool)
-        yield batch.drop_columns(["bits"]).filter(pa.array(some))
+        left = batch.filter(pa.array(some))
+        columns = [left.column("node"), left.column("n"), _payloads(left.column("hashes"), as_maps)]
+        yield pa.RecordBatch.from_arrays(columns, ["node", "n", "payload"])
 
 
-def _spared(sets: DataFrame, keys: list, wanted: DataFrame) -> DataFrame:
-    """(node, n, hashes) of the sets any of whose ``keys`` may be in ``wanted``."""
+def _spared(sets: DataFrame, keys: list, wanted: DataFrame, as_maps: bool = False) -> DataFrame:
+    """(node, n, payload) of the sets any of whose ``keys`` may be in ``wanted``."""
     filled = sets.sparkSession.sparkContext.broadcast(_filter_of(wanted))
     bits = F.array(*[F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)) for key in keys]).alias("bits")
-    return sets.select("node", "n", "hashes", bits).mapInArrow(partial(_hit, filled=filled), "node bigint, n bigint, hashes binary")
+    schema = "node bigint, n bigint, payload binary"
+    return sets.select("node", "n", "hashes", bits).mapInArrow(partial(_hit, filled=filled, as_maps=as_maps), schema)
 
 
 def jaccard_links(sets: DataFrame, common: np.ndarray, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -471,7 +491,7 @@ def jaccard_links(sets: DataFrame, common: np.ndarray, tile_rows: int = TILE_ROW
     spread = F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("held") / tile_rows).cast("bigint")).alias("spread")
     meeting = keyed.join(several, "key").select("node", "key", spread)
     able = _spared(sets, [F.get("keys", F.lit(i)) for i in range(2)], several.select("key"))
-    tiles = able.join(meeting, "node").select("node", "n", "hashes", "key", "spread")
+    tiles = able.join(meeting, "node").select("node", "n", F.col("payload").alias("hashes"), "key", "spread")
     dealt = tiles.repartition("key", "spread").sortWithinPartitions("key", "spread", "n")
     dealt = dealt.select(F.xxhash64("key", "spread").alias("key"), "node", "hashes")
     near = stage(dealt.mapInArrow(partial(_tiles, rows=2 * tile_rows), "u bigint, v bigint"), "tile-links")
@@ -514,7 +534,23 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, tile_rows: int = TIL
 
 
 def keep_one_per_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is that of their component; null ids stay."""
-    kept = jaccard_components(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    known = docs.filter(F.col("doc_id").isNotNull())
-    return known.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").unionByName(docs.filter(F.col("doc_id").isNull()))
+    """The rows of ``docs`` whose id is that of their component, with all their columns.
+
+    A document is its id: of rows that share one the largest text stays, then the greater one. Rows without an id can't be told
+    apart by it and all stay. Columns of any name pass; an empty table gives an empty one.
+    """
+    kept = jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("id"))
+    # Ids of several rows are few, and only their rows are compared.
+    several = stage(ids.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1 AND id IS NOT NULL").select("id"), "repeated-ids")
+    own = docs.filter(F.col("doc_id").isNotNull())
+    own = own.alias("d").join(kept.alias("k"), F.col("d.doc_id").cast("bigint") == F.col("k.doc_id"), "left_semi")
+    if not several.isEmpty():
+        same = F.col("d.doc_id").cast("bigint") == F.col("s.id")
+        rows = own.alias("d").join(several.alias("s"), same, "left_semi")
+        size = F.struct(F.length(F.coalesce("text", F.lit(""))), F.coalesce("text", F.lit("")))
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        first = rows.select(F.col("doc_id").cast("bigint").alias("id"), size.alias("size"), row.alias("row")).groupBy("id").agg(F.max_by("row", "size").alias("row"))
+        one = first.select([F.col("row").getField(c).alias(c) for c in docs.columns])
+        own = own.alias("d").join(several.alias("s"), same, "left_anti").unionByName(one)
+    return own.unionByName(docs.filter(F.col("doc_id").isNull()))
