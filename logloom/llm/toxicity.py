@@ -20,6 +20,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import chain as chained
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.llm.memory import Memo, at_work, slices
+
 SAMPLE_ROWS = 6000
 FOLDS = 3
 DIMENSIONS = 1 << 20
@@ -37,7 +40,9 @@ BEGINNINGS = (4, 5, 6, 7, 9)
 THRESHOLD = 0.3
 # A feature counts from this z score on; what is less telling would only add noise to long texts.
 LEAST_Z = 5.0
-MEMO_WORDS = 500_000
+# Bytes of runs that a worker remembers, and of text that is scored together.
+MEMO_BYTES = 96 << 20
+STEP_BYTES = 2 << 20
 
 _MARKS = re.compile(r"[^\w\s]{2,}")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -47,28 +52,28 @@ class Features:
     """Hashed features of texts; what a run of characters gives is remembered."""
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = Memo(MEMO_BYTES)
 
-    def _of(self, run: str) -> tuple[int, ...]:
+    @staticmethod
+    def _of(run: str) -> tuple[int, ...]:
         words, low = _WORD.findall(run), run.lower()
         names = {f"{n}:{w[:n]}" for w in _WORD.findall(low) for n in BEGINNINGS if len(w) >= n}
         names |= {f"mark:{x[:3]}" for x in _MARKS.findall(run)} | {"capitals" for w in words if len(w) > 1 and w.isupper()}
-        ids = {zlib.crc32(x.encode()) % DIMENSIONS for x in names}
-        if len(self.known) >= MEMO_WORDS:
-            self.known.clear()
-        self.known[run] = found = tuple(ids)
+        return tuple(zlib.crc32(x.encode()) % DIMENSIONS for x in names)
+
+    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Per text its features, and for those of two or more different runs a second one."""
+        runs = [set((x or "").split()) for x in texts]
+        for run in self.known.missing(set().union(*runs)):
+            ids = self._of(run)
+            self.known.put(run, ids, 36 * len(ids))
+        young, found = self.known.young, []
+        for own in runs:
+            ids, counts = np.unique(np.fromiter(chained.from_iterable(map(young.__getitem__, own)), np.int64), return_counts=True)
+            found.append(np.unique(np.concatenate([ids, ids[counts > 1] * AGAIN % DIMENSIONS])).astype(np.int32))
+        self.known.settle()
         return found
 
-    def ids(self, text: str | None) -> np.ndarray:
-        """Features of the text, and for those of two or more different runs a second one."""
-        known = self.known
-        found: list[int] = []
-        for run in set((text or "").split()):
-            ids = known.get(run)
-            found += self._of(run) if ids is None else ids
-        ids, counts = np.unique(np.array(found, np.int64), return_counts=True)
-        return np.unique(np.concatenate([ids, ids[counts > 1] * AGAIN % DIMENSIONS])).astype(np.int32)
-
 
 @dataclass
 class Rows:
@@ -186,10 +191,15 @@ def predict_chain(chain: list[Linear], rows: Rows) -> np.ndarray:
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    features = Features()
-    for batch in batches:
-        ids = pa.array([features.ids(x) for x in batch.column("text").to_pylist()], pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("targets"), ids], ["doc_id", "targets", "ids"])
+    with at_work(Features) as features:
+        yield from _gather_with(features, batches)
+
+
+def _gather_with(features: Features, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in slices(whole, "text", STEP_BYTES):
+            ids = pa.array(features.ids(batch.column("text").to_pylist()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("targets"), ids], ["doc_id", "targets", "ids"])
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, categories: list, sample_rows: int = SAMPLE_ROWS, folds: int = FOLDS) -> list[Linear]:
@@ -210,23 +220,24 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: list, sample_row
     return fit_chain(Rows.of(ids), values, folds)
 
 
-def _scores(features: Features, chain: list[Linear], batch: pa.RecordBatch) -> np.ndarray:
-    return predict_chain(chain, Rows.of([features.ids(x) for x in batch.column("text").to_pylist()]))
+def _scored(batches: Iterator[pa.RecordBatch], chain: Broadcast) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Slices of the batches, and the probabilities of their rows."""
+    with at_work(Features) as features:
+        for whole in batches:
+            for batch in slices(whole, "text", STEP_BYTES):
+                yield batch, predict_chain(chain.value, Rows.of(features.ids(batch.column("text").to_pylist())))
 
 
 def _score(batches: Iterator[pa.RecordBatch], chain: Broadcast, names: list[str], threshold: float) -> Iterator[pa.RecordBatch]:
-    features = Features()
-    for batch in batches:
-        found = _scores(features, chain.value, batch)
+    for batch, found in _scored(batches, chain):
         columns = [pa.array(found[:, k]) for k in range(len(names))]
         verdict = pa.array(found[:, -1] >= threshold)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, verdict], ["doc_id", *names, "toxic"])
 
 
 def _drop(batches: Iterator[pa.RecordBatch], chain: Broadcast, threshold: float) -> Iterator[pa.RecordBatch]:
-    features = Features()
-    for batch in batches:
-        yield batch.filter(pa.array(_scores(features, chain.value, batch)[:, -1] < threshold))
+    for batch, found in _scored(batches, chain):
+        yield batch.filter(pa.array(found[:, -1] < threshold))
 
 
 def _categories() -> list:
