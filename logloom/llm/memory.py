@@ -67,7 +67,7 @@ class Memo:
     # Bytes of Python objects that an entry needs besides its name and value, about.
     ENTRY = 240
     # So many names stay over a rest.
-    RESTING = 60_000
+    RESTING = 150_000
 
     def __init__(self, most: int):
         self.most, self.used = most // 2, 0

@@ -40,7 +40,7 @@ from logloom.session import stage
 CAPACITY = 1024
 END = 2
 # Bytes of chunks that a worker remembers, and the longest one; bytes of text that are encoded together.
-MEMO_BYTES = 112 << 20
+MEMO_BYTES = 208 << 20
 MEMO_CHARS = 48
 STEP_BYTES = 2 << 20
 # Chunks that are given to the tokenizer together.
