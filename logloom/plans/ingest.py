@@ -14,9 +14,9 @@ from logloom.operators.parse import structured
 from logloom.operators.templates import current_dictionary
 from logloom.plans.structure import structure
 from logloom.session import broadcast_if_small, stage
-from logloom.sources.ledger import latest, plan_ingest, read_ledger, record
-from logloom.sources.lines import TextSource
-from logloom.sources.tables import read_events, read_or_none, write_events
+from logloom.sources.ledger import latest, plan_ingest, read_ledger, record, unchanged
+from logloom.sources.lines import TextSource, list_files
+from logloom.sources.tables import drop_sources, read_events, read_or_none, write_events
 
 
 def ingest(
@@ -31,28 +31,48 @@ def ingest(
 ) -> DataFrame:
     """Bring ``out`` (events, dictionary, ledger) up to date with the files below ``raw``.
 
-    Returns the decision per source. Safe to run again after a failure at any point: events
+    Returns the decision per source. A file of the length and time of its last ingest is not read at all;
+    the others are read once for their fingerprint, and new or changed ones a second time. Safe to run again after a failure at any point: events
     are replaced per source, known templates keep their ids, the ledger is written after the
-    events, and whatever it holds and is still in ``raw`` is archived, now or by the next run.
+    events, and whatever it holds and is still in ``raw`` is archived, now or by the next run. A file of no bytes counts as absent.
     """
-    files = TextSource(spark, raw, sources=sources)
-    present = stage(files.fingerprints(), "present")
+    listed = list_files(spark, raw)
+    if sources is not None:
+        listed = listed.join(broadcast_if_small(spark.createDataFrame([(s,) for s in sources], "source string")), "source", "left_semi")
+    listed = stage(listed, "listed")
+    known = stage(latest(read_ledger(spark, f"{out}/ledger")), "known")
+    quiet = stage(unchanged(listed, known), "unchanged")
+    # File names only, as any listing brings them to the driver.
+    to_read = {row["source"] for row in listed.join(quiet, "source", "left_anti").select("source").toLocalIterator()}
+
+    def files_of(names: set[str]) -> TextSource:
+        if sources is None and len(names) == listed.count():
+            return TextSource(spark, raw)
+        order = sources or [row["source"] for row in listed.select("source").orderBy("source").toLocalIterator()]
+        return TextSource(spark, raw, sources=[name for name in order if name in names])
+
+    present, files = quiet, None
+    if to_read:
+        files = files_of(to_read)
+        present = quiet.unionByName(files.fingerprints().select("source", "fingerprint"))
+    present = stage(present, "present")
     wanted = present.select("source")
     if sources is not None:
         wanted = spark.createDataFrame([(s,) for s in sources], "source string")
-    known = latest(read_ledger(spark, f"{out}/ledger"))
     plan = stage(plan_ingest(wanted, present, known), "plan")
     todo = plan.filter(F.col("decision").isin("parse", "reparse")).select("source", "fingerprint")
     done = plan.filter(F.col("decision").isin("parse", "reparse", "skip")).select("source")
-    if todo.isEmpty():
+    # Read again and found the same: from now on known by their new time.
+    touched = plan.filter("decision = 'skip'").join(quiet, "source", "left_anti").join(listed, "source")
+    if not touched.isEmpty():
+        record(touched.withColumns({"num_lines": F.col("known_lines"), "num_templates": F.col("known_templates")}), f"{out}/ledger")
+    names = {row["source"] for row in todo.select("source").toLocalIterator()}
+    if not names:
         if archive is not None:
             archive_files(spark, raw, archive, done)
         return plan
-    # File names only, as any listing brings them to the driver.
-    names = {row["source"] for row in todo.select("source").collect()}
-    if len(names) < present.count():
-        order = sources or [row["source"] for row in present.select("source").orderBy("source").collect()]
-        files = TextSource(spark, raw, sources=[name for name in order if name in names])
+    if names != to_read:
+        files = files_of(names)
     dictionary = read_or_none(spark, f"{out}/dictionary")
     if dictionary is not None:
         dictionary = current_dictionary(dictionary)
@@ -64,10 +84,14 @@ def ingest(
     # stops after this line loses nothing.
     new.write.mode("append").parquet(f"{out}/dictionary")
     write_events(structured(result.events, fmt), f"{out}/events")
+    # What is left without a line that is not blank has no rows to replace the old ones.
+    drop_sources(spark, f"{out}/events", todo.join(result.events.select("source").distinct(), "source", "left_anti"))
     sizes = read_events(spark, f"{out}/events").join(broadcast_if_small(todo), "source").groupBy("source", "fingerprint").agg(
         F.count("*").alias("num_lines"), F.count_distinct("EventId").alias("num_templates")
     )
-    record(sizes, f"{out}/ledger")
+    # A source without events is known as well.
+    sizes = todo.join(sizes.drop("fingerprint"), "source", "left").na.fill(0, subset=["num_lines", "num_templates"])
+    record(sizes.join(listed, "source"), f"{out}/ledger")
     if archive is not None:
         archive_files(spark, raw, archive, done)
     return plan

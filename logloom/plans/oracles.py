@@ -338,6 +338,60 @@ _add(
     f"RECURSIVE {VM_PARSED},{SIGNED},{MINED}",
     "SELECT event_no, 'E' || event_no AS EventId, EventTemplate, Occurrences FROM groups JOIN texts USING (leader_seen)",
 )
+# Mining on top of a dictionary: the first two sources give it (MINED over their lines), then all lines come.
+GROWN = f"""{MINED.replace("FROM signed", "FROM (FROM signed WHERE source_order < 3)")},
+known AS (
+  SELECT g.event_no, g.leader_seen, l.signature, l.tokens, l.n_tokens, l.head, t.EventTemplate
+  FROM groups g JOIN led l ON l.seen_at = g.leader_seen JOIN texts t ON t.leader_seen = g.leader_seen),
+signatures_2 AS (SELECT signature, count(*) AS lines, min(seen_at) AS seen_at FROM signed GROUP BY signature),
+split_2 AS (SELECT *, CASE WHEN signature = '' THEN [] ELSE string_split(signature, ' ') END AS tokens FROM signatures_2),
+wild_2 AS (
+  SELECT *, len(tokens) AS n_tokens, CASE WHEN regexp_matches(tokens[1], '\\d') THEN '<*>' ELSE tokens[1] END AS head FROM split_2),
+kept_2 AS (
+  SELECT n_tokens, head FROM (
+    SELECT n_tokens, head, 0 AS late, event_no AS place FROM known UNION ALL SELECT n_tokens, head, 1, seen_at FROM wild_2)
+  WHERE head != '<*>' GROUP BY n_tokens, head
+  QUALIFY row_number() OVER (PARTITION BY n_tokens ORDER BY min(late), min(place)) <= 99),
+leafed_2 AS (
+  SELECT w.* REPLACE (coalesce(k.head, '<*>') AS head) FROM wild_2 w LEFT JOIN kept_2 k ON w.n_tokens = k.n_tokens AND w.head = k.head),
+scored_2 AS (
+  SELECT s.signature, s.tokens, s.lines, s.seen_at, k.event_no,
+    CASE WHEN s.signature = k.signature THEN s.n_tokens + 1 ELSE {_hits('s.tokens', 'k.tokens')} END AS hits, s.n_tokens
+  FROM leafed_2 s JOIN known k ON s.n_tokens = k.n_tokens AND s.head = k.head),
+matched AS (
+  SELECT * FROM scored_2 WHERE hits > n_tokens OR hits / greatest(n_tokens, 1) >= 0.4
+  QUALIFY row_number() OVER (PARTITION BY signature ORDER BY hits DESC, event_no) = 1),
+open_2 AS (
+  SELECT *, row_number() OVER (PARTITION BY n_tokens, head ORDER BY seen_at) AS i FROM leafed_2 WHERE signature NOT IN (SELECT signature FROM matched)),
+walk_2 AS (
+  SELECT n_tokens, head, i, seen_at, true AS leads, [tokens] AS leaders FROM open_2 WHERE i = 1
+  UNION ALL
+  SELECT n_tokens, head, i, seen_at, NOT covered, CASE WHEN covered THEN leaders ELSE list_append(leaders, tokens) END
+  FROM (
+    SELECT l.*, w.leaders, len(list_filter(w.leaders, lambda x: {_hits('x', 'l.tokens')} / greatest(len(x), 1) >= 0.4)) > 0 AS covered
+    FROM walk_2 w JOIN open_2 l ON l.n_tokens = w.n_tokens AND l.head = w.head AND l.i = w.i + 1)),
+led_2 AS (SELECT l.* FROM open_2 l JOIN walk_2 w USING (seen_at) WHERE leads),
+chosen_2 AS (
+  SELECT s.signature, s.tokens, s.lines, s.seen_at, l.seen_at AS leader_seen
+  FROM open_2 s JOIN led_2 l ON s.n_tokens = l.n_tokens AND s.head = l.head
+  QUALIFY row_number() OVER (PARTITION BY s.signature
+    ORDER BY CASE WHEN s.signature = l.signature THEN 1000000 ELSE {_hits('s.tokens', 'l.tokens')} END DESC, l.seen_at) = 1),
+groups_2 AS (
+  SELECT leader_seen, row_number() OVER (ORDER BY min(seen_at)) + (SELECT max(event_no) FROM known) AS event_no FROM chosen_2 GROUP BY leader_seen),
+members AS (
+  SELECT event_no, tokens, lines FROM matched
+  UNION ALL SELECT event_no, tokens, lines FROM chosen_2 JOIN groups_2 USING (leader_seen)
+  UNION ALL SELECT event_no, CASE WHEN EventTemplate = '' THEN [] ELSE string_split(EventTemplate, ' ') END, 0 FROM known),
+positions_2 AS (
+  SELECT event_no, pos, CASE WHEN min(token) = max(token) THEN min(token) ELSE '<*>' END AS token
+  FROM (SELECT event_no, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM members) GROUP BY ALL),
+texts_2 AS (SELECT event_no, string_agg(token, ' ' ORDER BY pos) AS EventTemplate FROM positions_2 GROUP BY event_no)"""
+_add(
+    "template_increment",
+    f"RECURSIVE {VM_PARSED},{SIGNED},{GROWN}",
+    "SELECT event_no, 'E' || event_no AS EventId, coalesce(EventTemplate, '') AS EventTemplate, sum(lines)::BIGINT AS Occurrences "
+    "FROM members LEFT JOIN texts_2 USING (event_no) GROUP BY ALL",
+)
 _add("template_table_exact", VM_EVENTS, "SELECT event_no, EventId, EventTemplate, Occurrences FROM templates")
 _add("line_events", VM_EVENTS, "SELECT LineId, EventId, EventTemplate FROM structured")
 
@@ -525,7 +579,7 @@ grid AS (
   SELECT e.o, e.l, v.no, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT o, l FROM counts) e CROSS JOIN (SELECT DISTINCT no FROM counts) v
   LEFT JOIN counts c ON c.o = e.o AND c.l = e.l AND c.no = v.no),
 pairs AS (SELECT a.no AS i, b.no AS j, corr(a.n, b.n) AS r FROM grid a JOIN grid b ON a.o = b.o AND a.l = b.l AND a.no < b.no GROUP BY ALL)""",
-    "SELECT 'E' || i AS event_a, 'E' || j AS event_b, round(r, 6) AS r FROM pairs WHERE abs(r) > 0.4",
+    "SELECT 'E' || i AS event_a, 'E' || j AS event_b, round(r, 6) AS r FROM pairs WHERE abs(r) > 0.05",
 )
 _add(
     "feature_summary",
@@ -576,10 +630,16 @@ _add(
 )
 
 # Streaming
+# The same lines as files of 4000, which come in the order of their names.
+PARTS = f"""{BLOCK.replace("rendered AS", "whole AS")},
+rendered AS (
+  SELECT value, part, 'part=' || part AS source, dense_rank() OVER (ORDER BY 'part=' || part) AS source_order, LineId - part * 4000 AS LineId
+  FROM (SELECT *, (LineId - 1) // 4000 AS part FROM whole))"""
 _add(
     "stream_ingest",
-    f"{BLOCK_PARSED},{SIGNED}",
-    f"SELECT is_parsed, {_block_fields}, BlockId, signature, (LineId - 1) // 4000 AS part FROM signed",
+    f"RECURSIVE {PARTS},{_parsed(BLOCK_LOG)},{SIGNED},{MINED}",
+    f"SELECT LineId, {_block_fields}, BlockId, 'E' || event_no AS EventId, EventTemplate, substr(source, 6)::BIGINT AS part "
+    "FROM signed JOIN chosen USING (signature) JOIN groups USING (leader_seen) JOIN texts USING (leader_seen)",
 )
 _add(
     "stream_counts",

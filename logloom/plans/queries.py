@@ -23,6 +23,7 @@ from logloom.session import new_dir, stage
 from logloom.sources import ledger, samples
 from logloom.sources.labels import label_ids
 from logloom.sources.lines import clean_lines, fingerprints, read_lines
+from logloom.sources.tables import read_events
 from logloom.streaming import ingest as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -522,7 +523,7 @@ def strong_correlations(spark: SparkSession, sf: str) -> DataFrame:
         F.explode(F.array(halves, F.concat(F.lit("E"), (F.col("l_linenumber") + 2).cast("string")))).alias("event_id"),
     )
     counts = stage(facts.groupBy("entity_id", "event_id").agg(F.count("*").alias("n")), "counts")
-    found = profile.strong_correlations(counts, 0.4)
+    found = profile.strong_correlations(counts, 0.05)
     return _rounded(found.select("event_a", "event_b", "r"), "r")
 
 
@@ -628,10 +629,11 @@ def _stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    out = new_dir(spark, "stream-events")
-    streams.ingest_stream(_stream(spark, sf), out, new_dir(spark, "stream-state")).awaitTermination()
-    part = F.regexp_extract("source", r"^part=(\d+)/", 1).cast("bigint")
-    return spark.read.parquet(out).withColumn("part", part).drop("source")
+    out = new_dir(spark, "stream")
+    folder, state = _line_files(spark, sf), new_dir(spark, "stream-state")
+    streams.ingest_log_stream(spark, BLOCK_LOG, folder, out, state, pattern="*.txt", files_per_batch=64).awaitTermination()
+    part = F.regexp_extract("source", r"part=(\d+)", 1).cast("bigint")
+    return read_events(spark, f"{out}/events").withColumn("part", part).drop("source")
 
 
 @query

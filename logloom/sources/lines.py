@@ -65,29 +65,45 @@ def fingerprints(lines: DataFrame) -> DataFrame:
     return sums.select("source", "num_lines", _mark(F.col("plain"), F.col("placed")))
 
 
-class TextSource:
-    """Text files below a folder, measured once.
+def source_name(path: Column, root: str) -> Column:
+    """The name of a file below ``root``; Spark gives paths with some characters escaped."""
+    plain = F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    return F.substring_index(plain, root.rstrip("/") + "/", -1)
+
+
+def scanned(lines: DataFrame) -> DataFrame:
+    """value, path and split of a text scan; of a stream, of its micro-batches."""
+    return lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        F.col("_metadata.file_block_length").alias("split_length"),
+    )
 
-    ``sources`` picks files by their path below ``root`` and sets their order; absent ones are
-    skipped and other files are not read. By default all files count, in name order.
+
+def list_files(spark: SparkSession, root: str, pattern: str = "*", racy_seconds: int = 2) -> DataFrame:
+    """(source, length, modified_at) of the files below ``root``; no content is read.
+
+    The time is NULL where the file changed within the last ``racy_seconds``: another change could leave it as it is.
     """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    settled = F.col("modificationTime") < F.current_timestamp() - F.make_dt_interval(secs=F.lit(racy_seconds).cast("decimal(18,6)"))
+    return files.select(
+        source_name(F.col("_metadata.file_path"), root).alias("source"),
+        "length",
+        F.when(settled, F.col("modificationTime")).alias("modified_at"),
+    )
 
-    def __init__(self, spark: SparkSession, root: str, pattern: str = "*", sources: list[str] | None = None):
-        self._folder = folder = root.rstrip("/") + "/"
-        files = (
-            spark.read.option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", pattern)
-            .text(root)
-            .select(
-                "value",
-                F.col("_metadata.file_path").alias("path"),
-                F.col("_metadata.file_block_start").alias("split_start"),
-                F.col("_metadata.file_block_length").alias("split_length"),
-            )
-        )
-        if sources is not None:
-            # A filter on the path alone is settled while files are listed.
-            files = files.filter(F.substring_index("path", folder, -1).isin(sources))
+
+class NumberedScan:
+    """The lines of a text scan (``scanned``) over files below ``root``, measured once.
+
+    ``sources`` sets the order of files; by default it is that of their names.
+    """
+
+    def __init__(self, files: DataFrame, root: str, sources: list[str] | None = None):
+        spark = files.sparkSession
+        self._root = root
         self._scan = files.withColumn("row_id", F.monotonically_increasing_id())
         place = F.col("row_id").bitwiseAND(F.lit(ROW_MASK))
         digest = line_hash(F.col("value"))
@@ -97,7 +113,7 @@ class TextSource:
             F.sum(digest).cast(_BIG).alias("plain"),
             F.sum((digest * place).cast(_BIG)).cast(_BIG).alias("placed"),
         )
-        measured = measured.withColumn("source", F.substring_index("path", folder, -1))
+        measured = measured.withColumn("source", source_name(F.col("path"), root))
         before = W.partitionBy("path").orderBy("split_start").rowsBetween(W.unboundedPreceding, -1)
         self._splits = stage(measured, "splits").withColumn(
             "lines_before", F.coalesce(F.sum("n").over(before), F.lit(0))
@@ -152,7 +168,7 @@ class TextSource:
         line_id = place["shift"] + F.col("row_id")
         return numbered.select(
             "value",
-            F.substring_index("path", self._folder, -1).alias("source"),
+            source_name(F.col("path"), self._root).alias("source"),
             place["source_order"].alias("source_order"),
             # A scan planned with other split sizes than the first pass must fail, not miscount.
             F.when(place.isNotNull(), line_id)
@@ -162,6 +178,21 @@ class TextSource:
         )
 
 
+class TextSource(NumberedScan):
+    """Text files below a folder, measured once.
+
+    ``sources`` picks files by their path below ``root`` and sets their order; absent ones are
+    skipped and other files are not read. By default all files count, in name order.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, pattern: str = "*", sources: list[str] | None = None):
+        files = scanned(spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root))
+        if sources is not None:
+            # A filter on the path alone is settled while files are listed.
+            files = files.filter(source_name(F.col("path"), root).isin(sources))
+        super().__init__(files, root, sources)
+
+
 def read_lines(spark: SparkSession, root: str, pattern: str = "*", sources: list[str] | None = None) -> DataFrame:
     """The numbered lines of a ``TextSource``."""
     return TextSource(spark, root, pattern, sources).lines()

@@ -20,6 +20,15 @@ def write_events(events: DataFrame, path: str) -> None:
     events.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(path)
 
 
+def drop_sources(spark: SparkSession, path: str, sources: DataFrame) -> None:
+    """Remove the partitions of ``sources`` (source) from the structured events."""
+    rows = spark.read.parquet(path).select("source", F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
+    folders = rows.join(sources.select("source"), "source", "left_semi").select("folder").distinct()
+    for row in folders.toLocalIterator():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["folder"]))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_events(spark: SparkSession, path: str, sources: list[str] | None = None) -> DataFrame:
     """Structured events; ``sources`` prunes to those partitions, absent ones are skipped."""
     events = spark.read.parquet(path)

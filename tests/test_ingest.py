@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,9 +83,75 @@ def test_ledger_edges(spark, tmp_path):
     assert [r.source for r in ledger.latest(ledger.read_ledger(spark, path)).collect()] == ["a"]
 
 
+def test_damaged_ledger_forgets_what_it_lost(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    schema = "source string, fingerprint string, num_lines int, num_templates int"
+    for name in "abc":
+        ledger.record(spark.createDataFrame([(name, "1", 3, 1)], schema), path)
+    before = set((tmp_path / "ledger").glob("part-*.parquet"))
+    ledger.record(spark.createDataFrame([("a", "2", 5, 1)], schema), path)
+    ledger.clear(spark, path, "c")
+    assert {r.source: r.fingerprint for r in ledger.latest(ledger.read_ledger(spark, path)).collect()} == {"a": "2", "b": "1"}
+    # The newest row of a and the one that clears c are damaged: older rows of both must not come back.
+    for part in set((tmp_path / "ledger").glob("part-*.parquet")) - before:
+        part.write_bytes(b"PAR1 damaged")
+    assert {(r.source, r.cleared) for r in ledger.lost_rows(spark, path).collect()} == {("a", False), ("c", True)}
+    assert [r.source for r in ledger.latest(ledger.read_ledger(spark, path)).collect()] == ["b"]
+    ledger.record(spark.createDataFrame([("a", "2", 5, 1)], schema), path)
+    assert {r.source: r.fingerprint for r in ledger.latest(ledger.read_ledger(spark, path)).collect()} == {"a": "2", "b": "1"}
+    # All files gone: nothing is known, and every row is named.
+    for part in (tmp_path / "ledger").glob("part-*.parquet"):
+        part.unlink()
+    assert ledger.latest(ledger.read_ledger(spark, path)).isEmpty()
+    assert ledger.lost_rows(spark, path).select("source").distinct().count() == 3
+
+
+def test_unchanged_files_are_not_read(spark, tmp_path, monkeypatch):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    _log(raw, "a.log", RECEIVE, DELETE)
+    _log(raw, "b.log", DELETE)
+    for name in ("a.log", "b.log"):
+        os.utime(raw / name, (1_700_000_000, 1_700_000_000))
+    assert _decisions(jobs.ingest(spark, BLOCK_LOG, str(raw), out)) == {"a.log": "parse", "b.log": "parse"}
+    once = _events(spark, out)
+    read = []
+
+    class Watched(jobs.TextSource):
+        def __init__(self, spark, root, pattern="*", sources=None):
+            read.append(sources)
+            super().__init__(spark, root, pattern, sources)
+
+    monkeypatch.setattr(jobs, "TextSource", Watched)
+    # Nothing changed: no text is scanned at all.
+    assert _decisions(jobs.ingest(spark, BLOCK_LOG, str(raw), out)) == {"a.log": "skip", "b.log": "skip"}
+    assert read == [] and _events(spark, out) == once
+    # Same content under a new time: read once, known by the new time from then on.
+    os.utime(raw / "b.log", (1_700_000_100, 1_700_000_100))
+    assert _decisions(jobs.ingest(spark, BLOCK_LOG, str(raw), out)) == {"a.log": "skip", "b.log": "skip"}
+    assert read == [["b.log"]]
+    assert _decisions(jobs.ingest(spark, BLOCK_LOG, str(raw), out)) == {"a.log": "skip", "b.log": "skip"}
+    assert read == [["b.log"]] and _events(spark, out) == once
+    # A file that changed just now has no trusted time, whatever its length.
+    (raw / "b.log").write_text((raw / "b.log").read_text().replace("Deleting", "Removing"))
+    assert _decisions(jobs.ingest(spark, BLOCK_LOG, str(raw), out)) == {"a.log": "skip", "b.log": "reparse"}
+    assert [r[3] for r in _events(spark, out) if r[0] == "b.log"] == ["Removing block <BLOCK>"]
+
+
+def test_blanked_file_loses_its_events(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    _log(raw, "a b%.log", RECEIVE)
+    _log(raw, "b.log", DELETE)
+    jobs.ingest(spark, BLOCK_LOG, str(raw), out)
+    (raw / "a b%.log").write_text("\n \n")
+    plan = jobs.ingest(spark, BLOCK_LOG, str(raw), out)
+    assert _decisions(plan) == {"a b%.log": "reparse", "b.log": "skip"}
+    assert [r[0] for r in _events(spark, out)] == ["b.log"]
+    assert _decisions(jobs.ingest(spark, BLOCK_LOG, str(raw), out)) == {"a b%.log": "skip", "b.log": "skip"}
+
+
 def test_json_ledger(spark, tmp_path):
     path = tmp_path / "state.json"
-    path.write_text('{"X.log": {"file_hash": "ab", "last_parsed": "2025-11-30T19:59:52.577381", "num_lines": 7, "num_templates": 2}}')
+    path.write_text('{"X.log": {"file_hash": "ab", "last_parsed": "2024-03-05T06:07:08.900000", "num_lines": 7, "num_templates": 2}}')
     (row,) = ledger.latest(ledger.read_json_ledger(spark, str(path))).collect()
     assert (row.source, row.fingerprint, row.num_lines, row.num_templates) == ("X.log", "ab", 7, 2)
 

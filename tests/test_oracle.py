@@ -10,7 +10,6 @@ from logloom.plans.queries import QUERIES
 
 # Iterative jobs without a SQL form; they have tests of their own.
 ROWS_ONLY = {
-    "template_increment",
     "cv_logistic",
     "cv_forest",
     "cv_scores",
