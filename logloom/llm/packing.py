@@ -24,7 +24,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +34,15 @@ from pyspark.sql.window import Window as W
 from tokenizers import Tokenizer
 
 from logloom.llm.byte_bpe import cut, single_spaced
-from logloom.llm.memory import Memo, at_work, slices
+from logloom.llm.memory import slices, tool
 from logloom.session import stage
 
 CAPACITY = 1024
 END = 2
-# Bytes of chunks that a worker remembers, and the longest one; bytes of text that are encoded together.
-MEMO_BYTES = 208 << 20
+# Chunks of text that a worker remembers, and their longest; bytes of text that are encoded together.
+MEMO_CHUNKS = 1_000_000
 MEMO_CHARS = 48
-STEP_BYTES = 2 << 20
-# Chunks that are given to the tokenizer together.
-CODED = 2048
+STEP_BYTES = 1 << 20
 # Pieces of a length per bucket in which ranks are counted, about.
 BUCKET_ROWS = 8192
 
@@ -59,59 +57,46 @@ class Encoder:
     between letters and a mark as well, so a known word with a mark behind it is not encoded again.
     """
 
-    def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         # Chunks that start with a space, without it; and others.
-        self.words, self.chunks = Memo(memo_bytes * 3 // 4), Memo(memo_bytes // 4)
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
         cut_apart = self.tokenizer.pre_tokenizer.pre_tokenize_str if self.tokenizer.pre_tokenizer else None
         apart = [x for x in ".,;:!?)" if cut_apart and len(cut_apart(" ab" + x)) == 2]
         self.marks = dict(zip(apart, self._code(apart)))
 
-    def _code(self, texts: list[str]) -> Iterator[bytes]:
-        # What the library returns for a text is large, so few of them are held at a time.
-        for at in range(0, len(texts), CODED):
-            for coded in self.tokenizer.encode_batch_fast(texts[at : at + CODED], add_special_tokens=False):
-                yield array("I", coded.ids).tobytes()
-
-    def _learn(self, memo: Memo, names: set[str], spaced: str) -> list[str]:
-        marked, plain = [], []
-        for name in memo.missing(names):
-            (marked if name[-1:] in self.marks and name[:-1].isalpha() else plain).append(name)
-        bases = {x[:-1] for x in marked}
-        plain += memo.missing(bases).difference(plain)
-        for name, ids in zip(plain, self._code([spaced + x for x in plain])):
-            memo.put(name, ids, len(ids))
-        for name in marked:
-            ids = memo.young[name[:-1]] + self.marks[name[-1]]
-            memo.put(name, ids, len(ids))
-        return plain + marked
-
-    @staticmethod
-    def _settle(memo: Memo, learned: list[str]) -> None:
-        """Long names do not come again."""
-        for name in learned:
+    def _code(self, texts: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [array("I", x.ids).tobytes() for x in coded]
+
+    def _join(self, known: dict[str, bytes], parts: list[list[str]], spaced: str = "") -> list[bytes]:
+        if len(known) >= MEMO_CHUNKS:
+            # The younger half stays: a dict keeps the order in which names came.
+            kept = dict(islice(known.items(), MEMO_CHUNKS // 2, None))
+            known.clear()
+            known.update(kept)
+        missing = set().union(*[set(chunks).difference(known) for chunks in parts])
+        marked = [x for x in missing if x[-1:] in self.marks and x[:-1].isalpha()]
+        names = list(missing.difference(marked) | {x[:-1] for x in marked}.difference(known))
+        known.update(zip(names, self._code([spaced + x for x in names])))
+        known.update([(x, known[x[:-1]] + self.marks[x[-1]]) for x in marked])
+        joined = [b"".join(map(known.__getitem__, chunks)) for chunks in parts]
+        for name in missing:
             if len(name) > MEMO_CHARS:
-                memo.drop(name, len(memo.young[name]))
-        memo.settle()
+                del known[name]
+        return joined
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[tuple[list[str], list[str]]] = []
-        for text in texts:
-            if single_spaced(text):
-                first, *rest = text.split(" ")
-                split.append(([first], rest))
-            else:
-                split.append((cut(text), []))
-        words, chunks = set().union(*[x[1] for x in split]), set().union(*[x[0] for x in split])
-        new_words, new_chunks = self._learn(self.words, words, " "), self._learn(self.chunks, chunks, "")
-        # Small tables of what these texts hold stay in the cache of the processor.
-        of_word = dict(zip(words, map(self.words.young.__getitem__, words))).__getitem__
-        of_chunk = dict(zip(chunks, map(self.chunks.young.__getitem__, chunks))).__getitem__
-        found = [b"".join(chain(map(of_chunk, x[0]), map(of_word, x[1]))) for x in split]
-        self._settle(self.words, new_words)
-        self._settle(self.chunks, new_chunks)
-        return found
+        plain = [i for i, text in enumerate(texts) if not single_spaced(text)]
+        others = sorted(set(range(len(texts))).difference(plain))
+        split = [texts[i].split(" ") for i in others]
+        firsts = self._join(self.chunks, [x[:1] for x in split])
+        rests = self._join(self.words, [x[1:] for x in split], " ")
+        done = dict(zip(others, map(bytes.__add__, firsts, rests)))
+        done |= zip(plain, self._join(self.chunks, [cut(texts[i]) for i in plain]))
+        return [done[i] for i in range(len(texts))]
 
 
 def pieces_of(tokens: int, capacity: int) -> list[tuple[int, int]]:
@@ -124,11 +109,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: int,
     closing = struct.pack("<I", end)
     names = [x.split()[0] for x in _PIECES.split(", ")] + ["ids"] * with_ids
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    with at_work(Encoder, path) as coder:
-        yield from _cut_with(coder, batches, closing, capacity, names, kinds)
-
-
-def _cut_with(coder: Encoder, batches: Iterator[pa.RecordBatch], closing: bytes, capacity: int, names: list[str], kinds: tuple) -> Iterator[pa.RecordBatch]:
+    coder = tool(Encoder, path)
     for whole in batches:
         for batch in slices(whole, "text", STEP_BYTES):
             rows = []
