@@ -2,6 +2,9 @@
 
 ``STAGES`` are applied in order; every stage works on all rows that the one before it kept. All
 but the last return the columns of documents, so a stage's decisions show in what it keeps.
+
+Every stage takes any table with the columns of documents, further columns of any name included, and an empty one gives an
+empty one. Texts are read whole, however long.
 """
 
 from __future__ import annotations
@@ -22,27 +25,42 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain calls toxic go."""
+    """Documents that the classifier chain calls toxic go.
+
+    Null texts count as empty. Every row is judged by itself, repeated ones alike; without labelled documents all stay.
+    """
     return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one document stays."""
+    """Of equal texts one document stays: the longest original text, then the smallest id.
+
+    Null texts are equal to empty ones. Of rows that agree in id and text one stays; null ids come last.
+    """
     return keep_distinct(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays.
+
+    Texts without words (or null) link with nothing and stay. Of rows that share an id the largest text stays; rows without an id stay.
+    """
     return keep_one_per_group(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Credentials that look live are taken out of the texts; all documents stay."""
+    """Credentials that look live are taken out of the texts; all documents stay.
+
+    Null texts stay null. A null source is an owner of its own. Repeated rows repeat.
+    """
     return redact_live(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as token pieces in sequences."""
+    """The documents as token pieces in sequences.
+
+    A null text counts as empty and gives one piece, the end token. Every row is packed, repeated ones too.
+    """
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
