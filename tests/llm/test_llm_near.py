@@ -150,3 +150,16 @@ def test_components_of_paths_and_stars(spark):
     found = connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
     assert {r.node: r.component for r in found} == {**{i: 0 for i in range(31)}, **{x: 100 for x in range(100, 140)}}
     assert len(found) == 71
+
+
+def test_kept_rows_of_repeated_and_missing_ids(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [
+        (1, words, "a", 1, "k"), (2, words + " tail", "b", 2, "k"), (3, "other words stand here alone now", "c", 3, "k"), (3, "short", "d", 4, "k"),
+        (3, "other words stand here alone now", "e", 5, "k"), (None, words, "f", 6, "k"), (7, None, "g", 7, "k"), (8, "", "h", 8, "k"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, component_id string, row int, id string")
+    kept = keep_one_per_group(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0, r.row) for r in kept.collect())[1:] in ([(1, 1), (3, 3), (7, 7), (8, 8)], [(1, 1), (3, 5), (7, 7), (8, 8)])
+    assert keep_one_per_group(df.limit(0)).count() == 0
