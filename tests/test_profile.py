@@ -204,3 +204,28 @@ def test_matrix_of_25000_events(spark, tmp_path):
     assert sorted(found) == ["e0", "e1", "e2", "e3", "e4"]
     for i in range(5):
         assert found[f"e{i}"] == [(i + 1) if k % 5 == i else 0 for k in range(25000)] + [(i + 1) * 5000]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantity_counts_aggregate_parts_before_steps(spark):
+    from logloom.sources.samples import quantity_counts
+
+    rows = [(1, 1.0), (1, 5.0), (2, 50.0), (2, None), (None, 3.0), (3, 0.0)]
+    counts = quantity_counts(spark.createDataFrame(rows, "l_partkey int, l_quantity double"))
+    # Read from the top: the steps are listed above the aggregate, so a part is one group and not twelve.
+    plan = _plan(counts)
+    assert plan.index("Generate") < plan.index("HashAggregate") and "Generate" not in plan[plan.index("HashAggregate") :]
+    found = {(r.entity_id, r.event_id): r.n for r in counts.collect()}
+    want = {("p1", "E1"): 2, ("p1", "E2"): 1, ("p1", "E3"): 1, (None, "E1"): 1, (None, "E2"): 1}
+    assert found == want | {("p2", f"E{i}"): 1 for i in range(1, 12)}
+
+
+def test_matrix_density_does_not_deal_counts_by_event(spark):
+    counts = stage(spark.createDataFrame([("a", "E1", 2), ("b", "E1", 1), ("b", "E9", 1)], "entity_id string, event_id string, n bigint"), "test-counts")
+    events = spark.createDataFrame([("E1",), ("E2",), ("E1",)], "event_id string")
+    density = C.matrix_density(counts, events)
+    assert "SortMergeJoin" not in _plan(density)
+    assert tuple(density.first()) == (2, 2, 2, 50.0)
