@@ -120,7 +120,8 @@ def matrix_density(counts: DataFrame, events: DataFrame | None = None) -> DataFr
         cells = counts
         width = counts.agg(F.count_distinct("event_id")).scalar()
     else:
-        cells = counts.join(events, "event_id", "left_semi")
+        # Counts have few events for their rows: dealt by event, one task would sort an event's rows.
+        cells = counts.join(broadcast_if_small(events.select("event_id").distinct()), "event_id", "left_semi")
         width = events.agg(F.count_distinct("event_id")).scalar()
     sized = cells.agg(F.count("*").alias("nonzero")).select(entities.alias("entities"), width.alias("events"), "nonzero")
     share = F.try_divide(F.col("nonzero") * 100.0, F.col("entities") * F.col("events"))
