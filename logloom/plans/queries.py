@@ -615,8 +615,7 @@ def cv_scores(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     features, columns = _document_features(spark, sf)
-    model = models.fit_final(models.FOREST, features)
-    return models.feature_importance(models.FOREST, model, features, columns)
+    return models.feature_importance(models.FOREST, models.fit_all(models.FOREST, features), features, columns)
 
 
 # Streaming ---------------------------------------------------------------------------------

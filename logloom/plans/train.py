@@ -9,7 +9,7 @@ from logloom.operators.counts import matrix_columns, unpivot_matrix
 from logloom.operators.folds import stratified_folds
 from logloom.operators.labels import require_both_classes
 from logloom.operators.metrics import best_model, cv_results, cv_summary
-from logloom.operators.models import MODELS, ModelConfig, cross_validate, feature_importance, fit_final
+from logloom.operators.models import MODELS, ModelConfig, cross_validate, feature_importance, fit_all
 from logloom.operators.selection import select_features, sparse_feature_table
 from logloom.session import stage
 
@@ -53,9 +53,14 @@ def train(
     summary = stage(cv_summary(results), "summary")
     summary.write.mode("overwrite").parquet(f"{out}/summary")
     winner = best_model(summary, list(MODELS)).first()["model"]
-    model = fit_final(winner, features, config)
-    model.write().overwrite().save(f"{out}/model-{winner.lower().replace(' ', '_')}")
-    importance = feature_importance(winner, model, features, columns)
+
+    def saved() -> Iterator:
+        """The model's parts, one folder each; nearly always there is one."""
+        for i, model in enumerate(fit_all(winner, features, config)):
+            model.write().overwrite().save(f"{out}/model-{winner.lower().replace(' ', '_')}" + (f"-{i + 1}" if i else ""))
+            yield model
+
+    importance = feature_importance(winner, saved(), features, columns)
     importance.write.mode("overwrite").parquet(f"{out}/importance")
     return summary
 

@@ -127,3 +127,29 @@ def test_train_with_20000_events(spark, tmp_path):
     # Selection at this width looks at events that meet, not at all pairs.
     chosen, names = features_of(counts, labels, variance=1e-9, correlation=0.95)
     assert "E7" in names and "E20000" not in names and chosen.count() == 120
+
+
+def test_large_forests_grow_in_parts(spark, data, monkeypatch, tmp_path):
+    """Every tree is there once, no fit grows more than its share, and a fold's model is gone before the last fold."""
+    features, columns = features_of(*data)
+    config = models.ModelConfig(trees=11, max_depth=5, max_iter=50)
+    assert models.fit_parts(models.FOREST, 240, config) == [config]
+    monkeypatch.setattr(models, "TREE_ROWS", 240 * 4)
+    monkeypatch.setattr(models, "TASK_ROWS", 30)
+    parts = models.fit_parts(models.FOREST, 240, config)
+    assert sum(p.trees for p in parts) == 11 and max(p.trees for p in parts) <= 4
+    assert len({p.seed for p in parts}) == len(parts) == 3
+    assert models.fit_parts(models.LOGISTIC, 10**9, config) == [config]
+    fitted = list(models.fit_all(models.FOREST, features, config))
+    assert [m.getNumTrees for m in fitted] == [p.trees for p in parts]
+    rows = models.feature_importance(models.FOREST, iter(fitted), features, columns).collect()
+    assert rows[0].feature == "E2" and abs(sum(r.importance for r in rows) - 1) < 1e-9
+    summary = train(spark, features, columns, str(tmp_path / "model"), folds=3, config=config)
+    assert {r.model: r.mean_auc > 0.9 for r in summary.collect()}[models.FOREST]
+    scores = spark.read.parquet(f"{tmp_path}/model/scores").filter(f"model = '{models.FOREST}'").collect()
+    assert len(scores) == 240 and all(0 <= r.score <= 1 and r.prediction == (r.score > 0.5) for r in scores)
+
+
+def test_deep_trees_stay_at_the_driver():
+    """Their nodes are cached per row; the trees themselves are not sent with every task."""
+    assert models.estimator(models.FOREST, 10).getCacheNodeIds()
