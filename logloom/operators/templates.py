@@ -312,8 +312,19 @@ def mine(
     ``assignment`` maps signature to event_no and EventId. With a ``known`` dictionary,
     signatures that match one of its leaders take that event; the rest are mined and their
     numbers follow the highest known one. Known ids never change; the text of an event that got
-    new members covers them too.
+    new members covers them too. Signatures that are a known leader's own need no leaf: they change neither
+    heads nor texts, and where there are no others nothing is mined.
     """
+    itself = None
+    if known is not None:
+        # The same signature stands in the same leaf, as the nodes of a dictionary keep their tokens.
+        own = known_leaders(known).groupBy("signature").agg(F.min("seen_at").alias("event_no"))
+        looked_up = stage(signatures.join(broadcast_if_small(own), "signature", "left"), "looked-up")
+        itself = looked_up.filter("event_no is not null").select("signature", F.col("event_no").cast("bigint").alias("event_no"))
+        signatures = looked_up.filter("event_no is null").select(*signatures.columns)
+        if signatures.isEmpty():
+            dictionary = known.select("event_no", "EventId", "EventTemplate", *LEAF, "leader", F.col("seen_at").cast(ORDER).alias("seen_at"))
+            return dictionary, itself.select("signature", "event_no", event_name(F.col("event_no")).alias("EventId"))
     leaves = stage(assign_leaves(signatures, config, known), "leaves")
     base = 0
     matched = None
@@ -339,7 +350,7 @@ def mine(
     dictionary = stage(dictionary, "dictionary")
     assignment = grouped.join(texts.select("leader_seen", "event_no"), "leader_seen").select("signature", "event_no")
     if matched is not None:
-        assignment = assignment.unionByName(matched)
+        assignment = assignment.unionByName(matched).unionByName(itself)
     return dictionary, stage(assignment.select("signature", "event_no", event), "assignment")
 
 

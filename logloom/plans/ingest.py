@@ -75,7 +75,8 @@ def ingest(
         files = files_of(names)
     dictionary = read_or_none(spark, f"{out}/dictionary")
     if dictionary is not None:
-        dictionary = current_dictionary(dictionary)
+        # Staged once: mining reads it many times, and the table it comes from grows below.
+        dictionary = stage(current_dictionary(dictionary), "dictionary")
     result = structure(files.lines(), fmt, mining, dictionary, masks)
     new = result.dictionary
     if dictionary is not None:

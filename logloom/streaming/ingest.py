@@ -19,7 +19,7 @@ from logloom.operators.counts import merge_counts
 from logloom.operators.parse import parse_lines, structured
 from logloom.operators.templates import current_dictionary
 from logloom.plans.structure import structure
-from logloom.session import drop_path
+from logloom.session import drop_path, stage
 from logloom.sources.lines import NumberedScan, clean_lines, scanned, source_name
 from logloom.sources.tables import read_or_none, write_events
 
@@ -74,8 +74,9 @@ def ingest_log_stream(
         session = batch.sparkSession
         known = read_or_none(session, f"{out}/dictionary")
         if known is not None:
-            known = known.filter(F.col("batch_id") < batch_id).drop("batch_id")
-            known = None if known.isEmpty() else current_dictionary(known)
+            # Staged once: mining reads the dictionary many times, and it lies in a folder per batch.
+            known = stage(current_dictionary(known.filter(F.col("batch_id") < batch_id).drop("batch_id")), "known")
+            known = None if known.isEmpty() else known
         result = structure(NumberedScan(batch, folder).lines(), fmt, mining, known, masks)
         new = result.dictionary
         if known is not None:

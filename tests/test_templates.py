@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logloom import BLOCK_LOG, MiningConfig
+from logloom.operators import templates as T
 from logloom.operators.templates import current_dictionary, mine
 from logloom.plans.structure import structure
 from logloom.session import stage
@@ -251,3 +252,25 @@ def test_index_holds_every_similar_pair(spark):
             for b in found[:i]:
                 if a[:2] == b[:2] and _similarity(a[2], b[2]) >= sim_th and a[2] != b[2]:
                     assert a[3] & b[3]
+
+
+def test_known_signatures_are_not_mined_again(spark, monkeypatch):
+    """A leader's own signature takes its event; with no other signature no leaf is looked at, and new ones are numbered on."""
+    schema = "signature string, lines bigint, seen_at bigint"
+    first = [("open file a now", 2, 1), ("stop", 1, 2), ("<*> <*>", 1, 3), ("open file b now", 1, 4)]
+    known, assigned = T.mine(stage(spark.createDataFrame(first, schema), "signatures"), MiningConfig())
+    before = {r.signature: r.event_no for r in assigned.collect()}
+    again = [("stop", 5, 10), ("<*> <*>", 1, 11), ("open file a now", 1, 12)]
+    mixed = [*again, ("open file b now", 1, 13), ("open file c now", 1, 14), ("a new one", 1, 15)]
+    _, assigned = T.mine(stage(spark.createDataFrame(mixed, schema), "signatures"), MiningConfig(), known)
+    found = {r.signature: r.event_no for r in assigned.collect()}
+    assert {x: found[x] for x in before} == before and found["open file c now"] == before["open file a now"]
+    assert found["a new one"] == max(before.values()) + 1 and len(found) == 6
+
+    def looked_at(*_):
+        raise AssertionError("mined again")
+
+    monkeypatch.setattr(T, "assign_leaves", looked_at)
+    dictionary, assigned = T.mine(stage(spark.createDataFrame(again, schema), "signatures"), MiningConfig(), known)
+    assert {r.signature: (r.event_no, r.EventId) for r in assigned.collect()} == {x: (before[x], f"E{before[x]}") for x, *_ in again}
+    assert sorted(map(str, dictionary.collect())) == sorted(map(str, known.collect()))
