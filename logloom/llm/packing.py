@@ -22,29 +22,40 @@ import os
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import partial
-from itertools import islice
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
-from logloom.llm.byte_bpe import cut, single_spaced
+from logloom.llm.byte_bpe import cut
 from logloom.llm.memory import slices, tool
 from logloom.session import stage
 
 CAPACITY = 1024
 END = 2
-# Chunks of text that a worker remembers, and their longest; bytes of text that are encoded together.
-MEMO_CHUNKS = 1_000_000
+# Chunks of text that a worker remembers, and their longest.
+MEMO_CHUNKS = 700_000
 MEMO_CHARS = 48
-STEP_BYTES = 1 << 20
+# New words that are encoded as one text.
+TEXT_WORDS = 32768
+# Bytes of text that are encoded together, per remembered chunk.
+STEP_BYTES = 6
 # Pieces of a length per bucket in which ranks are counted, about.
 BUCKET_ROWS = 8192
+# A space as the first character of a byte-level token.
+SPACE = "\u0120"
+# White space that is no single space or line feed between two other characters, or no text at all.
+ODD_SPACES = (
+    r"\A\z|\A[ \n]|[ \n][ \n]|[ \n]\z|"
+    r"[\t\x0b-\x0d\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -55,9 +66,11 @@ class Encoder:
     Text is cut before single spaces between two other characters that are no white space, where
     a byte-level pre-tokenizer always cuts; such chunks are encoded once and remembered. It cuts
     between letters and a mark as well, so a known word with a mark behind it is not encoded again.
+    Distinct chunks of a step are looked up once and put together by Arrow.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO_CHUNKS):
+        self.memo = memo
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         # Chunks that start with a space, without it; and others.
@@ -66,37 +79,83 @@ class Encoder:
         cut_apart = self.tokenizer.pre_tokenizer.pre_tokenize_str if self.tokenizer.pre_tokenizer else None
         apart = [x for x in ".,;:!?)" if cut_apart and len(cut_apart(" ab" + x)) == 2]
         self.marks = dict(zip(apart, self._code(apart)))
+        self.opens = self._opening()
+
+    def _opening(self) -> np.ndarray | None:
+        """Whether an id's token begins with a space, where only the first of a chunk's tokens can; None for other tokenizers."""
+        cutter, added = self.tokenizer.pre_tokenizer, self.tokenizer.get_added_tokens_decoder().values()
+        if not isinstance(cutter, pre_tokenizers.ByteLevel) or not cutter.use_regex or cutter.add_prefix_space or self.tokenizer.normalizer:
+            return None
+        if any(" " in x.content or x.lstrip or x.rstrip or x.single_word for x in added):
+            return None
+        vocabulary = self.tokenizer.get_vocab()
+        opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        opens[[number for token, number in vocabulary.items() if token[:1] == SPACE]] = True
+        return opens
 
     def _code(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [array("I", x.ids).tobytes() for x in coded]
 
-    def _join(self, known: dict[str, bytes], parts: list[list[str]], spaced: str = "") -> list[bytes]:
-        if len(known) >= MEMO_CHUNKS:
-            # The younger half stays: a dict keeps the order in which names came.
-            kept = dict(islice(known.items(), MEMO_CHUNKS // 2, None))
-            known.clear()
-            known.update(kept)
-        missing = set().union(*[set(chunks).difference(known) for chunks in parts])
-        marked = [x for x in missing if x[-1:] in self.marks and x[:-1].isalpha()]
-        names = list(missing.difference(marked) | {x[:-1] for x in marked}.difference(known))
-        known.update(zip(names, self._code([spaced + x for x in names])))
-        known.update([(x, known[x[:-1]] + self.marks[x[-1]]) for x in marked])
-        joined = [b"".join(map(known.__getitem__, chunks)) for chunks in parts]
-        for name in missing:
-            if len(name) > MEMO_CHARS:
-                del known[name]
-        return joined
+    def _code_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words behind a space each: many are encoded as one text, which is cheaper than one by one."""
+        return [ids for at in range(0, len(words), TEXT_WORDS) for ids in self._code_text(words[at : at + TEXT_WORDS])]
+
+    def _code_text(self, words: list[str]) -> list[bytes]:
+        if self.opens is not None:
+            [coded] = self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)
+            ids = np.array(coded.ids, np.uint32)
+            starts = np.flatnonzero(self.opens[ids]) * 4
+            if len(starts) == len(words):
+                raw, starts = ids.astype("<u4").tobytes(), starts.tolist()
+                return [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)])]
+        return self._code([" " + x for x in words])
+
+    def _coded(self, known: dict[str, bytes], chunks: pa.Array, code: Callable) -> pa.Array:
+        """The ids of every chunk."""
+        distinct = chunks.dictionary_encode()
+        names = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        coded = list(map(known.get, names))
+        missing = [i for i, ids in enumerate(coded) if ids is None]
+        if missing:
+            new = [names[i] for i in missing]
+            marked = [x for x in new if x[-1:] in self.marks and x[:-1].isalpha()]
+            plain = list(set(new).difference(marked) | {x[:-1] for x in marked}.difference(known))
+            learned = dict(zip(plain, code(plain)))
+            for x in marked:
+                stem = x[:-1]
+                learned[x] = (learned[stem] if stem in learned else known[stem]) + self.marks[x[-1]]
+            for i, x in zip(missing, new):
+                coded[i] = learned[x]
+            if len(known) >= self.memo:
+                # The younger half stays: a dict keeps the order in which names came.
+                kept = dict(islice(known.items(), len(known) - self.memo // 2, None))
+                known.clear()
+                known.update(kept)
+            known.update([pair for pair in learned.items() if len(pair[0]) <= MEMO_CHARS])
+        return pa.array(coded, pa.large_binary()).take(distinct.indices)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [i for i, text in enumerate(texts) if not single_spaced(text)]
-        others = sorted(set(range(len(texts))).difference(plain))
-        split = [texts[i].split(" ") for i in others]
-        firsts = self._join(self.chunks, [x[:1] for x in split])
-        rests = self._join(self.words, [x[1:] for x in split], " ")
-        done = dict(zip(others, map(bytes.__add__, firsts, rests)))
-        done |= zip(plain, self._join(self.chunks, [cut(texts[i]) for i in plain]))
-        return [done[i] for i in range(len(texts))]
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, ODD_SPACES)
+        split = pc.split_pattern(column.filter(pc.invert(odd)), " ")
+        words, starts = split.flatten(), split.offsets.to_numpy()
+        first = np.zeros(len(words), bool)
+        first[starts[:-1]] = True
+        firsts = self._coded(self.chunks, words.filter(pa.array(first)), self._code).to_pylist()
+        rests = _joined(self._coded(self.words, words.filter(pa.array(~first)), self._code_words), np.diff(starts) - 1)
+        cuts = [cut(x) for x in column.filter(odd).to_pylist()]
+        others = _joined(self._coded(self.chunks, pa.array(list(chain.from_iterable(cuts)), pa.large_string()), self._code), [len(x) for x in cuts])
+        spaced = map(bytes.__add__, firsts, rests)
+        return [next(others) if is_odd else next(spaced) for is_odd in odd.to_pylist()]
+
+
+def _joined(values: pa.Array, sizes: Sequence[int]) -> Iterator[bytes]:
+    """The values in runs of ``sizes``, each put together."""
+    _, places, data = values.buffers()
+    ends = np.frombuffer(places, np.int64, len(values) + 1, 8 * values.offset)[np.cumsum([0, *sizes])] if len(values) else np.zeros(len(sizes) + 1, np.int64)
+    whole = memoryview(data or b"")
+    return (bytes(whole[a:b]) for a, b in pairwise(ends.tolist()))
 
 
 def pieces_of(tokens: int, capacity: int) -> list[tuple[int, int]]:
@@ -105,13 +164,13 @@ def pieces_of(tokens: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, capacity) for at in range(first, tokens, capacity))]
 
 
-def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: int, with_ids: bool, memo: int) -> Iterator[pa.RecordBatch]:
     closing = struct.pack("<I", end)
     names = [x.split()[0] for x in _PIECES.split(", ")] + ["ids"] * with_ids
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    coder = tool(Encoder, path)
+    coder = tool(Encoder, path, memo)
     for whole in batches:
-        for batch in slices(whole, "text", STEP_BYTES):
+        for batch in slices(whole, "text", STEP_BYTES * memo):
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coder.encode([x or "" for x in batch.column("text").to_pylist()])):
                 ids += closing
@@ -121,11 +180,16 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: int,
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
-def cut_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) and, if asked for, the ids as bytes."""
+def cut_documents(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = False, memo: int = MEMO_CHUNKS
+) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32) and, if asked for, the ids as bytes.
+
+    A worker remembers about ``memo`` chunks of text: fewer take less memory and more time, and give the same rows.
+    """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     schema = _PIECES + ", ids binary" * with_ids
-    return rows.mapInArrow(partial(_cut, path=path, capacity=capacity, end=end, with_ids=with_ids), schema)
+    return rows.mapInArrow(partial(_cut, path=path, capacity=capacity, end=end, with_ids=with_ids, memo=memo), schema)
 
 
 def plan_bins(
@@ -225,8 +289,8 @@ def pack(
 
 def pack_documents(
     docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, most_documents: int | None = None,
-    most_attention: int | None = None, with_ids: bool = False,
+    most_attention: int | None = None, with_ids: bool = False, memo: int = MEMO_CHUNKS,
 ) -> DataFrame:
     """Tokenise, cut and pack ``docs``: one row per piece."""
-    pieces = stage(cut_documents(docs, path, capacity, end, with_ids), "pieces")
+    pieces = stage(cut_documents(docs, path, capacity, end, with_ids, memo), "pieces")
     return pack(pieces, capacity, most_documents, most_attention)

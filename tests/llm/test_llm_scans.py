@@ -342,6 +342,34 @@ def test_chunks_give_the_ids_of_the_whole_text():
         assert ids == struct.pack(f"<{len(want)}I", *want), text
 
 
+def test_new_words_are_encoded_together_whatever_is_remembered():
+    library, rng = Tokenizer.from_file(TOKENS), np.random.default_rng(11)
+    ends = ["", "", ".", "!!", "###", "'s", "\nThe", "é", "日本", "<|endoftext|>", "9a", "\x00", "\u200b"]
+    words = ["".join(map(chr, rng.integers(97, 123, int(n)))) + ends[n % len(ends)] for n in rng.integers(1, 60, 3000)]
+    texts = [" ".join(words[i] for i in rng.integers(0, len(words), 40)) for _ in range(120)] + ["", "one", " odd  x", "a\n\nb c"]
+
+    class Counting:
+        """The tokenizer of an encoder, which counts the texts it gets."""
+
+        def __init__(self, inner):
+            self.inner, self.texts = inner, 0
+
+        def encode_batch_fast(self, batch, add_special_tokens):
+            self.texts += len(batch)
+            return self.inner.encode_batch_fast(batch, add_special_tokens=add_special_tokens)
+
+    for memo in (40, 100_000):
+        coder = Encoder(TOKENS, memo)
+        coder.tokenizer = Counting(coder.tokenizer)
+        for at in range(0, len(texts), 10):
+            for text, ids in zip(texts[at : at + 10], coder.encode(texts[at : at + 10]), strict=True):
+                want = library.encode(text, add_special_tokens=False).ids
+                assert ids == struct.pack(f"<{len(want)}I", *want), text
+        # First words are encoded by themselves, all others of a step as one text.
+        assert coder.tokenizer.texts < 200
+        assert len(coder.words) < memo + 800
+
+
 @pytest.mark.parametrize("options", [{}, {"rule": "dot"}, {"most_documents": 3, "most_attention": 40000}])
 def test_bins_keep_every_bound(options):
     rng = np.random.default_rng(4)
