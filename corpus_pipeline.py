@@ -61,7 +61,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text counts as empty and gives one piece, the end token. Every row is packed, repeated ones too.
     """
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    # Workers of the stages before still hold memory, so the memo is small here.
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), memo=100_000)
 
 
 STAGES: list[tuple[str, Stage]] = [
