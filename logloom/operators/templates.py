@@ -29,7 +29,7 @@ from logloom.functions.text import (
     tokens,
 )
 from logloom.operators.ranking import number_rows
-from logloom.session import broadcast_if_small, stage
+from logloom.session import broadcast_if_small, drop_path, stage, stage_at
 
 LEAF = ("n_tokens", "heads")
 # Type of ``seen_at`` in a dictionary, whatever lines have.
@@ -171,13 +171,13 @@ def _by_index(leaves: DataFrame, config: MiningConfig) -> list[DataFrame]:
     chains of similar signatures are long.
     """
     columns = (*LEAF, "seen_at", "signature", "tokens")
-    open_rows = stage(_indexed(leaves.select(*columns), config), "open")
+    open_rows, path = stage_at(_indexed(leaves.select(*columns), config), "open")
     limit, parts = FIRST_HEADS, []
     while not open_rows.isEmpty():
         index = open_rows.select("seen_at", F.explode("items").alias("item"))
         # Limited per task before the shuffle, so a common item never meets in one task.
         rank = F.row_number().over(W.partitionBy("item").orderBy("seen_at"))
-        heads = stage(index.withColumn("rank", rank).filter(F.col("rank") <= limit).drop("rank"), "heads")
+        heads, heads_path = stage_at(index.withColumn("rank", rank).filter(F.col("rank") <= limit).drop("rank"), "heads")
         pairs = _pairs(heads.withColumnRenamed("seen_at", "order"), index, F.col("order") < F.col("seen_at"))
         first = open_rows.select(F.col("seen_at").alias("order"), *[F.col(c).alias(f"first_{c}") for c in (*LEAF, "tokens")])
         alike = similar(F.col("first_tokens"), F.col("tokens"), config.sim_th)
@@ -192,7 +192,11 @@ def _by_index(leaves: DataFrame, config: MiningConfig) -> list[DataFrame]:
         parts.append(leaders)
         led = leaders.select("seen_at")
         covered = found.join(led.withColumnRenamed("seen_at", "order"), "order", "left_semi").select("seen_at")
-        open_rows = stage(open_rows.join(covered.union(led), "seen_at", "left_anti"), "open")
+        open_rows, written = stage_at(open_rows.join(covered.union(led), "seen_at", "left_anti"), "open")
+        # What the round read goes as soon as the next one's rows are written.
+        for read in (path, heads_path):
+            drop_path(leaves.sparkSession, read)
+        path = written
         limit = min(MOST_HEADS, limit * HEADS_GROWTH)
         if len(parts) == MAX_UNION:
             parts = [stage(reduce(DataFrame.unionByName, parts), "leaders")]
@@ -270,15 +274,22 @@ def nearest_leader(leaves: DataFrame, leaders: DataFrame, config: MiningConfig)
 
 
 def template_texts(grouped: DataFrame, key: str) -> DataFrame:
-    """Template per group of signatures: a token where all agree, the wildcard elsewhere."""
-    positions = grouped.select(key, "seen_at", F.posexplode_outer("tokens").alias("pos", "token"))
+    """Template per group of signatures: a token where all agree, the wildcard elsewhere.
+
+    A signature that is a group by itself is its own template; only those of larger groups are compared by position.
+    ``grouped`` is read three times.
+    """
+    several = stage(grouped.groupBy(key).agg(F.count("*").alias("held")).filter("held > 1").select(key), "several")
+    lookup = broadcast_if_small(several)
+    alone = grouped.join(lookup, key, "left_anti").select(key, F.array_join("tokens", " ").alias("EventTemplate"), "seen_at")
+    positions = grouped.join(lookup, key, "left_semi").select(key, "seen_at", F.posexplode_outer("tokens").alias("pos", "token"))
     merged = positions.groupBy(key, "pos").agg(
         F.min("token").alias("low"), F.max("token").alias("high"), F.min("seen_at").alias("seen_at")
     )
     token = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(WILDCARD)
     cells = merged.select(key, "seen_at", F.when(F.col("pos").isNotNull(), F.struct("pos", token.alias("token"))).alias("cell"))
     words = F.transform(F.array_sort(F.collect_list("cell")), lambda cell: cell["token"])
-    return cells.groupBy(key).agg(F.array_join(words, " ").alias("EventTemplate"), F.min("seen_at").alias("seen_at"))
+    return alone.unionByName(cells.groupBy(key).agg(F.array_join(words, " ").alias("EventTemplate"), F.min("seen_at").alias("seen_at")))
 
 
 def current_dictionary(dictionary: DataFrame) -> DataFrame:

@@ -274,3 +274,32 @@ def test_known_signatures_are_not_mined_again(spark, monkeypatch):
     dictionary, assigned = T.mine(stage(spark.createDataFrame(again, schema), "signatures"), MiningConfig(), known)
     assert {r.signature: (r.event_no, r.EventId) for r in assigned.collect()} == {x: (before[x], f"E{before[x]}") for x, *_ in again}
     assert sorted(map(str, dictionary.collect())) == sorted(map(str, known.collect()))
+
+
+def test_texts_compare_only_larger_groups_by_position(spark):
+    rows = [(1, 5, ["a", "b"]), (1, 4, ["a", "c"]), (2, 7, ["x", WILD]), (3, 9, []), (4, 2, [])]
+    grouped = stage(spark.createDataFrame(rows, "leader_seen bigint, seen_at bigint, tokens array<string>"), "test-grouped")
+    texts = T.template_texts(grouped, "leader_seen")
+    assert {tuple(r) for r in texts.collect()} == {(1, f"a {WILD}", 4), (2, f"x {WILD}", 7), (3, "", 9), (4, "", 2)}
+    plan = texts._jdf.queryExecution().optimizedPlan().toString()
+    # Read from the top: positions are listed above the join that leaves out groups of one.
+    assert "LeftSemi" in plan[plan.index("Generate") :]
+
+
+def test_rounds_leave_one_open_table(spark):
+    from pathlib import Path
+
+    from logloom.session import new_dir
+
+    words = [" ".join(f"w{(i * k) % 7}q" for k in range(1, 9)) for i in range(7)] + [" ".join(["p"] * k + ["z"] * (8 - k)) for k in range(8)]
+    config = MiningConfig(sim_th=0.6)
+    leaves = stage(T.assign_leaves(_table(spark, words), config), "test-leaves")
+
+    def held() -> set:
+        return {x for kind in ("open", "heads") for x in Path(new_dir(spark, "x")).parent.glob(f"{kind}-*")}
+
+    before = held()
+    parts = T._by_index(leaves, config)
+    assert sum(part.count() for part in parts) > 2
+    # The last one, which is empty.
+    assert len(held() - before) == 1
