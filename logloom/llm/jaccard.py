@@ -10,11 +10,12 @@ link when the arrays overlap in at least t of their union. The join runs in thre
    connected already are skipped, so a large group of copies costs a pass, not its square.
 2. Components of these links.
 3. Prefix join. Documents with overlap t share one of their first n - ceil(t n) + 1 shingles under
-   any common order. Shingles that many documents of a task share come last in that order. Only
+   any common order. Shingles come in the order of how many sets of all tasks hold them, counted
+   in buckets, so a passage that many documents share comes behind what they have of their own. Only
    documents of different components are paired; bitmaps and exact intersection decide again.
 
 Step 3 alone finds every link; step 1 makes it cheap. Equal sets are collapsed before both, first
-per task. Common shingles only change the order and thus the cost, never the result.
+per task. The counts only change the order and thus the cost, never the result.
 
 Contract: A-Z are lower-cased, words are runs of characters other than space, TAB, LF, VT, FF and
 CR. With fewer words than a shingle has, the whole sequence is one shingle; without words (or text) the
@@ -24,6 +25,7 @@ Every row gives a row; repeated rows link. Empty tables give empty results.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -51,11 +53,9 @@ BLOCK_ROWS = 512
 BLOCK_BYTES = 12 << 20
 # Bytes of text or sets that a task works on at a time.
 STEP_BYTES = 4 << 20
-# A shingle is common in a task from this share of its documents on; so many of them are put last.
-COMMON_SHARE, COMMON_LEAST = 0.0005, 4
-COMMON_MOST = 400_000
-# Shingles that a task looks at together for common ones.
-COMMON_WINDOW = 2_000_000
+# Buckets that shingles are counted in to tell common ones, pages they are gathered in, and tasks that add them up.
+COMMON_MOST = 1 << 21
+COUNT_PAGE, COUNT_TASKS = 1 << 15, 32
 # A bitmap of so many bits (4 MB) spares sets that meet nothing a shuffle; pages it is gathered in.
 FILTER_BITS = 1 << 25
 FILTER_PAGE = 1 << 15
@@ -194,7 +194,7 @@ def tile_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 # Rows: one per document (kind 0), one per set that is new in its task (1, with a node number,
-# the least shingles under two orders, and the sorted hashes), one per common shingle (2).
+# the least shingles under two orders, and the sorted hashes), one per page of counts (2, high: page).
 _SHINGLED = "kind int, doc_id bigint, node bigint, n bigint, high bigint, low bigint, keys array<bigint>, hashes binary"
 
 
@@ -210,13 +210,13 @@ def least_keys(hashes: np.ndarray) -> list[int]:
     return [int(hashes[0]), ~int(hashes[other.argmin()])]
 
 
-def _shingle(batches: Iterator[pa.RecordBatch], words: int, share: float, least: int) -> Iterator[pa.RecordBatch]:
+def _shingle(batches: Iterator[pa.RecordBatch], words: int, buckets: int) -> Iterator[pa.RecordBatch]:
     with at_work(Shingler, words) as shingler:
-        yield from _shingle_with(shingler, batches, share, least)
+        yield from _shingle_with(shingler, batches, buckets)
 
 
-def _shingle_with(shingler: Shingler, batches: Iterator[pa.RecordBatch], share: float, least: int) -> Iterator[pa.RecordBatch]:
-    seen, held, window = set(), [], 0
+def _shingle_with(shingler: Shingler, batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    seen, counts = set(), np.zeros(buckets, np.uint32)
     context = TaskContext.get()
     node = (context.partitionId() if context else 0) << 33
     names = [x.split()[0] for x in _SHINGLED.split(", ")]
@@ -225,15 +225,9 @@ def _shingle_with(shingler: Shingler, batches: Iterator[pa.RecordBatch], share:
     def out(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    def common() -> list[tuple]:
-        """Shingles in many of the sets gathered since the last call."""
-        values, counts = np.unique(np.concatenate(held), return_counts=True)
-        often = counts >= max(least, share * len(held))
-        return [(2, None, None, int(c), int(v), 0, None, None) for v, c in zip(values[often], counts[often])]
-
     for batch in batches:
         for part in slices(batch, "text", STEP_BYTES):
-            rows = []
+            rows, held = [], []
             for doc_id, hashes in zip(part.column("doc_id").to_pylist(), shingler.many(part.column("text").to_pylist())):
                 high, low = _print(hashes)
                 rows.append((0, doc_id, None, len(hashes), high, low, None, None))
@@ -242,13 +236,13 @@ def _shingle_with(shingler: Shingler, batches: Iterator[pa.RecordBatch], share:
                     rows.append((1, None, node, len(hashes), high, low, least_keys(hashes), hashes.tobytes()))
                     node += 1
                     held.append(hashes)
-                    window += len(hashes)
-            if window >= COMMON_WINDOW:
-                rows += common()
-                held, window = [], 0
+            if held:
+                found, times = np.unique(np.concatenate(held) % buckets, return_counts=True)
+                counts[found] += times.astype(np.uint32)
             if rows:
                 yield out(rows)
-    if held and (rows := common()):
+    pages = [(i, np.minimum(counts[at : at + COUNT_PAGE], 255).astype(np.uint8)) for i, at in enumerate(range(0, buckets, COUNT_PAGE))]
+    if rows := [(2, None, None, None, i, None, None, zlib.compress(page.tobytes(), 1)) for i, page in pages if page.any()]:
         yield out(rows)
 
 
@@ -256,19 +250,15 @@ def prefix_size(n: int) -> int:
     return n - -(-n * NUM // DEN) + 1
 
 
-def _prefix(batches: Iterator[pa.RecordBatch], common: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(node, n, prefix): the first shingles in the common order, those of ``common`` last."""
+def _prefix(batches: Iterator[pa.RecordBatch], levels: Broadcast) -> Iterator[pa.RecordBatch]:
+    """(node, n, prefix): the first shingles by level of their bucket, then by hash."""
+    level = levels.value
     for batch in (part for whole in batches for part in slices(whole, "hashes", STEP_BYTES)):
         prefixes = []
         for hashes in batch.column("hashes"):
             own = _values(hashes)
-            size = prefix_size(len(own))
-            if len(common):
-                at = np.searchsorted(common, own)
-                at[at == len(common)] = 0
-                often = common[at] == own
-                own = np.concatenate([own[~often][:size], own[often][: max(0, size - int((~often).sum()))]])
-            prefixes.append(own[:size])
+            order = np.argsort(level[own % len(level)], kind="stable")
+            prefixes.append(own[order[: prefix_size(len(own))]])
         yield pa.RecordBatch.from_arrays(
             [batch.column("node"), batch.column("n"), pa.array(prefixes, pa.list_(pa.int64()))], ["node", "n", "prefix"]
         )
@@ -426,16 +416,33 @@ def _verified(sets: DataFrame, pairs: DataFrame, block_rows: int) -> DataFrame:
     return _passing(own, again, able_exactly)
 
 
-def _common_shingles(found: DataFrame, most: int) -> np.ndarray:
-    """At most ``most`` of the shingles that tasks reported, by how often; sorted."""
-    counted = found.filter("kind = 2").groupBy("high").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "high").limit(most).select("high")
-    return np.sort(np.array([x[0] for x in top.collect()], np.int64))
+def _add_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of the counts of every page."""
+    pages: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for page, counts in zip(batch.column("page").to_pylist(), batch.column("counts")):
+            own = np.frombuffer(zlib.decompress(counts.as_py()), np.uint8)
+            pages[page] = pages.get(page, np.uint32(0)) + own.astype(np.uint32)
+    for page, counts in pages.items():
+        yield pa.RecordBatch.from_arrays([pa.array([page], pa.int64()), pa.array([counts.tobytes()], pa.binary())], ["page", "counts"])
+
+
+def shingle_levels(found: DataFrame, buckets: int) -> np.ndarray:
+    """How many sets of all tasks hold shingles of every bucket, as 2047 times its logarithm.
 
+    Its size does not depend on the rows. It only orders shingles; what it says of a single one may be too much.
+    """
+    pages = found.filter("kind = 2").select(F.col("high").alias("page"), F.col("hashes").alias("counts"))
+    counts = np.zeros(buckets, np.uint32)
+    for row in pages.repartition(COUNT_TASKS, "page").mapInArrow(_add_pages, "page bigint, counts binary").toLocalIterator():
+        own = np.frombuffer(row["counts"], np.uint32)
+        counts[row["page"] * COUNT_PAGE :][: len(own)] = own
+    return (2047 * np.log2(1.0 + counts)).astype(np.uint16)
 
-def shingled(docs: DataFrame, words: int = WORDS, share: float = COMMON_SHARE, least: int = COMMON_LEAST) -> DataFrame:
+
+def shingled(docs: DataFrame, words: int = WORDS, buckets: int = COMMON_MOST) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return stage(rows.mapInArrow(partial(_shingle, words=words, share=share, least=least), _SHINGLED), "shingles")
+    return stage(rows.mapInArrow(partial(_shingle, words=words, buckets=buckets), _SHINGLED), "shingles")
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -483,8 +490,11 @@ def _spared(sets: DataFrame, keys: list, wanted: DataFrame, as_maps: bool = Fals
     return sets.select("node", "n", "hashes", bits).mapInArrow(partial(_hit, filled=filled, as_maps=as_maps), schema)
 
 
-def jaccard_links(sets: DataFrame, common: np.ndarray, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(u, v) of (node, n, keys, hashes): links that connect exactly the components of all links."""
+def jaccard_links(sets: DataFrame, levels: np.ndarray, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(u, v) of (node, n, keys, hashes): links that connect exactly the components of all links.
+
+    ``levels`` orders shingles by their bucket, see ``shingle_levels``.
+    """
     keyed = sets.select("node", F.explode("keys").alias("key"))
     several = stage(keyed.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1"), "shared-keys")
     # A key with many sets is spread over tiles, over others under the other order.
@@ -497,7 +507,7 @@ def jaccard_links(sets: DataFrame, common: np.ndarray, tile_rows: int = TILE_ROW
     near = stage(dealt.mapInArrow(partial(_tiles, rows=2 * tile_rows), "u bigint, v bigint"), "tile-links")
     groups = connected_components(near)
     prefixes = sets.select("node", "n", "hashes").mapInArrow(
-        partial(_prefix, common=common), "node bigint, n bigint, prefix array<bigint>"
+        partial(_prefix, levels=sets.sparkSession.sparkContext.broadcast(levels)), "node bigint, n bigint, prefix array<bigint>"
     )
     tokens = prefixes.join(groups, "node", "left").select(
         "node",
@@ -512,14 +522,17 @@ def jaccard_links(sets: DataFrame, common: np.ndarray, tile_rows: int = TILE_ROW
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, tile_rows: int = TILE_ROWS, common_most: int = COMMON_MOST) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    found = shingled(docs, words)
+    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+
+    Common shingles are told by counts in ``common_most`` buckets.
+    """
+    found = shingled(docs, words, common_most)
     prints = found.filter("kind = 0").select("doc_id", "n", "high", "low")
     # A set may stand in several tasks; its copies link like any others, and the least node names it.
     met = found.filter("kind = 1")
     nodes = met.groupBy("high", "low").agg(F.min("node").alias("node"))
     sets = met.select("node", "n", "keys", "hashes")
-    links = jaccard_links(sets, _common_shingles(found, common_most), tile_rows)
+    links = jaccard_links(sets, shingle_levels(found, common_most), tile_rows)
     groups = connected_components(links)
     known = nodes.join(groups, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component"))
     # Least document per set, then per component, so that a set of very many copies combines per task.

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 
+from logloom.llm import jaccard
 from logloom.llm.components import connected_components
 from logloom.llm.embeddings import embedding_duplicates, representatives, unit_rows
 from logloom.llm.jaccard import Shingler, bitmap, bits_for, fold, jaccard_components, keep_one_per_group, overlap
@@ -69,6 +70,26 @@ def test_jaccard_groups_equal_brute_force(spark):
         assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == want
 
 
+def test_a_passage_spread_over_tasks_makes_no_pairs(spark, monkeypatch):
+    # Two or three holders a task, so no task sees that the passage is common; seven in ten words of a document are the passage's.
+    passage = " ".join(f"p{i}" for i in range(70))
+    rows = [(i, f"{passage} " + " ".join(f"d{i}w{j}" for j in range(30))) for i in range(60)]
+    rows += [(100 + i, f"{text} end") for i, text in rows[:5]]
+    paired = []
+
+    def stage(df, label):
+        staged = whole(df, label)
+        paired.extend(staged.collect() if label == "pairs" else [])
+        return staged
+
+    whole = jaccard.stage
+    monkeypatch.setattr(jaccard, "stage", stage)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartitionByRange(32, "doc_id")
+    found = jaccard_components(df).collect()
+    assert paired == []
+    assert sorted((r.doc_id, r.component_id) for r in found) == sorted((i, i - 100 if i >= 100 else i) for i, _ in rows)
+
+
 def test_one_document_of_a_group_stays(spark):
     words = " ".join(f"w{i}" for i in range(60))
     rows = [(3, words, "a"), (1, words + " end", "b"), (2, "other text", "c"), (None, words, "d"), (4, None, "e")]
