@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.components import connected_components
 from logloom.llm.memory import Memo, at_work, slices
-from logloom.session import stage
+from logloom.session import broadcast_if_small, stage
 
 WORDS = 5
 # Overlap times DEN >= union times NUM.
@@ -471,23 +471,26 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
 
 
 def _hit(batches: Iterator[pa.RecordBatch], filled: Broadcast, as_maps: bool) -> Iterator[pa.RecordBatch]:
-    """(node, n, payload) of the rows any of whose bits is set."""
+    """(node, n, payload, places) of the rows any of whose bits is set; places are the keys whose bits are."""
     for batch in (part for whole in batches for part in slices(whole, "hashes", STEP_BYTES)):
         bits = batch.column("bits")
         flat, size = bits.flatten().to_numpy(), len(bits)
         hit = (filled.value[flat >> 3] >> (7 - (flat & 7)).astype(np.uint8)) & 1
-        some = hit.reshape(size, -1).any(1) if size else hit.astype(bool)
+        hits = hit.reshape(size, -1).astype(bool) if size else hit.reshape(0, 1).astype(bool)
+        some = hits.any(1)
         left = batch.filter(pa.array(some))
-        columns = [left.column("node"), left.column("n"), _payloads(left.column("hashes"), as_maps)]
-        yield pa.RecordBatch.from_arrays(columns, ["node", "n", "payload"])
+        keys = left.column("keys").to_pylist()
+        places = [[key for key, met in zip(own, at) if met] for own, at in zip(keys, hits[some].tolist())]
+        columns = [left.column("node"), left.column("n"), _payloads(left.column("hashes"), as_maps), pa.array(places, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["node", "n", "payload", "places"])
 
 
 def _spared(sets: DataFrame, keys: list, wanted: DataFrame, as_maps: bool = False) -> DataFrame:
-    """(node, n, payload) of the sets any of whose ``keys`` may be in ``wanted``."""
+    """(node, n, payload, places) of the sets any of whose ``keys`` may be in ``wanted``; places are these keys."""
     filled = sets.sparkSession.sparkContext.broadcast(_filter_of(wanted))
     bits = F.array(*[F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)) for key in keys]).alias("bits")
-    schema = "node bigint, n bigint, payload binary"
-    return sets.select("node", "n", "hashes", bits).mapInArrow(partial(_hit, filled=filled, as_maps=as_maps), schema)
+    schema = "node bigint, n bigint, payload binary, places array<bigint>"
+    return sets.select("node", "n", "hashes", F.array(*keys).alias("keys"), bits).mapInArrow(partial(_hit, filled=filled, as_maps=as_maps), schema)
 
 
 def jaccard_links(sets: DataFrame, levels: np.ndarray, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -497,11 +500,13 @@ def jaccard_links(sets: DataFrame, levels: np.ndarray, tile_rows: int = TILE_ROW
     """
     keyed = sets.select("node", F.explode("keys").alias("key"))
     several = stage(keyed.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1"), "shared-keys")
-    # A key with many sets is spread over tiles, over others under the other order.
-    spread = F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("held") / tile_rows).cast("bigint")).alias("spread")
-    meeting = keyed.join(several, "key").select("node", "key", spread)
+    # A set goes to its tiles by its own keys, so it is sent once for each and meets no table on the way.
     able = _spared(sets, [F.get("keys", F.lit(i)) for i in range(2)], several.select("key"))
-    tiles = able.join(meeting, "node").select("node", "n", F.col("payload").alias("hashes"), "key", "spread")
+    able = able.select("node", "n", F.col("payload").alias("hashes"), F.explode("places").alias("key"))
+    # A key with many sets is spread over tiles, over others under the other order.
+    large = several.filter(F.col("held") > tile_rows).select("key", F.ceil(F.col("held") / tile_rows).cast("bigint").alias("parts"))
+    spread = F.pmod(F.xxhash64("node", "key"), F.coalesce("parts", F.lit(1))).alias("spread")
+    tiles = able.join(broadcast_if_small(large), "key", "left").select("node", "n", "hashes", "key", spread)
     dealt = tiles.repartition("key", "spread").sortWithinPartitions("key", "spread", "n")
     dealt = dealt.select(F.xxhash64("key", "spread").alias("key"), "node", "hashes")
     near = stage(dealt.mapInArrow(partial(_tiles, rows=2 * tile_rows), "u bigint, v bigint"), "tile-links")

@@ -90,6 +90,29 @@ def test_a_passage_spread_over_tasks_makes_no_pairs(spark, monkeypatch):
     assert sorted((r.doc_id, r.component_id) for r in found) == sorted((i, i - 100 if i >= 100 else i) for i, _ in rows)
 
 
+def test_sets_are_shuffled_once_on_their_way_to_tiles(spark, monkeypatch):
+    plans = []
+
+    def stage(df, label):
+        if label == "tile-links":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            raise InterruptedError
+        return whole(df, label)
+
+    whole = jaccard.stage
+    monkeypatch.setattr(jaccard, "stage", stage)
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f g")], "doc_id bigint, text string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        jaccard_components(df)
+    except InterruptedError:
+        pass
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(plans) == 1 and "SortMergeJoin" not in plans[0]
+
+
 def test_one_document_of_a_group_stays(spark):
     words = " ".join(f"w{i}" for i in range(60))
     rows = [(3, words, "a"), (1, words + " end", "b"), (2, "other text", "c"), (None, words, "d"), (4, None, "e")]
