@@ -34,11 +34,11 @@ import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.components import connected_components
-from logloom.llm.memory import Memo, at_work, slices
+from logloom.llm.memory import Memo, at_work, lean, slices, small_batches
 from logloom.session import broadcast_if_small, stage
 
 WORDS = 5
@@ -250,10 +250,19 @@ def prefix_size(n: int) -> int:
     return n - -(-n * NUM // DEN) + 1
 
 
-def _prefix(batches: Iterator[pa.RecordBatch], levels: Broadcast) -> Iterator[pa.RecordBatch]:
-    """(node, n, prefix): the first shingles by level of their bucket, then by hash."""
+def _prefix(batches: Iterator[pa.RecordBatch], levels: Broadcast, filled: Broadcast, hit: bool) -> Iterator[pa.RecordBatch]:
+    """(node, n, prefix) of the rows whose bit is set, or of those whose bit is not.
+
+    A prefix is the first shingles by level of their bucket, then by hash.
+    """
     level = levels.value
-    for batch in (part for whole in batches for part in slices(whole, "hashes", STEP_BYTES)):
+    for whole in batches:
+        rows = whole.filter(pa.array(_set_bits(filled.value, whole.column("bit").to_numpy()) == hit))
+        yield from _prefixes(rows, level)
+
+
+def _prefixes(rows: pa.RecordBatch, level: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in slices(rows, "hashes", STEP_BYTES):
         prefixes = []
         for hashes in batch.column("hashes"):
             own = _values(hashes)
@@ -387,7 +396,7 @@ def _passing(payloads: DataFrame, placed: DataFrame, able: Callable) -> DataFram
     rows = wanted.join(payloads, "node").select("tile", F.col("node").alias("u"), F.lit(None).cast("bigint").alias("v"), "payload")
     rows = rows.union(placed.select("tile", "u", "v", F.lit(None).cast("binary")))
     dealt = rows.repartition("tile").sortWithinPartitions("tile", F.col("v").isNotNull())
-    return dealt.mapInArrow(partial(_check, able=able), "u bigint, v bigint")
+    return dealt.mapInArrow(lean(partial(_check, able=able)), "u bigint, v bigint")
 
 
 def _verified(sets: DataFrame, pairs: DataFrame, block_rows: int) -> DataFrame:
@@ -462,7 +471,7 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
 
     Its size does not depend on the keys. It only spares rows a shuffle; joins decide.
     """
-    bits = keys.select(F.pmod(F.xxhash64(keys.columns[0]), F.lit(FILTER_BITS)).alias("bit")).distinct()
+    bits = keys.select(_bit(F.col(keys.columns[0])).alias("bit")).distinct()
     pages = bits.repartition(FILTER_BITS // FILTER_PAGE // 16, F.floor(F.col("bit") / FILTER_PAGE))
     found = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in pages.mapInArrow(_bits, "page bigint, bits binary").toLocalIterator():
@@ -470,13 +479,23 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
     return found
 
 
+def _set_bits(filled: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the bits are set."""
+    return ((filled[bits >> 3] >> (7 - (bits & 7)).astype(np.uint8)) & 1).astype(bool)
+
+
+def _bit(key: Column) -> Column:
+    """The bit of a key in a bitmap of ``_filter_of``."""
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
 def _hit(batches: Iterator[pa.RecordBatch], filled: Broadcast, as_maps: bool) -> Iterator[pa.RecordBatch]:
     """(node, n, payload, places) of the rows any of whose bits is set; places are the keys whose bits are."""
     for batch in (part for whole in batches for part in slices(whole, "hashes", STEP_BYTES)):
         bits = batch.column("bits")
         flat, size = bits.flatten().to_numpy(), len(bits)
-        hit = (filled.value[flat >> 3] >> (7 - (flat & 7)).astype(np.uint8)) & 1
-        hits = hit.reshape(size, -1).astype(bool) if size else hit.reshape(0, 1).astype(bool)
+        hit = _set_bits(filled.value, flat)
+        hits = hit.reshape(size, -1) if size else hit.reshape(0, 1)
         some = hits.any(1)
         left = batch.filter(pa.array(some))
         keys = left.column("keys").to_pylist()
@@ -488,9 +507,26 @@ def _hit(batches: Iterator[pa.RecordBatch], filled: Broadcast, as_maps: bool) ->
 def _spared(sets: DataFrame, keys: list, wanted: DataFrame, as_maps: bool = False) -> DataFrame:
     """(node, n, payload, places) of the sets any of whose ``keys`` may be in ``wanted``; places are these keys."""
     filled = sets.sparkSession.sparkContext.broadcast(_filter_of(wanted))
-    bits = F.array(*[F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)) for key in keys]).alias("bits")
+    bits = F.array(*[_bit(key) for key in keys]).alias("bits")
     schema = "node bigint, n bigint, payload binary, places array<bigint>"
-    return sets.select("node", "n", "hashes", F.array(*keys).alias("keys"), bits).mapInArrow(partial(_hit, filled=filled, as_maps=as_maps), schema)
+    return sets.select("node", "n", "hashes", F.array(*keys).alias("keys"), bits).mapInArrow(lean(partial(_hit, filled=filled, as_maps=as_maps)), schema)
+
+
+def prefix_tokens(sets: DataFrame, groups: DataFrame, levels: np.ndarray) -> DataFrame:
+    """(shingle, node, apart, spot) of every shingle of every prefix, see ``_pairs``.
+
+    Only sets that may stand in ``groups`` (node, component) are shuffled to meet it, the others are components of their own.
+    """
+    context = sets.sparkSession.sparkContext
+    level, filled = context.broadcast(levels), context.broadcast(_filter_of(groups.select("node")))
+    rows = sets.select("node", "n", "hashes", _bit(F.col("node")).alias("bit"))
+    alone, met = (
+        rows.mapInArrow(lean(partial(_prefix, levels=level, filled=filled, hit=hit)), "node bigint, n bigint, prefix array<bigint>") for hit in (False, True)
+    )
+    met = met.join(groups, "node", "left").select("node", "n", "prefix", (F.col("node") - F.coalesce("component", "node")).alias("apart"))
+    placed = alone.withColumn("apart", F.lit(0).cast("bigint")).unionByName(met)
+    tokens = placed.select("node", "n", "apart", F.posexplode("prefix").alias("place", "shingle"))
+    return tokens.select("shingle", "node", "apart", (F.shiftleft("n", 32) + F.col("place")).alias("spot"))
 
 
 def jaccard_links(sets: DataFrame, levels: np.ndarray, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -509,20 +545,10 @@ def jaccard_links(sets: DataFrame, levels: np.ndarray, tile_rows: int = TILE_ROW
     tiles = able.join(broadcast_if_small(large), "key", "left").select("node", "n", "hashes", "key", spread)
     dealt = tiles.repartition("key", "spread").sortWithinPartitions("key", "spread", "n")
     dealt = dealt.select(F.xxhash64("key", "spread").alias("key"), "node", "hashes")
-    near = stage(dealt.mapInArrow(partial(_tiles, rows=2 * tile_rows), "u bigint, v bigint"), "tile-links")
+    near = stage(dealt.mapInArrow(lean(partial(_tiles, rows=2 * tile_rows)), "u bigint, v bigint"), "tile-links")
     groups = connected_components(near)
-    prefixes = sets.select("node", "n", "hashes").mapInArrow(
-        partial(_prefix, levels=sets.sparkSession.sparkContext.broadcast(levels)), "node bigint, n bigint, prefix array<bigint>"
-    )
-    tokens = prefixes.join(groups, "node", "left").select(
-        "node",
-        "n",
-        (F.col("node") - F.coalesce("component", "node")).alias("apart"),
-        F.posexplode("prefix").alias("place", "shingle"),
-    )
-    tokens = tokens.select("shingle", "node", "apart", (F.shiftleft("n", 32) + F.col("place")).alias("spot"))
-    met = tokens.repartition("shingle").sortWithinPartitions("shingle", "spot")
-    pairs = stage(met.mapInArrow(_pairs, "u bigint, v bigint").distinct(), "pairs")
+    met = prefix_tokens(sets, groups, levels).repartition("shingle").sortWithinPartitions("shingle", "spot")
+    pairs = stage(met.mapInArrow(lean(_pairs), "u bigint, v bigint").distinct(), "pairs")
     return near.union(stage(_verified(sets, pairs, BLOCK_ROWS), "far-links"))
 
 
@@ -531,13 +557,14 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, tile_rows: int = TIL
 
     Common shingles are told by counts in ``common_most`` buckets.
     """
-    found = shingled(docs, words, common_most)
+    # Whole texts and sets go to the workers in these steps, and all of them run at once.
+    with small_batches(docs.sparkSession):
+        found = shingled(docs, words, common_most)
+        links = jaccard_links(found.filter("kind = 1").select("node", "n", "keys", "hashes"), shingle_levels(found, common_most), tile_rows)
     prints = found.filter("kind = 0").select("doc_id", "n", "high", "low")
     # A set may stand in several tasks; its copies link like any others, and the least node names it.
     met = found.filter("kind = 1")
     nodes = met.groupBy("high", "low").agg(F.min("node").alias("node"))
-    sets = met.select("node", "n", "keys", "hashes")
-    links = jaccard_links(sets, shingle_levels(found, common_most), tile_rows)
     groups = connected_components(links)
     known = nodes.join(groups, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component"))
     # Least document per set, then per component, so that a set of very many copies combines per task.

@@ -6,8 +6,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
-from logloom.llm import jaccard
+from logloom.llm import jaccard, memory
 from logloom.llm.components import connected_components
 from logloom.llm.embeddings import embedding_duplicates, representatives, unit_rows
 from logloom.llm.jaccard import Shingler, bitmap, bits_for, fold, jaccard_components, keep_one_per_group, overlap
@@ -113,6 +114,56 @@ def test_sets_are_shuffled_once_on_their_way_to_tiles(spark, monkeypatch):
     assert len(plans) == 1 and "SortMergeJoin" not in plans[0]
 
 
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_only_sets_of_groups_are_shuffled_to_meet_them(spark):
+    rng = random.Random(8)
+    sets = {node: np.unique([rng.randrange(1 << 62) for _ in range(rng.randint(1, 30))]) for node in range(40)}
+    rows = [(node, len(x), x.tobytes()) for node, x in sets.items()]
+    df = spark.createDataFrame([(a, b, bytearray(c)) for a, b, c in rows], "node bigint, n bigint, hashes binary")
+    groups = spark.createDataFrame([(3, 3), (9, 3), (17, 11)], "node bigint, component bigint")
+    levels = np.array([2, 0, 1], np.uint16)
+    component = {3: 3, 9: 3, 17: 11}
+    want = set()
+    for node, x in sets.items():
+        first = sorted(x.tolist(), key=lambda h: (levels[h % 3], h))[: jaccard.prefix_size(len(x))]
+        want |= {(h, node, node - component.get(node, node), (len(x) << 32) + i) for i, h in enumerate(first)}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tokens = jaccard.prefix_tokens(df, groups, levels)
+        found = [tuple(r) for r in tokens.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(found) == sorted(want)
+    # Of 40 sets the join gets three.
+    bits = dict(df.select("node", jaccard._bit(jaccard.F.col("node"))).collect())
+    filled = jaccard._filter_of(groups.select("node"))
+    batch = pa.RecordBatch.from_pydict({"node": list(sets), "n": [x[1] for x in rows], "hashes": [x[2] for x in rows], "bit": [bits[x] for x in sets]})
+    sides = [[x for b in jaccard._prefix([batch], Sent(levels), Sent(filled), hit) for x in b.column("node").to_pylist()] for hit in (True, False)]
+    assert sides[0] == [3, 9, 17] and sorted(sides[0] + sides[1]) == list(range(40))
+
+
+def test_workers_get_small_batches_and_keep_no_tool(spark, monkeypatch):
+    bounds = []
+
+    def stage(df, label):
+        bounds.append(int(spark.conf.get(memory.BATCH_BYTES, "0")))
+        return whole(df, label)
+
+    whole = jaccard.stage
+    monkeypatch.setattr(jaccard, "stage", stage)
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f g")], "doc_id bigint, text string")
+    jaccard_components(df)
+    assert len(bounds) > 3 and all(0 < x <= memory.SLICE_BYTES for x in bounds)
+    assert spark.conf.get(memory.BATCH_BYTES, None) is None
+    monkeypatch.setitem(memory._HELD, ("earlier",), "tool")
+    assert list(memory.lean(iter)([1, 2])) == [1, 2] and not memory._HELD
+
+
 def test_one_document_of_a_group_stays(spark):
     words = " ".join(f"w{i}" for i in range(60))
     rows = [(3, words, "a"), (1, words + " end", "b"), (2, "other text", "c"), (None, words, "d"), (4, None, "e")]
