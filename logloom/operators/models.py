@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from logloom.operators import forests
 from logloom.session import drop_path, stage, stage_at
 
 LOGISTIC = "Logistic Regression"
@@ -104,11 +105,21 @@ def cross_validate(
 
     ``folded``: entity_id, features, target, fold. The table is staged once, partitioned by
     fold, so a fit reads only its training folds and a scoring only its own. Fits run on the
-    cluster; the driver keeps ``parallel`` of them going, fewer when their trees are large.
+    cluster; the driver keeps ``parallel`` of them going, fewer when their trees are large. Forests over a table
+    that a task can hold are grown by tasks, all folds in one job (``forests``).
     """
     table = stage(folded, "folded", partition_by=("fold",))
-    sizes = {row["fold"]: row["count"] for row in table.groupBy("fold").count().collect()}
+    target = F.col("target")
+    facts = table.groupBy("fold").agg(
+        F.count("*").alias("rows"), F.count_if(target == 1).alias("hits"), F.count_if(target.isin(0, 1)).alias("known"),
+        F.max(F.size(vector_to_array("features"))).alias("width"),
+    ).collect()
+    sizes = {row["fold"]: row["rows"] for row in facts}
     rows = sum(sizes.values())
+    hits = sum(row["hits"] for row in facts)
+    # What Spark's fit refuses, it goes on refusing: a fold whose training rows hold no positive.
+    grown = FOREST in names and all(row["known"] == row["rows"] and row["hits"] < hits for row in facts)
+    grown = grown and forests.fits(rows, max((row["width"] for row in facts), default=0))
 
     def run(job: tuple[str, int]) -> DataFrame:
         name, fold = job
@@ -123,11 +134,15 @@ def cross_validate(
         # Written here, so that a fold's model is not kept until all are fitted.
         return stage(held_out.select(F.lit(name).alias("model"), F.lit(fold).alias("fold"), "*"), "held-out")
 
-    jobs = [(name, fold) for fold in sorted(sizes) for name in names]
-    largest = max((part.trees for part in fit_parts(FOREST, rows, config)), default=0) * rows if FOREST in names else 0
+    jobs = [(name, fold) for fold in sorted(sizes) for name in names if not (grown and name == FOREST)]
+    in_cluster = FOREST in names and not grown
+    largest = max((part.trees for part in fit_parts(FOREST, rows, config)), default=0) * rows if in_cluster else 0
     side = max(1, min(parallel, SIDE_ROWS // max(1, largest)))
     with ThreadPoolExecutor(side) as pool:
         parts = list(pool.map(inheritable_thread_target(table.sparkSession)(run), jobs))
+    if grown:
+        held_out = forests.fold_scores(table, sizes, facts[0]["width"], config.trees, config.max_depth, config.seed)
+        parts.append(held_out.select(F.lit(FOREST).alias("model"), "*"))
     scores = parts[0]
     for part in parts[1:]:
         scores = scores.unionByName(part)
