@@ -126,6 +126,9 @@ def cross_validate(
         train = table.filter(F.col("fold") != fold)
         held_out = table.filter(F.col("fold") == fold)
         size = rows - sizes[fold]
+        if name == LOGISTIC:
+            # Every step of the fit is a job over these partitions, and the folds are many small files.
+            train = train.coalesce(max(1, math.ceil(size / TASK_ROWS)))
         parts = fit_parts(name, size, config)
         if len(parts) == 1:
             held_out = score(estimator(name, size, config).fit(train), held_out)
@@ -138,6 +141,9 @@ def cross_validate(
     in_cluster = FOREST in names and not grown
     largest = max((part.trees for part in fit_parts(FOREST, rows, config)), default=0) * rows if in_cluster else 0
     side = max(1, min(parallel, SIDE_ROWS // max(1, largest)))
+    if not in_cluster:
+        # The steps of a logistic fit are short jobs; more fits than this only add to what the driver holds.
+        side = min(side, max(1, table.sparkSession.sparkContext.defaultParallelism // 2))
     with ThreadPoolExecutor(side) as pool:
         parts = list(pool.map(inheritable_thread_target(table.sparkSession)(run), jobs))
     if grown:

@@ -118,3 +118,37 @@ def test_features_of_a_node_are_different_and_even():
     drawn = forests._drawn(np.random.default_rng(0), 20_000, 9, 3)
     assert drawn.shape == (3, 20_000) and (np.diff(np.sort(drawn, axis=0), axis=0) > 0).all()
     assert np.abs(np.bincount(drawn.reshape(-1), minlength=9) / 20_000 - 1 / 3).max() < 0.02
+
+
+def test_logistic_fits_read_few_partitions(folded, monkeypatch):
+    """A fold is written by many tasks; the steps of a fit are not as many tasks."""
+    seen = []
+    plain = models.estimator
+
+    class Watched:
+        def __init__(self, fitted):
+            self.fitted = fitted
+
+        def fit(self, train):
+            seen.append(train.rdd.getNumPartitions())
+            return self.fitted.fit(train)
+
+    monkeypatch.setattr(models, "estimator", lambda *a: Watched(plain(*a)))
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    scores = models.cross_validate(folded.repartition(40), (models.LOGISTIC,), models.ModelConfig(max_iter=20))
+    assert scores.count() == 300 and len(seen) == 5 and max(seen) <= 3
+
+
+def test_signature_in_two_steps(spark):
+    """The steps of a signature give what it gives at once."""
+    from pyspark.sql import functions as F
+
+    from logloom.functions import text
+    from logloom.functions.formats import BLOCK_LOG
+
+    lines = ["a  b\t blk_-12 10.0.0.1:80", "", " x ", "plain words", "é ü 7", None]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    masked = df.select("value", F.explode(F.array(text.mask(F.col("value"), BLOCK_LOG.masks))).alias("masked"))
+    rows = masked.select("value", text.even(F.col("masked")).alias("a"), text.signature(F.col("value"), BLOCK_LOG.masks).alias("b"))
+    found = rows.collect()
+    assert len(found) == 6 and all(r.a == r.b for r in found) and found[0].a == "a b <BLOCK> <IP><NUM>"
