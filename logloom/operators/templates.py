@@ -28,12 +28,21 @@ from logloom.functions.text import (
     similar,
     tokens,
 )
+from logloom.operators.leafgroups import grouped_by_leaf
 from logloom.operators.ranking import number_rows
-from logloom.session import broadcast_if_small, drop_path, stage, stage_at
+from logloom.session import broadcast_if_small, drop_path, drop_shuffles, stage, stage_at
 
 LEAF = ("n_tokens", "heads")
 # Type of ``seen_at`` in a dictionary, whatever lines have.
 ORDER = "decimal(38,0)"
+# Tokens of a leaf that one task settles; beyond that its signatures are compared by the index, round after round.
+LEAF_CELLS = 16_000_000
+# Signatures that are few enough for joins, which Spark then does without a worker.
+FEW = 5000
+# Tokens of the leaves that a task settles at once, on average.
+BUCKET_CELLS = 500_000
+# Signatures whose mining lets go of shuffle files on its way.
+LARGE = 200_000
 # Leaders of a leaf that are compared one by one, in one row; more of them are looked up by the index.
 KNOWN_PACK = 64
 # Rounds whose leaders are read side by side before they are merged into one table.
@@ -224,6 +233,36 @@ def find_leaders(leaves: DataFrame, config: MiningConfig) -> DataFrame:
     return reduce(DataFrame.unionByName, [stage(settled, "settled"), *parts])
 
 
+def group_leaves(leaves: DataFrame, config: MiningConfig) -> tuple[DataFrame, DataFrame, str]:
+    """Staged signatures with their ``leader_seen``, the leaders (n_tokens, heads, seen_at, signature), and the folder.
+
+    A leaf that a task can hold is settled there, many in one task; larger ones, and all if signatures are few, take
+    ``find_leaders`` and ``nearest_leader``. Tokens are not kept, as they are the signature once more.
+    """
+    columns = [c for c in leaves.columns if c != "tokens"]
+    cells = F.col("leaf_rows") * F.greatest("n_tokens", F.lit(1))
+    sizes = leaves.groupBy(*LEAF).agg(F.count("*").alias("leaf_rows")).withColumn("cells", cells)
+    sizes = stage(sizes, "leaf-sizes")
+    rows, total = sizes.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("leaf_rows", "cells")]).first()
+    larger = sizes.filter(F.col("cells") > LEAF_CELLS).select(*LEAF)
+    joined, held, parts, found = leaves, leaves, [], None
+    if rows > FEW and not larger.isEmpty():
+        larger = broadcast_if_small(larger)
+        joined = leaves.join(larger, list(LEAF), "left_semi")
+        held = leaves.join(larger, list(LEAF), "left_anti")
+    if rows <= FEW or joined is not leaves:
+        found = find_leaders(joined, config)
+        parts.append(nearest_leader(joined, found, config).select(*columns, "leader_seen", F.lit(False).alias("leads")))
+    if rows > FEW:
+        parts.append(grouped_by_leaf(held.select(*columns), total // BUCKET_CELLS + 1, config.sim_th, WILDCARD))
+    grouped, path = stage_at(reduce(DataFrame.unionByName, parts), "grouped", compression="zstd")
+    grouped = grouped.withColumn("tokens", tokens(F.col("signature")))
+    leaders = grouped.filter("leads").select(*LEAF, "seen_at", "signature")
+    if found is not None:
+        leaders = leaders.unionByName(found.select(*leaders.columns))
+    return grouped.drop("leads"), leaders, path
+
+
 def known_leaders(known: DataFrame) -> DataFrame:
     """Leaders of a dictionary in the form of ``find_leaders``; ``seen_at`` is the event number."""
     return known.select(*LEAF, F.col("event_no").alias("seen_at"), F.array_join("leader", " ").alias("signature"), F.col("leader").alias("tokens"))
@@ -279,17 +318,26 @@ def template_texts(grouped: DataFrame, key: str) -> DataFrame:
     A signature that is a group by itself is its own template; only those of larger groups are compared by position.
     ``grouped`` is read three times.
     """
-    several = stage(grouped.groupBy(key).agg(F.count("*").alias("held")).filter("held > 1").select(key), "several")
-    lookup = broadcast_if_small(several)
+    lookup = broadcast_if_small(_several(grouped, key))
     alone = grouped.join(lookup, key, "left_anti").select(key, F.array_join("tokens", " ").alias("EventTemplate"), "seen_at")
-    positions = grouped.join(lookup, key, "left_semi").select(key, "seen_at", F.posexplode_outer("tokens").alias("pos", "token"))
+    return alone.unionByName(_merged_texts(grouped.join(lookup, key, "left_semi"), key))
+
+
+def _several(grouped: DataFrame, key: str) -> DataFrame:
+    """Groups of more than one signature."""
+    return stage(grouped.groupBy(key).agg(F.count("*").alias("held")).filter("held > 1").select(key), "several")
+
+
+def _merged_texts(members: DataFrame, key: str) -> DataFrame:
+    """Template per group by position."""
+    positions = members.select(key, "seen_at", F.posexplode_outer("tokens").alias("pos", "token"))
     merged = positions.groupBy(key, "pos").agg(
         F.min("token").alias("low"), F.max("token").alias("high"), F.min("seen_at").alias("seen_at")
     )
     token = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(WILDCARD)
     cells = merged.select(key, "seen_at", F.when(F.col("pos").isNotNull(), F.struct("pos", token.alias("token"))).alias("cell"))
     words = F.transform(F.array_sort(F.collect_list("cell")), lambda cell: cell["token"])
-    return alone.unionByName(cells.groupBy(key).agg(F.array_join(words, " ").alias("EventTemplate"), F.min("seen_at").alias("seen_at")))
+    return cells.groupBy(key).agg(F.array_join(words, " ").alias("EventTemplate"), F.min("seen_at").alias("seen_at"))
 
 
 def current_dictionary(dictionary: DataFrame) -> DataFrame:
@@ -336,7 +384,10 @@ def mine(
         if signatures.isEmpty():
             dictionary = known.select("event_no", "EventId", "EventTemplate", *LEAF, "leader", F.col("seen_at").cast(ORDER).alias("seen_at"))
             return dictionary, itself.select("signature", "event_no", event_name(F.col("event_no")).alias("EventId"))
-    leaves = stage(assign_leaves(signatures, config, known), "leaves")
+    spark = signatures.sparkSession
+    leaves, leaves_path = stage_at(assign_leaves(signatures, config, known).drop("tokens"), "leaves", compression="zstd")
+    leaves = leaves.withColumn("tokens", tokens(F.col("signature")))
+    large = leaves.count() > LARGE
     base = 0
     matched = None
     if known is not None:
@@ -346,23 +397,45 @@ def mine(
         known = refresh_texts(known, taken.select("event_no", "seen_at", "tokens"))
         leaves = hits.filter("leader_seen is null").drop("leader_seen")
         base = known.agg(F.coalesce(F.max("event_no"), F.lit(0))).first()[0]
-    leaders = find_leaders(leaves, config)
-    grouped = stage(nearest_leader(leaves, leaders, config), "grouped")
-    texts = number_rows(stage(template_texts(grouped, "leader_seen"), "texts"), "seen_at", "event_no")
-    texts = texts.withColumn("event_no", F.col("event_no") + base)
-    texts = texts.select("leader_seen", "event_no", "EventTemplate", "seen_at")
-    leader = leaders.select(*LEAF, F.col("seen_at").alias("leader_seen"), F.col("tokens").alias("leader"))
+    if large:
+        drop_shuffles(spark)
+    grouped, leaders, grouped_path = group_leaves(leaves, config)
+    drop_path(spark, leaves_path)
+    if large:
+        drop_shuffles(spark)
+    # A group of one has its leader's text, so only those of several are merged, and numbers are found without texts.
+    several = broadcast_if_small(_several(grouped, "leader_seen"))
+    merged = stage(_merged_texts(grouped.join(several, "leader_seen", "left_semi"), "leader_seen"), "texts")
+    leader = leaders.withColumnRenamed("seen_at", "leader_seen")
+    first = leader.select("leader_seen").distinct().join(merged.select("leader_seen", "seen_at"), "leader_seen", "left")
+    first = stage(first.withColumn("seen_at", F.coalesce("seen_at", "leader_seen")), "first-seen")
+    numbers = number_rows(first, "seen_at", "event_no").withColumn("event_no", F.col("event_no") + base)
+    numbers = stage(numbers, "numbers")
+    if large:
+        drop_shuffles(spark)
     event = event_name(F.col("event_no")).alias("EventId")
-    dictionary = texts.join(leader, "leader_seen").select(
-        "event_no", event, "EventTemplate", *LEAF, "leader", F.col("seen_at").cast(ORDER).alias("seen_at")
+    texts = merged.select("leader_seen", F.col("EventTemplate").alias("text"))
+    dictionary = leader.join(numbers, "leader_seen").join(texts, "leader_seen", "left").select(
+        "event_no", "text", *LEAF, "signature", F.col("seen_at").cast(ORDER).alias("seen_at")
     )
     if known is not None:
-        dictionary = known.select(*dictionary.columns).unionByName(dictionary)
-    dictionary = stage(dictionary, "dictionary")
-    assignment = grouped.join(texts.select("leader_seen", "event_no"), "leader_seen").select("signature", "event_no")
+        texts = known.withColumn("text", F.col("EventTemplate")).withColumn("signature", F.array_join("leader", " "))
+        dictionary = texts.select(*dictionary.columns).unionByName(dictionary)
+    # Kept without what the leader's signature says a second and a third time.
+    dictionary = stage_at(dictionary, "dictionary", compression="zstd")[0].select(
+        "event_no", event, F.coalesce("text", "signature").alias("EventTemplate"), *LEAF,
+        tokens(F.col("signature")).alias("leader"), "seen_at",
+    )
+    if large:
+        drop_shuffles(spark)
+    assignment = grouped.join(numbers.select("leader_seen", "event_no"), "leader_seen").select("signature", "event_no")
     if matched is not None:
         assignment = assignment.unionByName(matched).unionByName(itself)
-    return dictionary, stage(assignment.select("signature", "event_no", event), "assignment")
+    assignment = stage_at(assignment.select("signature", "event_no", event), "assignment", compression="zstd")[0]
+    drop_path(spark, grouped_path)
+    if large:
+        drop_shuffles(spark)
+    return dictionary, assignment
 
 
 def occurrences(signatures: DataFrame, assignment: DataFrame) -> DataFrame:

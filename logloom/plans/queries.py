@@ -19,7 +19,7 @@ from logloom.operators.parse import explode_entities, parse_lines
 from logloom.plans.structure import Structured, signed_events, structure
 from logloom.plans.train import features_of
 from logloom.plans.vectorize import block_matrix, vm_matrix
-from logloom.session import new_dir, stage
+from logloom.session import new_dir, stage, stage_at
 from logloom.sources import ledger, samples
 from logloom.sources.labels import label_ids
 from logloom.sources.lines import clean_lines, fingerprints, read_lines
@@ -254,7 +254,7 @@ def signature_counts_unmasked(spark: SparkSession, sf: str) -> DataFrame:
 
 def _document_signatures(spark: SparkSession, sf: str) -> DataFrame:
     lines = samples.document_lines(samples.table(spark, sf, "documents"))
-    return stage(T.signature_counts(signed_events(lines, BLOCK_LOG)), "signatures")
+    return stage_at(T.signature_counts(signed_events(lines, BLOCK_LOG)), "signatures", compression="zstd")[0]
 
 
 @query
