@@ -233,8 +233,8 @@ def find_leaders(leaves: DataFrame, config: MiningConfig) -> DataFrame:
     return reduce(DataFrame.unionByName, [stage(settled, "settled"), *parts])
 
 
-def group_leaves(leaves: DataFrame, config: MiningConfig) -> tuple[DataFrame, DataFrame, str]:
-    """Staged signatures with their ``leader_seen``, the leaders (n_tokens, heads, seen_at, signature), and the folder.
+def group_leaves(leaves: DataFrame, config: MiningConfig) -> tuple[DataFrame, str]:
+    """Staged signatures with their ``leader_seen`` and whether they are the leader (``leads``), and the folder.
 
     A leaf that a task can hold is settled there, many in one task; larger ones, and all if signatures are few, take
     ``find_leaders`` and ``nearest_leader``. Tokens are not kept, as they are the signature once more.
@@ -245,22 +245,21 @@ def group_leaves(leaves: DataFrame, config: MiningConfig) -> tuple[DataFrame, Da
     sizes = stage(sizes, "leaf-sizes")
     rows, total = sizes.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("leaf_rows", "cells")]).first()
     larger = sizes.filter(F.col("cells") > LEAF_CELLS).select(*LEAF)
-    joined, held, parts, found = leaves, leaves, [], None
+    joined, held, parts = leaves, leaves, []
     if rows > FEW and not larger.isEmpty():
         larger = broadcast_if_small(larger)
         joined = leaves.join(larger, list(LEAF), "left_semi")
         held = leaves.join(larger, list(LEAF), "left_anti")
     if rows <= FEW or joined is not leaves:
         found = find_leaders(joined, config)
-        parts.append(nearest_leader(joined, found, config).select(*columns, "leader_seen", F.lit(False).alias("leads")))
+        near = nearest_leader(joined, found, config)
+        led = broadcast_if_small(found.select("signature", F.lit(True).alias("leads")))
+        leads = F.coalesce("leads", F.lit(False)).alias("leads")
+        parts.append(near.join(led, "signature", "left").select(*columns, "leader_seen", leads))
     if rows > FEW:
         parts.append(grouped_by_leaf(held.select(*columns), total // BUCKET_CELLS + 1, config.sim_th, WILDCARD))
     grouped, path = stage_at(reduce(DataFrame.unionByName, parts), "grouped", compression="zstd")
-    grouped = grouped.withColumn("tokens", tokens(F.col("signature")))
-    leaders = grouped.filter("leads").select(*LEAF, "seen_at", "signature")
-    if found is not None:
-        leaders = leaders.unionByName(found.select(*leaders.columns))
-    return grouped.drop("leads"), leaders, path
+    return grouped.withColumn("tokens", tokens(F.col("signature"))), path
 
 
 def known_leaders(known: DataFrame) -> DataFrame:
@@ -399,42 +398,37 @@ def mine(
         base = known.agg(F.coalesce(F.max("event_no"), F.lit(0))).first()[0]
     if large:
         drop_shuffles(spark)
-    grouped, leaders, grouped_path = group_leaves(leaves, config)
+    grouped, grouped_path = group_leaves(leaves, config)
     drop_path(spark, leaves_path)
     if large:
         drop_shuffles(spark)
     # A group of one has its leader's text, so only those of several are merged, and numbers are found without texts.
     several = broadcast_if_small(_several(grouped, "leader_seen"))
     merged = stage(_merged_texts(grouped.join(several, "leader_seen", "left_semi"), "leader_seen"), "texts")
-    leader = leaders.withColumnRenamed("seen_at", "leader_seen")
-    first = leader.select("leader_seen").distinct().join(merged.select("leader_seen", "seen_at"), "leader_seen", "left")
+    first = grouped.filter("leads").select(F.col("seen_at").alias("leader_seen")).distinct()
+    first = first.join(merged.select("leader_seen", "seen_at"), "leader_seen", "left")
     first = stage(first.withColumn("seen_at", F.coalesce("seen_at", "leader_seen")), "first-seen")
-    numbers = number_rows(first, "seen_at", "event_no").withColumn("event_no", F.col("event_no") + base)
+    numbers = number_rows(first, "seen_at", "event_no").select(
+        "leader_seen", (F.col("event_no") + base).alias("event_no"), F.col("seen_at").cast(ORDER).alias("first_seen")
+    )
     numbers = stage(numbers, "numbers")
+    # One table for dictionary and assignment, so that signatures are dealt and kept once.
+    numbered = grouped.select("leader_seen", *LEAF, "signature", "leads").join(numbers, "leader_seen")
+    numbered = stage_at(numbered, "numbered", compression="zstd")[0]
+    drop_path(spark, grouped_path)
     if large:
         drop_shuffles(spark)
     event = event_name(F.col("event_no")).alias("EventId")
-    texts = merged.select("leader_seen", F.col("EventTemplate").alias("text"))
-    dictionary = leader.join(numbers, "leader_seen").join(texts, "leader_seen", "left").select(
-        "event_no", "text", *LEAF, "signature", F.col("seen_at").cast(ORDER).alias("seen_at")
-    )
-    if known is not None:
-        texts = known.withColumn("text", F.col("EventTemplate")).withColumn("signature", F.array_join("leader", " "))
-        dictionary = texts.select(*dictionary.columns).unionByName(dictionary)
-    # Kept without what the leader's signature says a second and a third time.
-    dictionary = stage_at(dictionary, "dictionary", compression="zstd")[0].select(
+    texts = broadcast_if_small(merged.select("leader_seen", F.col("EventTemplate").alias("text")))
+    dictionary = numbered.filter("leads").join(texts, "leader_seen", "left").select(
         "event_no", event, F.coalesce("text", "signature").alias("EventTemplate"), *LEAF,
-        tokens(F.col("signature")).alias("leader"), "seen_at",
+        tokens(F.col("signature")).alias("leader"), F.col("first_seen").alias("seen_at"),
     )
-    if large:
-        drop_shuffles(spark)
-    assignment = grouped.join(numbers.select("leader_seen", "event_no"), "leader_seen").select("signature", "event_no")
-    if matched is not None:
-        assignment = assignment.unionByName(matched).unionByName(itself)
-    assignment = stage_at(assignment.select("signature", "event_no", event), "assignment", compression="zstd")[0]
-    drop_path(spark, grouped_path)
-    if large:
-        drop_shuffles(spark)
+    assignment = numbered.select("signature", "event_no", event)
+    if known is not None:
+        dictionary = stage(known.select(*dictionary.columns).unionByName(dictionary), "dictionary")
+        others = matched.unionByName(itself).select("signature", "event_no", event)
+        assignment = stage(assignment.unionByName(others), "assignment")
     return dictionary, assignment
 
 

@@ -10,6 +10,12 @@ from logloom.operators import forests, models
 from logloom.operators.metrics import cv_results
 
 
+@pytest.fixture(autouse=True)
+def in_tasks(monkeypatch):
+    """Forests grow in tasks however small they are."""
+    monkeypatch.setattr(models, "SMALL_TREE_ROWS", 0)
+
+
 @pytest.fixture(scope="module")
 def folded(spark):
     """Rows of four features, the second of which mostly gives the target; one entity comes three times, one is null."""
@@ -59,6 +65,13 @@ def test_forests_of_tasks_and_of_the_cluster_rank_alike(folded, monkeypatch):
     assert set(ours) == set(theirs) and abs(np.mean(list(ours.values())) - np.mean(list(theirs.values()))) < 0.03
 
 
+def test_small_forests_are_those_of_the_library(folded, monkeypatch):
+    monkeypatch.setattr(models, "SMALL_TREE_ROWS", 300 * 9)
+    monkeypatch.setattr(forests, "fold_scores", None)
+    scores = models.cross_validate(folded, (models.FOREST,), models.ModelConfig(trees=9, max_depth=4))
+    assert scores.count() == 300
+
+
 def _grown(rows, target, weight, depth, widths):
     """A tree in the open: (share, None) of a leaf, or (share, (feature, last bin to the left, left, right))."""
     n = sum(weight[i] for i in rows)

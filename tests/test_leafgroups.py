@@ -81,4 +81,4 @@ def test_mining_keeps_no_second_copy_of_tokens(spark, in_tasks):
     size = {path.name.split("-")[0]: sum(f.stat().st_size for f in path.rglob("*.parquet")) for path in kept() - before}
     text = sum(len(row[0]) for row in rows)
     assert assignment.count() == len(rows) and dictionary.count() == assignment.select("event_no").distinct().count()
-    assert "leaves" not in size and "grouped" not in size and sum(size.values()) < 2 * text
+    assert "leaves" not in size and "grouped" not in size and sum(size.values()) < text
