@@ -407,15 +407,16 @@ def mine(
     merged = stage(_merged_texts(grouped.join(several, "leader_seen", "left_semi"), "leader_seen"), "texts")
     first = grouped.filter("leads").select(F.col("seen_at").alias("leader_seen")).distinct()
     first = first.join(merged.select("leader_seen", "seen_at"), "leader_seen", "left")
-    first = stage(first.withColumn("seen_at", F.coalesce("seen_at", "leader_seen")), "first-seen")
+    first, first_path = stage_at(first.withColumn("seen_at", F.coalesce("seen_at", "leader_seen")), "first-seen")
     numbers = number_rows(first, "seen_at", "event_no").select(
         "leader_seen", (F.col("event_no") + base).alias("event_no"), F.col("seen_at").cast(ORDER).alias("first_seen")
     )
-    numbers = stage(numbers, "numbers")
+    numbers, numbers_path = stage_at(numbers, "numbers")
     # One table for dictionary and assignment, so that signatures are dealt and kept once.
     numbered = grouped.select("leader_seen", *LEAF, "signature", "leads").join(numbers, "leader_seen")
     numbered = stage_at(numbered, "numbered", compression="zstd")[0]
-    drop_path(spark, grouped_path)
+    for read in (grouped_path, first_path, numbers_path):
+        drop_path(spark, read)
     if large:
         drop_shuffles(spark)
     event = event_name(F.col("event_no")).alias("EventId")
